@@ -6,7 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ISSUE = T.StructType.fromDDL("code string, message string, path array<string>, event_id string")
+_SIMPLE = {
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+}
+
+
+def _columns(text: str) -> T.StructType:
+    """A flat layout from `name type, name type`."""
+    return T.StructType(
+        [T.StructField(name, _SIMPLE[kind]) for name, kind in (part.split() for part in text.split(","))]
+    )
+
 
 SILVER = T.StructType(
     [
@@ -33,7 +47,7 @@ SILVER = T.StructType(
     ]
 )
 
-ITEM_CATALOG = T.StructType.fromDDL(
+ITEM_CATALOG = _columns(
     "game_version string, choice_source string, item_id string, display_name string, item_category string, "
     "intended_effect string, primary_metric string, rarity_scaled boolean, metric_readiness string"
 )
@@ -125,7 +139,7 @@ _EXPORT_ARRAYS = {
         "total_kills_sum bigint, current_gold_sum double"
     ),
 }
-EXPORT_METRICS = {name: T.StructType.fromDDL(ddl) for name, ddl in _EXPORT_ARRAYS.items()}
+EXPORT_METRICS = {name: _columns(ddl) for name, ddl in _EXPORT_ARRAYS.items()}
 EXPORT_HEADER = ("schema_version", "bucket_date", "revision", "source_region", "destination_region",
                  "privacy_mode", "data_class")
 EXPORT = T.StructType(
