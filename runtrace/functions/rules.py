@@ -67,39 +67,50 @@ def is_object(value: Column) -> Column:
     return F.schema_of_variant(value).startswith("OBJECT")
 
 
+_ENUMS = {
+    "event_name": contract.EVENT_NAMES,
+    "source_type": contract.SOURCE_TYPES,
+    "schema_version": (contract.SCHEMA_VERSION,),
+    "choice_source": contract.CHOICE_SOURCES,
+    "rarity": contract.RARITIES,
+    "end_reason": contract.END_REASONS,
+    "death_cause": contract.DEATH_CAUSES,
+}
+_PATTERNS = {"uuid": (_UUID, 36), "stable_id": (_STABLE_ID, 64), "version": (_VERSION, 32)}
+_WHOLE = ("ordinal", "count", "slot")
+_NUMBERS = ("ordinal", "count", "slot", "amount", "positive", "percent", "zero")
+
+
+def text_holds(kind: str, text: Column) -> Column:
+    """Whether a text is a value of a text kind."""
+    if kind in _ENUMS:
+        return text.isin(*_ENUMS[kind])
+    pattern, longest = _PATTERNS[kind]
+    return F.length(text).between(1, longest) & text.rlike(pattern)
+
+
+def number_holds(kind: str, number: Column) -> Column:
+    """Whether a number lies in the range of a number kind."""
+    return {
+        "ordinal": number >= 1,
+        "count": number >= 0,
+        "slot": number.between(1, 3),
+        "amount": number >= 0,
+        "positive": number > 0,
+        "percent": number.between(0, 100),
+        "zero": number == 0,
+    }[kind]
+
+
 def fits(kind: Column, value: Column, nested: bool = True) -> Column:
-    """Whether a VARIANT value is of a kind; NULL for a kind nobody declared."""
+    """Whether a VARIANT value is of a kind; false for a kind nobody declared."""
     stored = F.schema_of_variant(value)
     string = stored == "STRING"
     numeric = stored.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
     whole = numeric & (_number(value) % 1 == 0)
-
-    def enum(values) -> Column:
-        return string & _text(value).isin(*values)
-
-    def shaped(pattern: str, longest: int) -> Column:
-        return string & F.length(_text(value)).between(1, longest) & _text(value).rlike(pattern)
-
-    kinds = {
-        "uuid": string & _text(value).rlike(_UUID),
-        "stable_id": shaped(_STABLE_ID, 64),
-        "version": shaped(_VERSION, 32),
-        "event_name": enum(contract.EVENT_NAMES),
-        "source_type": enum(contract.SOURCE_TYPES),
-        "schema_version": enum((contract.SCHEMA_VERSION,)),
-        "choice_source": enum(contract.CHOICE_SOURCES),
-        "rarity": enum(contract.RARITIES),
-        "end_reason": enum(contract.END_REASONS),
-        "death_cause": enum(contract.DEATH_CAUSES),
-        "ordinal": whole & (_number(value) >= 1),
-        "count": whole & (_number(value) >= 0),
-        "amount": numeric & (_number(value) >= 0),
-        "positive": numeric & (_number(value) > 0),
-        "percent": numeric & _number(value).between(0, 100),
-        "zero": numeric & (_number(value) == 0),
-        "slot": whole & _number(value).between(1, 3),
-        "effect": numeric | (stored == "BOOLEAN"),
-    }
+    kinds = {name: string & text_holds(name, _text(value)) for name in (*_ENUMS, *_PATTERNS)}
+    kinds |= {name: (whole if name in _WHOLE else numeric) & number_holds(name, _number(value)) for name in _NUMBERS}
+    kinds["effect"] = numeric | (stored == "BOOLEAN")
     if nested:
         listed = stored.startswith("ARRAY")
         kinds["options"] = (

@@ -14,7 +14,7 @@ from runtrace import contract
 from runtrace.functions.payload import typed, without_common_fields
 from runtrace.operators import sequence
 from runtrace.operators.ordered_scan import SLICE_BITS
-from runtrace.operators.validation import validate_events
+from runtrace.operators.validation import judge_events, locate_private
 from runtrace.schemas import SILVER
 from runtrace.sources.staging import stage
 
@@ -71,11 +71,17 @@ def unique_events(bodies: DataFrame) -> DataFrame:
 
 
 def event_issues(bodies: DataFrame) -> DataFrame:
-    """Contract and privacy issues of every distinct body, counted once per delivery."""
-    judged = validate_events(bodies.withColumn("event", F.try_parse_json("event_json")))
-    sequence_number = F.try_variant_get("event", "$.event_sequence", "bigint")
+    """Contract and privacy issues of every distinct body, counted once per delivery.
+
+    The few bodies with a finding are stored before the prohibited names are located in them.
+    """
+    judged = judge_events(bodies.withColumn("event", F.try_parse_json("event_json")))
+    judged = judged.withColumn("event_sequence", F.try_variant_get("event", "$.event_sequence", "bigint"))
+    found = judged.where("private_text IS NOT NULL OR size(issues) > 0")
+    found = stage(found.select("run_id", "copies", "event_sequence", "issues", "private_text"), "findings")
     return (
-        judged.select("run_id", "copies", sequence_number.alias("event_sequence"), F.explode("issues").alias("i"))
+        locate_private(found)
+        .select("run_id", "copies", "event_sequence", F.explode("issues").alias("i"))
         .select(
             "run_id",
             F.lit("event_validation").alias("rule"),
@@ -202,7 +208,7 @@ def reconstruct(
     members = sequence.typed_events(events.drop("event_sequence", "source_type"))
     ordered = stage(sequence.ordered_events(members), "ordered")
     largest = ordered.agg(F.max("event_sequence")).first()[0]
-    single = stage(event_issues(bodies), "event-issues")
+    single = event_issues(bodies)
     together = duplicate_issues(events).unionByName(
         sequence.all_sequence_issues(members, ordered, largest, bits)
     )
