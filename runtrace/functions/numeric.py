@@ -37,3 +37,9 @@ def mean(value: Column) -> Column:
 
 def percentage(part: Column, whole: Column) -> Column:
     return cents(_wide(part) * F.lit(100), whole)
+
+
+def ratio(numerator: Column, denominator: Column) -> Column:
+    """numerator / denominator to six decimals, for metrics that are not rounded to cents."""
+    bottom = F.nullif(_wide(denominator), _wide(0))
+    return (_wide(numerator) / bottom).cast(_WIDE)

@@ -75,6 +75,11 @@ _ENUMS = {
     "rarity": contract.RARITIES,
     "end_reason": contract.END_REASONS,
     "death_cause": contract.DEATH_CAUSES,
+    "export_schema": (contract.EXPORT_SCHEMA_VERSION,),
+    "source_region": (contract.EXPORT_SOURCE_REGION,),
+    "destination_region": (contract.EXPORT_DESTINATION_REGION,),
+    "privacy_mode": (contract.EXPORT_PRIVACY_MODE,),
+    "data_class": contract.EXPORT_DATA_CLASSES,
 }
 _PATTERNS = {"uuid": (_UUID, 36), "stable_id": (_STABLE_ID, 64), "version": (_VERSION, 32)}
 _WHOLE = ("ordinal", "count", "slot")
@@ -111,6 +116,7 @@ def fits(kind: Column, value: Column, nested: bool = True) -> Column:
     kinds = {name: string & text_holds(name, _text(value)) for name in (*_ENUMS, *_PATTERNS)}
     kinds |= {name: (whole if name in _WHOLE else numeric) & number_holds(name, _number(value)) for name in _NUMBERS}
     kinds["effect"] = numeric | (stored == "BOOLEAN")
+    kinds["date"] = string & _text(value).rlike(r"^\d{4}-\d\d-\d\d$") & _text(value).try_cast("date").isNotNull()
     if nested:
         listed = stored.startswith("ARRAY")
         kinds["options"] = (
