@@ -1,21 +1,24 @@
-"""Gold queries over clean Silver rows."""
+"""Gold queries over clean Silver rows, and everything served from stored Gold tables."""
 
 from __future__ import annotations
 
-from runtrace.operators import gold_items, gold_progression, gold_runs, gold_weapons
+from pyspark.sql import functions as F
+
+from runtrace.labels import COLUMN_LABELS, VALUE_LABELS
+from runtrace.operators import gold_items, gold_progression, gold_runs, gold_weapons, semantic, serve
+from runtrace.operators.quality import quality_checks
+from runtrace.operators.reconcile import METRICS, duplicate_keys, metric_differences, metric_summaries
+from runtrace.operators.report import leading_items, report_document, section_rows, steepest_dropoffs
+from runtrace.schemas import GOLD, gold_columns
 from workload import gold_sql as S
-from workload.projection import catalog, silver
+from workload.projection import catalog, silver, stored
 from workload.registry import Query, comparable
 
 
 def gold(spark, sf_dir, name):
     """A Gold table by name, from Silver alone."""
     events = silver(spark, sf_dir)
-    if name == "run_summary":
-        return gold_runs.run_summary(events)
-    if name == "product_run_summary":
-        return gold_runs.product_run_summary(events)
-    if name in ("run_quality", "run_outcome", "checkpoint_metrics"):
+    if name in ("run_summary", "run_quality", "run_outcome", "checkpoint_metrics", "product_run_summary"):
         return getattr(gold_runs, name)(events)
     if name == "upgrade_funnel":
         return gold_items.upgrade_funnel(events)
@@ -25,21 +28,227 @@ def gold(spark, sf_dir, name):
     if name == "upgrade_post_selection":
         return gold_items.upgrade_post_selection(events, runs)
     items = catalog(spark, sf_dir)
-    if name == "item_performance":
+    if name == "item_performance_summary":
         return gold_items.item_performance_summary(gold_items.upgrade_post_selection(events, runs), items)
     if name == "weapon_popularity":
         return gold_weapons.weapon_popularity(events, runs, items)
     if name == "weapon_performance":
         return gold_weapons.weapon_performance(runs, items)
-    if name == "option_outcomes":
-        return gold_items.option_outcome_comparison(events, runs, items)
-    raise KeyError(name)
+    return gold_items.option_outcome_comparison(events, runs, items)
+
+
+def kept(spark, sf_dir, name):
+    """A stored Gold table with its published columns; run_summary holds product runs, all_runs every run."""
+    table = {"all_runs": "run_summary"}.get(name, name)
+
+    def write(path):
+        rows = gold(spark, sf_dir, "product_run_summary" if name == "run_summary" else table)
+        rows.select(*gold_columns(table)).write.parquet(path)
+
+    return spark.read.parquet(stored(spark, sf_dir, f"gold-{name}", write))
+
+
+def all_kept(spark, sf_dir):
+    return {name: kept(spark, sf_dir, name) for name in GOLD}
 
 
 def _table(name: str, sql: str) -> Query:
     return Query(lambda spark, sf_dir: comparable(gold(spark, sf_dir, name)), S.select(sql))
 
 
+def _served(function, sql: str, table: str = "run_summary") -> Query:
+    return Query(lambda spark, sf_dir: comparable(function(kept(spark, sf_dir, table))), S.select(sql))
+
+
+def _listed(table: str, sql_table: str) -> Query:
+    columns = ", ".join(serve._LISTINGS[table][0])
+    return _served(lambda rows: serve.listing(table, rows), f"{columns} FROM {sql_table}", table)
+
+
+def ratio(top: str, bottom: str) -> str:
+    """top / bottom to six decimals, half away from zero, for values that are not negative."""
+    return (
+        f"(CASE WHEN ({bottom}) = 0 THEN NULL ELSE (2000000 * cast({top} as hugeint) + cast({bottom} as hugeint)) "
+        f"// (2 * cast({bottom} as hugeint)) END)::double / 1000000"
+    )
+
+
+def _metrics(dimension: str, column: str) -> Query:
+    view = semantic.runs_view()
+    kills = "coalesce(sum(total_kills), 0)"
+    seconds = f"coalesce(sum({S.micro('run_duration_seconds')}), 0)"
+    sql = f"""{column} AS {dimension}, count(run_id) AS run_count, count_if(is_started) AS started_run_count,
+      count_if(is_ended) AS ended_run_count, count_if(NOT is_ended) AS incomplete_run_count,
+      {ratio(kills, 'count(total_kills)')} AS average_kill_count, {S.big('sum(total_kills)')} AS total_kill_count,
+      {ratio(seconds, '1000000 * count(run_duration_seconds)')} AS average_run_seconds,
+      CASE WHEN sum(total_kills) IS NOT NULL THEN {ratio(f'60000000 * {kills}', seconds)} END AS kills_per_minute,
+      {ratio("100 * count_if(end_reason = 'player_death')", 'count_if(is_ended)')} AS death_percentage
+      FROM product GROUP BY {column}"""
+    return _served(lambda runs: view.query(runs, [dimension], list(view.metrics)), sql)
+
+
+def _view(view, table: str, sql_table: str, dimensions: list[str], aggregates: str) -> Query:
+    named = ", ".join(f"{view.dimensions[d]} AS {d}" for d in dimensions)
+    return _served(
+        lambda rows: view.query(rows, dimensions, list(view.metrics)),
+        f"{named}, {aggregates} FROM {sql_table} GROUP BY {', '.join(view.dimensions[d] for d in dimensions)}",
+        table,
+    )
+
+
+def _top(order: str) -> str:
+    return f"ORDER BY {order} LIMIT 20"
+
+
+ADJUSTED = f"""{S.big('sum(starting_run_count)')} AS starting_run_count, {S.big('sum(exposure_count)')} AS exposure_count,
+  {S.big('sum(selection_count)')} AS selection_count,
+  {S.big('sum(first_selected_run_count)')} AS first_selected_run_count,
+  {ratio('100 * sum(selection_count)', 'sum(exposure_count)')} AS exposure_adjusted_selection_percentage"""
+PERFORMANCE = f"""{S.big('sum(outcome_observed_run_count)')} AS observed_run_count,
+  max(average_total_kills) AS average_kill_count, max(kills_per_minute) AS kills_per_minute,
+  max(average_run_seconds) AS average_survival_seconds, max(death_percentage) AS death_percentage"""
+OPTIONS = f"""{S.big('sum(offered_run_count)')} AS offered_run_count, {S.big('sum(selected_run_count)')} AS selected_run_count,
+  {S.big('sum(not_selected_run_count)')} AS not_selected_run_count,
+  max(selected_average_kills) AS selected_average_kills,
+  max(not_selected_average_kills) AS not_selected_average_kills,
+  max(average_kill_difference) AS average_kill_difference,
+  max(average_run_seconds_difference) AS average_survival_seconds_difference"""
+
+ENDINGS = f"""coalesce(end_reason, 'incomplete') AS end_reason,
+  CASE WHEN end_reason = 'player_death' THEN coalesce(death_cause, 'not_collected_legacy')
+       ELSE 'not_applicable' END AS death_cause,
+  count(*) AS run_count, {S.mean('run_duration_seconds')} AS average_run_seconds FROM product GROUP BY 1, 2"""
+
+
+def _summary_sql() -> str:
+    def part(key: str, table: str, metrics: list[str], group: str = "") -> str:
+        values = ", ".join(f"cast(coalesce({m}, 0) as double) AS metric_{i}_count" for i, m in enumerate(metrics, 1))
+        return f"SELECT {key} AS dataset_key, count(*) AS row_count, {values} FROM {table} {group}"
+
+    def sums(*names: str) -> list[str]:
+        return [f"sum({name})" for name in names]
+
+    thin = "count_if(analysis_status = 'INSUFFICIENT_SAMPLE')"
+    parts = [
+        part("'run_quality:' || run_status", "run_quality",
+             sums("run_count", "input_event_count", "unique_event_count", "exact_retry_count",
+                  "conflicting_duplicate_count"), "GROUP BY run_status"),
+        part("'run_progression'", "run_progression",
+             [*sums("started_run_count", "reached_run_count", "previous_reached_run_count"),
+              "count_if(reached_run_count < previous_reached_run_count)", "count_if(step_dropoff_percentage > 0)"]),
+        part("'item_performance_summary'", "item_performance",
+             [*sums("selection_count", "selected_run_count", "outcome_observed_run_count",
+                    "death_within_60_seconds_count"), thin]),
+        part("'weapon_popularity'", "weapon_popularity",
+             [*sums("starting_run_count", "exposure_count", "selection_count", "first_selected_run_count"),
+              "count_if(selection_percentage > 0)"]),
+        part("'weapon_performance'", "weapon_performance",
+             [*sums("run_count", "outcome_observed_run_count"),
+              "cast(sum(cast(round(average_total_kills * 100) as bigint)) as double) / 100", thin,
+              "count_if(death_percentage > 0)"]),
+        part("'option_outcome_comparison'", "option_outcomes",
+             sums("offered_run_count", "selected_run_count", "not_selected_run_count", "selected_outcome_run_count",
+                  "not_selected_outcome_run_count")),
+    ]
+    return f"{S.base()},\nsummaries AS ({' UNION ALL '.join(parts)})"
+
+
+def _altered(df):
+    """A second copy of the summaries that differs: one row gone, one value off, one within tolerance."""
+    key = F.col("dataset_key")
+    off = F.when(key == "run_progression", 3).when(key == "weapon_popularity", 0.005).otherwise(0)
+    return df.where(key != "weapon_performance").withColumn(
+        "metric_1_count", (F.col("metric_1_count") + off).cast("string")
+    ).toDF(*[name.upper() for name in df.columns])
+
+
+def _reconcile(spark, sf_dir):
+    rows = metric_summaries(all_kept(spark, sf_dir))
+    found = metric_differences(rows, _altered(rows), ["dataset_key"], METRICS)
+    return found.select(F.col("key")[0].alias("dataset_key"), "column", "left_value", "right_value", "reason")
+
+
+def _quality_sql() -> str:
+    """Counts of failing rows; only the catalog without one weapon makes checks fail here."""
+    def check(name: str, sql: str) -> str:
+        return f"SELECT '{name}' AS check_name, cast(({sql}) as bigint) AS failed_row_count"
+
+    def rows(table: str, condition: str) -> str:
+        return f"SELECT count(*) FROM {table} WHERE {condition}"
+
+    checks = [
+        check("run_quality_non_negative", rows("run_quality", "least(run_count, input_event_count, unique_event_count, "
+              "exact_retry_count, conflicting_duplicate_count) < 0")),
+        check("run_summary_consistency", rows(
+            "runs", "is_ended <> (run_status = 'valid') OR (is_ended AND (end_reason IS NULL OR final_level IS NULL "
+            "OR total_kills IS NULL OR current_gold IS NULL)) OR (death_cause IS NOT NULL AND "
+            "end_reason <> 'player_death') OR upgrade_selected_count > upgrade_shown_count")),
+        check("run_outcome_percentage", "SELECT count(*) FROM (SELECT sum(ended_run_percentage) AS s FROM run_outcome)"
+              " WHERE abs(s - 100) > 0.1"),
+        check("checkpoint_value_ranges", rows("checkpoint_metrics", "checkpoint_number < 1 OR "
+              "average_hp_percent NOT BETWEEN 0 AND 100 OR average_xp_to_next_level <= 0")),
+        check("run_progression_ranges", rows("run_progression", "reached_run_count > previous_reached_run_count OR "
+              "previous_reached_run_count > started_run_count OR reach_percentage NOT BETWEEN 0 AND 100")),
+        check("upgrade_post_selection_ranges", rows("upgrade_post_selection", "selected_run_count > selection_count OR "
+              "outcome_observed_run_count > selected_run_count OR (outcome_observed_run_count < 30) <> "
+              "(analysis_status = 'INSUFFICIENT_SAMPLE')")),
+        check("item_performance_summary_ranges", rows("item_performance", "selected_run_count > selection_count OR "
+              "item_id = 'steak'")),
+        check("weapon_popularity_ranges", rows("weapon_popularity", "exposed_run_count > exposure_count OR "
+              "selected_run_count > selection_count OR first_selected_run_count > selected_run_count OR "
+              "selection_count > exposure_count")),
+        check("weapon_performance_ranges", rows("weapon_performance", "outcome_observed_run_count > run_count OR "
+              "death_percentage NOT BETWEEN 0 AND 100")),
+        check("option_outcome_comparison_ranges", rows("option_outcomes", "selected_run_count + not_selected_run_count "
+              "<> offered_run_count")),
+        check("item_catalog_coverage", "SELECT count(*) FROM (SELECT DISTINCT game_version, choice_source, item_id "
+              "FROM picks WHERE item_id = 'steak')"),
+        check("upgrade_funnel_ranges", rows("funnel", "selection_count > exposure_count")),
+    ]
+    union = " UNION ALL ".join(checks)
+    return (f"{S.base()}\nSELECT check_name, failed_row_count, CASE WHEN failed_row_count = 0 THEN 'PASS' ELSE 'FAIL' "
+            f"END AS check_status FROM ({union})")
+
+
+def _quality_tables(spark, sf_dir):
+    """The gate with one weapon missing from the catalog that Gold was built with, too."""
+    items = catalog(spark, sf_dir).where("item_id <> 'steak'")
+    events = silver(spark, sf_dir)
+    tables = {**all_kept(spark, sf_dir), "run_summary": kept(spark, sf_dir, "all_runs")}
+    tables["item_performance_summary"] = gold_items.item_performance_summary(
+        tables["upgrade_post_selection"], items
+    )
+    return quality_checks(tables, events, items)
+
+
+def _relabel_sql() -> str:
+    values = ", ".join(f"('{a}', '{b}')" for a, b in VALUE_LABELS.items())
+
+    def shown(name: str, text: bool) -> str:
+        label = COLUMN_LABELS.get(name, name)
+        value = f"coalesce((SELECT max(l.b) FROM labels l WHERE l.a = {name}), {name})" if text else name
+        return f'{value} AS "{label}"'
+
+    columns = ", ".join(
+        [shown("end_reason", True), shown("death_cause", True), shown("run_count", False),
+         shown("average_run_seconds", False)]
+    )
+    return (f"{S.base()},\nlabels(a, b) AS (VALUES {values}), endings AS (SELECT {ENDINGS})\n"
+            f"SELECT {columns} FROM endings")
+
+
+def _document(spark, sf_dir):
+    document = report_document("2024-02-01", section_rows(all_kept(spark, sf_dir)))
+    sizes = [
+        F.json_array_length(F.get_json_object("document", f"$.metrics.{name}")).cast("bigint").alias(f"{name}_rows")
+        for name in ("run_quality", "run_outcomes", "checkpoint_metrics", "upgrade_funnel", "run_progression",
+                     "item_performance_summary")
+    ]
+    first = F.get_json_object("document", "$.metrics.run_outcomes[0].ended_run_count").cast("bigint")
+    return document.select("report_date", F.get_json_object("document", "$.schema_version").alias("schema_version"),
+                           *sizes, first.alias("first_ended_run_count"))
+
+
 QUERIES = {
     "run_summary": _table("run_summary", f"{S.RUN_COLUMNS} FROM runs"),
     "product_run_summary": _table("product_run_summary", f"{S.RUN_COLUMNS} FROM product"),
@@ -48,9 +257,147 @@ QUERIES = {
     "checkpoint_metrics": _table("checkpoint_metrics", "* FROM checkpoint_metrics"),
     "run_progression": _table("run_progression", "* FROM run_progression"),
     "upgrade_post_selection": _table("upgrade_post_selection", "* FROM upgrade_post_selection"),
-    "item_performance": _table("item_performance", "* FROM item_performance"),
+    "item_performance": _table("item_performance_summary", "* FROM item_performance"),
     "weapon_popularity": _table("weapon_popularity", "* FROM weapon_popularity"),
     "weapon_performance": _table("weapon_performance", "* FROM weapon_performance"),
-    "option_outcomes": _table("option_outcomes", "* FROM option_outcomes"),
+    "option_outcomes": _table("option_outcome_comparison", "* FROM option_outcomes"),
     "upgrade_funnel": _table("upgrade_funnel", "* FROM funnel"),
+    "item_catalog": Query(lambda spark, sf_dir: catalog(spark, sf_dir), S.select("* FROM catalog")),
+    "payload_projection": Query(
+        lambda spark, sf_dir: comparable(gold_items.selections(silver(spark, sf_dir))), S.select("* FROM picks")
+    ),
+    "win_first_pick": Query(
+        lambda spark, sf_dir: comparable(gold_items.first_picks(silver(spark, sf_dir))), S.select("* FROM first_picks")
+    ),
+    "win_share_of_total": Query(
+        lambda spark, sf_dir: comparable(
+            gold(spark, sf_dir, "run_outcome").select("end_reason", "ended_run_percentage")),
+        S.select("end_reason, ended_run_percentage FROM run_outcome"),
+    ),
+    "win_lag_dropoff": Query(
+        lambda spark, sf_dir: comparable(
+            gold(spark, sf_dir, "run_progression").select(
+                "game_version", "checkpoint_number", "previous_reached_run_count", "step_dropoff_percentage")),
+        S.select("game_version, checkpoint_number, previous_reached_run_count, step_dropoff_percentage "
+                 "FROM run_progression"),
+    ),
+    "catalog_coverage": Query(
+        lambda spark, sf_dir: gold_items.uncatalogued_items(
+            silver(spark, sf_dir), catalog(spark, sf_dir).where("item_id NOT IN ('sword', 'steak')")),
+        S.select("DISTINCT game_version, choice_source, item_id FROM picks WHERE item_id IN ('sword', 'steak')"),
+    ),
+    "versions": _served(serve.versions, "DISTINCT game_version FROM product"),
+    "dash_run_overview": _served(
+        serve.run_overview,
+        f"""count(*) AS total_run_count, count_if(is_started) AS started_run_count,
+        count_if(is_ended) AS ended_run_count, count_if(NOT is_ended) AS incomplete_run_count,
+        {S.mean('run_duration_seconds')} AS average_run_seconds,
+        {S.share('count_if(is_ended)', 'count(*)')} AS ended_percentage,
+        {S.share('count_if(NOT is_ended)', 'count(*)')} AS incomplete_percentage,
+        {S.cents(f"cast(round(({S.mean('run_duration_seconds')}) * 100) as hugeint)", '6000')} AS average_run_minutes
+        FROM product""",
+    ),
+    "dash_run_endings": _served(serve.run_endings, ENDINGS),
+    "dash_death_causes": _served(
+        serve.death_causes,
+        "coalesce(death_cause, 'not_collected_legacy') AS death_cause, count(*) AS run_count FROM product "
+        "WHERE end_reason = 'player_death' GROUP BY 1",
+    ),
+    "dash_run_progression": _listed("run_progression", "run_progression"),
+    "dash_item_performance": _listed("item_performance_summary", "item_performance"),
+    "dash_weapon_popularity": _listed("weapon_popularity", "weapon_popularity"),
+    "dash_weapon_performance": _served(
+        lambda rows: serve.listing("weapon_performance", rows, "1.1.0"),
+        f"{', '.join(serve._LISTINGS['weapon_performance'][0])} FROM weapon_performance WHERE game_version = '1.1.0'",
+        "weapon_performance",
+    ),
+    "dash_option_outcomes": _listed("option_outcome_comparison", "option_outcomes"),
+    "dash_run_quality": _listed("run_quality", "run_quality"),
+    "relabel": Query(
+        lambda spark, sf_dir: comparable(serve.relabelled(serve.run_endings(kept(spark, sf_dir, "run_summary")))),
+        _relabel_sql(),
+    ),
+    "metrics_by_weapon": _metrics("starting_weapon", "starting_weapon_id"),
+    "metrics_by_version": _metrics("game_version", "game_version"),
+    "metrics_by_end_reason": _metrics("end_reason", "end_reason"),
+    "metrics_weapon_popularity": _view(
+        semantic.weapon_popularity_view(), "weapon_popularity", "weapon_popularity", ["game_version"], ADJUSTED),
+    "metrics_weapon_performance": _view(
+        semantic.weapon_performance_view(), "weapon_performance", "weapon_performance",
+        ["game_version", "weapon_name"], PERFORMANCE),
+    "metrics_options": _view(
+        semantic.option_outcomes_view(), "option_outcome_comparison", "option_outcomes",
+        ["game_version", "choice_source", "item_category"], OPTIONS),
+    "verified_first_weapon": _served(
+        semantic.most_first_selected_weapons,
+        f"""game_version, display_name AS weapon_name,
+        {S.big('sum(first_selected_run_count)')} AS first_selected_run_count,
+        {S.big('sum(exposure_count)')} AS exposure_count,
+        {ratio('100 * sum(selection_count)', 'sum(exposure_count)')} AS exposure_adjusted_selection_percentage
+        FROM weapon_popularity GROUP BY 1, 2 {_top('first_selected_run_count DESC NULLS LAST, game_version, weapon_name')}""",
+        "weapon_popularity",
+    ),
+    "verified_top_kills": _served(
+        semantic.highest_kill_starting_weapons,
+        f"""game_version, display_name AS weapon_name, analysis_status AS sample_status,
+        {S.big('sum(outcome_observed_run_count)')} AS observed_run_count,
+        max(average_total_kills) AS average_kill_count, max(kills_per_minute) AS kills_per_minute
+        FROM weapon_performance GROUP BY 1, 2, 3
+        {_top('average_kill_count DESC NULLS LAST, game_version, weapon_name, sample_status')}""",
+        "weapon_performance",
+    ),
+    "verified_survival": _served(
+        semantic.longer_survival_options,
+        f"""game_version, choice_source, display_name AS item_name, item_category, analysis_status AS sample_status,
+        {S.big('sum(offered_run_count)')} AS offered_run_count,
+        {S.big('sum(selected_run_count)')} AS selected_run_count,
+        {S.big('sum(not_selected_run_count)')} AS not_selected_run_count,
+        max(average_run_seconds_difference) AS average_survival_seconds_difference
+        FROM option_outcomes GROUP BY 1, 2, 3, 4, 5
+        {_top('average_survival_seconds_difference DESC NULLS LAST, game_version, choice_source, item_name, item_category, sample_status')}""",
+        "option_outcome_comparison",
+    ),
+    "topk_dropoff": _served(
+        steepest_dropoffs,
+        f"""game_version, checkpoint_number, started_run_count, reached_run_count, reach_percentage,
+        step_dropoff_percentage FROM run_progression
+        {_top('step_dropoff_percentage DESC NULLS LAST, game_version, checkpoint_number')}""",
+        "run_progression",
+    ),
+    "topk_items": _served(
+        leading_items,
+        f"""{', '.join(GOLD['item_performance_summary'])} FROM item_performance WHERE outcome_observed_run_count > 0
+        {_top("(analysis_status <> 'DESCRIPTIVE_ONLY'), selected_run_count DESC, game_version, item_id, choice_source")}""",
+        "item_performance_summary",
+    ),
+    "quality_checks": Query(_quality_tables, _quality_sql()),
+    "reconcile_metrics": Query(
+        lambda spark, sf_dir: comparable(metric_summaries(all_kept(spark, sf_dir))),
+        f"{_summary_sql()}\nSELECT * FROM summaries",
+    ),
+    "reconcile": Query(
+        lambda spark, sf_dir: comparable(_reconcile(spark, sf_dir)),
+        f"""{_summary_sql()}
+        SELECT dataset_key, '*' AS "column", cast(NULL as double) AS left_value, cast(NULL as double) AS right_value,
+               'missing_in_right' AS reason FROM summaries WHERE dataset_key = 'weapon_performance'
+        UNION ALL
+        SELECT dataset_key, 'metric_1_count', metric_1_count, metric_1_count + 3, 'value_mismatch'
+        FROM summaries WHERE dataset_key = 'run_progression'""",
+    ),
+    "reconcile_dup_keys": Query(
+        lambda spark, sf_dir: duplicate_keys(kept(spark, sf_dir, "upgrade_post_selection"), ["ITEM_ID", "rarity"]),
+        S.select("item_id, rarity, count(*) AS row_count FROM upgrade_post_selection GROUP BY ALL HAVING count(*) > 1"),
+    ),
+    "report_payload": Query(
+        _document,
+        S.select("""'2024-02-01' AS report_date, 'gold-report-input-v1' AS schema_version,
+        (SELECT count(*) FROM run_quality) AS run_quality_rows, (SELECT count(*) FROM run_outcome) AS run_outcomes_rows,
+        (SELECT least(count(*), 51) FROM checkpoint_metrics) AS checkpoint_metrics_rows,
+        (SELECT least(count(*), 101) FROM funnel) AS upgrade_funnel_rows,
+        (SELECT least(count(*), 20) FROM run_progression) AS run_progression_rows,
+        (SELECT least(count(*), 20) FROM item_performance WHERE outcome_observed_run_count > 0)
+          AS item_performance_summary_rows,
+        (SELECT ended_run_count FROM run_outcome
+         ORDER BY average_run_seconds, end_reason, ended_run_count LIMIT 1) AS first_ended_run_count"""),
+    ),
 }
