@@ -222,8 +222,9 @@ def _read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(f"WITH {telemetry_sql(SPARK, '{source}')} SELECT * FROM telemetry", source=_read(spark, sf_dir))
+def telemetry(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
+    text = f"WITH {telemetry_sql(SPARK, '{source}', faults)} SELECT * FROM telemetry"
+    return spark.sql(text, source=_read(spark, sf_dir))
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,12 +326,13 @@ def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deliveries as the JSON lines a stream would have stored."""
+def lines_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries as Bronze lines with the number of their source row."""
     received = F.concat(
         F.date_format(F.timestamp_micros("received_us"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")
     )
     return deliveries(spark, sf_dir).select(
+        "n",
         F.concat(
             F.lit('{"bronze_record_version":1,"event":'),
             event_json(),
@@ -344,6 +346,11 @@ def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries as the JSON lines a stream would have stored."""
+    return lines_by_number(spark, sf_dir).drop("n")
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The item dimension for every game version that occurs in the data."""
     return for_versions(silver(spark, sf_dir).select("game_version"))

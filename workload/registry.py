@@ -35,6 +35,6 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    from workload import gold_queries
+    from workload import event_queries, gold_queries
 
-    return {**gold_queries.QUERIES}
+    return {**gold_queries.QUERIES, **event_queries.QUERIES}
