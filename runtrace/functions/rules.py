@@ -83,7 +83,30 @@ _ENUMS = {
 }
 _PATTERNS = {"uuid": (_UUID, 36), "stable_id": (_STABLE_ID, 64), "version": (_VERSION, 32)}
 _WHOLE = ("ordinal", "count", "slot")
-_NUMBERS = ("ordinal", "count", "slot", "amount", "positive", "percent", "zero")
+NUMBER_KINDS = ("ordinal", "count", "slot", "amount", "positive", "percent", "zero")
+
+# How Spark names numbers in the schema text of a VARIANT.
+NUMBER_SHAPE = r"(?:BIGINT|DOUBLE|DECIMAL\(\d+,\d+\))"
+
+
+def object_shape(fields: dict[str, str], required: tuple[str, ...], whole: str = "BIGINT") -> str:
+    """A pattern for the schema text of an object with these members; Spark lists members in name order."""
+    parts = []
+    for name, kind in sorted(fields.items()):
+        if kind in _WHOLE:
+            stored = whole
+        elif kind in NUMBER_KINDS:
+            stored = NUMBER_SHAPE
+        elif kind == "effect":
+            stored = f"(?:BOOLEAN|{NUMBER_SHAPE})"
+        elif kind == "options":
+            stored = f"ARRAY<{object_shape(OPTION_FIELDS, OPTION_REQUIRED)}>"
+        elif kind == "upgrades":
+            stored = f"ARRAY<(?:VOID|{object_shape(UPGRADE_FIELDS, UPGRADE_REQUIRED)})>"
+        else:
+            stored = "STRING"
+        parts.append(f"(?:{name}: {stored}(?:, |(?=>)))" + ("" if name in required else "?"))
+    return f"OBJECT<{''.join(parts)}>"
 
 
 def text_holds(kind: str, text: Column) -> Column:
@@ -114,7 +137,7 @@ def fits(kind: Column, value: Column, nested: bool = True) -> Column:
     numeric = stored.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
     whole = numeric & (_number(value) % 1 == 0)
     kinds = {name: string & text_holds(name, _text(value)) for name in (*_ENUMS, *_PATTERNS)}
-    kinds |= {name: (whole if name in _WHOLE else numeric) & number_holds(name, _number(value)) for name in _NUMBERS}
+    kinds |= {name: (whole if name in _WHOLE else numeric) & number_holds(name, _number(value)) for name in NUMBER_KINDS}
     kinds["effect"] = numeric | (stored == "BOOLEAN")
     kinds["date"] = string & _text(value).rlike(r"^\d{4}-\d\d-\d\d$") & _text(value).try_cast("date").isNotNull()
     if nested:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,15 +11,19 @@ from runtrace import contract
 from runtrace.functions.numeric import exact
 from runtrace.functions.payload import OPTIONS_TYPE, field
 from runtrace.functions.rules import (
-    elements,
+    NUMBER_KINDS,
+    NUMBER_SHAPE,
+    fits,
     is_object,
     issue,
     kind_table,
     members,
-    fits,
-    object_fits,
+    number_holds,
+    object_shape,
+    text_holds,
 )
 from runtrace.schemas import EXPORT, EXPORT_HEADER, EXPORT_METRICS
+from runtrace.sources.staging import stage
 
 EXPORT_KEY = ["schema_version", "bucket_date", "revision", "source_region"]
 
@@ -201,13 +207,29 @@ def validate_documents(texts: DataFrame) -> DataFrame:
         ),
         lambda e: issue(code, F.concat(e["key"], F.lit(" is not a contract value")), F.array(e["key"]), nobody),
     )
+
+    def entries_hold(listed: Column, names: list[str]) -> Column:
+        """Every entry has exactly these members, of the right type and in range; no entries is fine."""
+        kinds = {part: _ENTRY_KINDS.get(part, "count") for part in names}
+        shape = f"^ARRAY<(?:VOID|{object_shape(kinds, tuple(kinds), whole=NUMBER_SHAPE)})>$"
+        layout = ",".join(f"{part}:{'double' if kind in NUMBER_KINDS else 'string'}" for part, kind in kinds.items())
+        typed = F.try_variant_get(listed, "$", f"array<struct<{layout}>>")
+
+        def holds(entry: Column) -> Column:
+            checks = [
+                number_holds(kind, entry[part]) & (F.lit(kind == "amount") | (entry[part] % 1 == 0))
+                if kind in NUMBER_KINDS
+                else text_holds(kind, entry[part])
+                for part, kind in kinds.items()
+            ]
+            return F.coalesce(reduce(lambda a, b: a & b, checks), F.lit(False))
+
+        return F.schema_of_variant(listed).rlike(shape) & F.forall(typed, holds)
+
     bodies = []
     for name, layout in EXPORT_METRICS.items():
-        kinds = {part: _ENTRY_KINDS.get(part, "count") for part in layout.fieldNames()}
         listed = F.try_element_at(inner, F.lit(name))
-        sound = F.schema_of_variant(listed).startswith("ARRAY") & F.forall(
-            elements(listed), lambda item, kinds=kinds: object_fits(item, kinds, tuple(kinds))
-        )
+        sound = entries_hold(listed, layout.fieldNames())
         problem = issue(code, f"{name} has an entry outside the contract", ["metrics", name], nobody)
         bodies.append(F.when(listed.isNotNull() & ~F.coalesce(sound, F.lit(False)), problem))
     shape = issue(code, "metrics must be an object", ["metrics"], nobody)
@@ -231,21 +253,29 @@ def validate_documents(texts: DataFrame) -> DataFrame:
 
 
 def import_decisions(validated: DataFrame, imported: DataFrame) -> DataFrame:
-    """Typed documents with `outcome`: IMPORTED, DUPLICATE_IGNORED or REJECTED.
+    """Typed documents with `outcome` (IMPORTED, DUPLICATE_IGNORED or REJECTED) and how many `documents` met it.
 
-    A key that was imported before, or that an equal document in the same batch takes first, is ignored whole.
-    Documents of one key are compared by their text, so the choice does not depend on input order.
+    A key that was imported before, or that another document of the batch takes first, is ignored whole. Equal
+    documents are counted before anything else; documents of one key are compared by their text, so the choice
+    does not depend on input order.
     """
-    typed = validated.withColumn("d", F.from_json("value", EXPORT)).select("d.*", "issues", "value")
-    rejected = typed.where("size(issues) > 0").withColumn("outcome", F.lit("REJECTED"))
-    sound = typed.where("size(issues) = 0")
+    checked = validated.select("value", (F.size("issues") > 0).alias("broken"))
+    checked = stage(checked.groupBy("value", "broken").agg(F.count("*").alias("documents")), "documents")
+    typed = checked.withColumn("d", F.from_json("value", EXPORT)).select("d.*", "value", "broken", "documents")
+    sound = typed.where("NOT broken")
     known = imported.select(*EXPORT_KEY).distinct().withColumn("known", F.lit(True))
-    first = sound.groupBy(*EXPORT_KEY).agg(F.min("value").alias("first_value"), F.count("*").alias("offers"))
+    first = sound.groupBy(*EXPORT_KEY).agg(F.min("value").alias("first_value"))
     judged = sound.join(first, EXPORT_KEY).join(known, EXPORT_KEY, "left")
     fresh = F.col("known").isNull() & (F.col("value") == F.col("first_value"))
-    judged = judged.withColumn("outcome", F.when(fresh, "IMPORTED").otherwise("DUPLICATE_IGNORED"))
-    columns = [*EXPORT_HEADER, "metrics", "outcome"]
-    return judged.select(*columns).unionByName(rejected.select(*columns))
+    taken, rest = F.when(fresh, 1).otherwise(0), F.col("documents") - F.when(fresh, 1).otherwise(0)
+
+    def outcome(name: str, count: Column) -> Column:
+        return F.when(count > 0, F.struct(F.lit(name).alias("outcome"), count.cast("bigint").alias("documents")))
+
+    outcomes = F.inline(F.array_compact(F.array(outcome("IMPORTED", taken), outcome("DUPLICATE_IGNORED", rest))))
+    columns = [*EXPORT_HEADER, "metrics"]
+    rejected = typed.where("broken").select(*columns, F.lit("REJECTED").alias("outcome"), "documents")
+    return judged.select(*columns, outcomes).unionByName(rejected)
 
 
 def exploded(documents: DataFrame, metric: str) -> DataFrame:

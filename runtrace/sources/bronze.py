@@ -9,6 +9,7 @@ from runtrace import contract
 from runtrace.functions.payload import canonical, field, fingerprint
 from runtrace.functions.rules import is_object
 from runtrace.operators.validation import validate_events
+from runtrace.sources.staging import stage
 
 _ZONED = r"(Z|[+-]\d\d:?\d\d)$"
 _SHAPED = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d"
@@ -78,26 +79,30 @@ def split_ingest(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted events and rejects of a batch of requests (`body`, `is_base64`, `ingestion_channel`).
 
     Rejects keep reason, path and a digest. They never keep the body, which may hold what the contract forbids.
+    The batch is judged once: what is stored in between is an accepted event or the facts about a reject.
     """
     read = validate_events(read_bodies(requests))
     source = field(F.col("event"), "source_type")
     channel = F.col("ingestion_channel")
     reason = (
         F.when(F.col("body_error").isNotNull(), F.col("body_error"))
-        .when(F.size("issues") > 0, F.col("issues")[0]["code"])
+        .when(F.size("issues") > 0, F.get("issues", 0)["code"])
         .when(~known_channel(channel), "unsupported_channel")
         .when(~channel_allows(channel, source), "source_not_allowed")
     )
-    judged = read.withColumn("reason", reason)
-    accepted = judged.where("reason IS NULL").select("event", "ingestion_channel")
-    rejected = judged.where("reason IS NOT NULL").select(
-        "reason",
-        F.transform("issues", lambda found: found["code"]).alias("issue_codes"),
-        F.transform("issues", lambda found: found["path"]).alias("issue_paths"),
-        "ingestion_channel",
-        F.sha2(F.coalesce("body", F.lit("")), 256).alias("body_sha256"),
+    judged = stage(
+        read.withColumn("reason", reason).select(
+            "reason",
+            F.when(F.col("reason").isNull(), F.col("event")).alias("event"),
+            F.transform("issues", lambda found: found["code"]).alias("issue_codes"),
+            F.transform("issues", lambda found: found["path"]).alias("issue_paths"),
+            "ingestion_channel",
+            F.when(F.col("reason").isNotNull(), F.sha2(F.coalesce("body", F.lit("")), 256)).alias("body_sha256"),
+        ),
+        "judged",
     )
-    return accepted, rejected
+    accepted = judged.where("reason IS NULL").select("event", "ingestion_channel")
+    return accepted, judged.where("reason IS NOT NULL").drop("event")
 
 
 def scan_bronze(spark: SparkSession, path: str) -> DataFrame:

@@ -151,6 +151,11 @@ def _channel_policy(spark, sf_dir):
 
 
 def _requests(spark, sf_dir):
+    return spark.read.parquet(stored(
+        spark, sf_dir, "requests", lambda to: _request_rows(spark, sf_dir).write.parquet(to)))
+
+
+def _request_rows(spark, sf_dir):
     """Request bodies, some of them encoded, broken, oversized or absent."""
     events = telemetry(spark, sf_dir, faults=True)
     body, case, n = event_json(), F.col("n") % 20, F.col("n")
@@ -336,6 +341,11 @@ FROM telemetry t GROUP BY t.day"""
 
 
 def _batch(spark, sf_dir):
+    return spark.read.parquet(stored(
+        spark, sf_dir, "document-batch", lambda to: _batch_rows(spark, sf_dir).write.parquet(to)))
+
+
+def _batch_rows(spark, sf_dir):
     """Documents as they arrive: first and second revisions, a repeated first one, and some outside the contract."""
     first = _documents(spark, sf_dir)
     day = F.dayofmonth(F.to_date("bucket_date"))
@@ -362,7 +372,7 @@ def _decisions(spark, sf_dir):
 
 def _import_dedup(spark, sf_dir):
     return _decisions(spark, sf_dir).groupBy("bucket_date", "revision", "outcome").agg(
-        F.count("*").alias("documents"))
+        F.sum("documents").alias("documents"))
 
 
 _DAYS = f"WITH {telemetry_sql(DUCKDB)}, days AS (SELECT DISTINCT day, day(day) AS dom, strftime(day, '%Y-%m-%d') AS d FROM telemetry)"
@@ -391,7 +401,7 @@ UNION ALL SELECT *, 2 FROM ({_ends_sql('day(day) % 3 = 0')})"""
 
 
 def _latest(spark, sf_dir):
-    rows = export.exploded(_decisions(spark, sf_dir).where("outcome <> 'REJECTED'").distinct(), "event_counts")
+    rows = export.exploded(_decisions(spark, sf_dir).where("outcome <> 'REJECTED'"), "event_counts")
     return export.latest_revision(rows.distinct()).select("bucket_date", "revision", "event_name", "event_count")
 
 
@@ -470,10 +480,10 @@ QUERIES = {
         SELECT event_id, channel, source_type, ({_ALLOWED_SQL}) AS allowed FROM routed"""),
     "body_checks": Query(_body_checks, _faulty(f" SELECT n, {_BODY_SQL} AS body_error FROM telemetry")),
     "ingest_split": Query(_ingest_split, _INGEST_SQL),
-    "event_validation": _validated(F.lit(True), "true"),
-    "privacy_key_scan": _validated(F.col("code") == contract.PROHIBITED_FIELD, "code = 'prohibited_field'"),
-    "schema_rules": _validated(F.col("code") == contract.SCHEMA_INVALID, "code = 'schema_invalid'"),
-    "options_rules": _validated(F.col("path")[0] == "options", "path = 'options'"),
+    "event_validation": _validated("true", "true"),
+    "privacy_key_scan": _validated("code = 'prohibited_field'", "code = 'prohibited_field'"),
+    "schema_rules": _validated("code = 'schema_invalid'", "code = 'schema_invalid'"),
+    "options_rules": _validated("get(path, 0) = 'options'", "path = 'options'"),
     "dedup_earliest": Query(_dedup_earliest, D.select(f"""run_id, event_id, event_sequence,
         {D.moment('received_us')} AS first_received_at, ingestion_channel, cast(retries as bigint) AS retries,
         cast(conflicts as bigint) AS conflicts FROM uniq""")),

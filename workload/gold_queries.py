@@ -74,7 +74,6 @@ def ratio(top: str, bottom: str) -> str:
 
 
 def _metrics(dimension: str, column: str) -> Query:
-    view = semantic.runs_view()
     kills = "coalesce(sum(total_kills), 0)"
     seconds = f"coalesce(sum({S.micro('run_duration_seconds')}), 0)"
     sql = f"""{column} AS {dimension}, count(run_id) AS run_count, count_if(is_started) AS started_run_count,
@@ -84,14 +83,19 @@ def _metrics(dimension: str, column: str) -> Query:
       CASE WHEN sum(total_kills) IS NOT NULL THEN {ratio(f'60000000 * {kills}', seconds)} END AS kills_per_minute,
       {ratio("100 * count_if(end_reason = 'player_death')", 'count_if(is_ended)')} AS death_percentage
       FROM product GROUP BY {column}"""
-    return _served(lambda runs: view.query(runs, [dimension], list(view.metrics)), sql)
+    return _served(lambda runs: _all_metrics(semantic.runs_view(), runs, [dimension]), sql)
 
 
-def _view(view, table: str, sql_table: str, dimensions: list[str], aggregates: str) -> Query:
-    named = ", ".join(f"{view.dimensions[d]} AS {d}" for d in dimensions)
+def _all_metrics(view, rows, dimensions):
+    return view.query(rows, dimensions, list(view.metrics))
+
+
+def _view(view, table: str, sql_table: str, dimensions: dict[str, str], aggregates: str) -> Query:
+    """`dimensions` maps public names to the columns of the check SQL."""
+    named = ", ".join(f"{column} AS {name}" for name, column in dimensions.items())
     return _served(
-        lambda rows: view.query(rows, dimensions, list(view.metrics)),
-        f"{named}, {aggregates} FROM {sql_table} GROUP BY {', '.join(view.dimensions[d] for d in dimensions)}",
+        lambda rows: _all_metrics(view(), rows, list(dimensions)),
+        f"{named}, {aggregates} FROM {sql_table} GROUP BY {', '.join(dimensions.values())}",
         table,
     )
 
@@ -321,13 +325,14 @@ QUERIES = {
     "metrics_by_version": _metrics("game_version", "game_version"),
     "metrics_by_end_reason": _metrics("end_reason", "end_reason"),
     "metrics_weapon_popularity": _view(
-        semantic.weapon_popularity_view(), "weapon_popularity", "weapon_popularity", ["game_version"], ADJUSTED),
+        semantic.weapon_popularity_view, "weapon_popularity", "weapon_popularity", {"game_version": "game_version"},
+        ADJUSTED),
     "metrics_weapon_performance": _view(
-        semantic.weapon_performance_view(), "weapon_performance", "weapon_performance",
-        ["game_version", "weapon_name"], PERFORMANCE),
+        semantic.weapon_performance_view, "weapon_performance", "weapon_performance",
+        {"game_version": "game_version", "weapon_name": "display_name"}, PERFORMANCE),
     "metrics_options": _view(
-        semantic.option_outcomes_view(), "option_outcome_comparison", "option_outcomes",
-        ["game_version", "choice_source", "item_category"], OPTIONS),
+        semantic.option_outcomes_view, "option_outcome_comparison", "option_outcomes",
+        {"game_version": "game_version", "choice_source": "choice_source", "item_category": "item_category"}, OPTIONS),
     "verified_first_weapon": _served(
         semantic.most_first_selected_weapons,
         f"""game_version, display_name AS weapon_name,

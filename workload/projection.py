@@ -82,6 +82,12 @@ def telemetry_sql(d: Dialect, source: str = "events", faults: bool = False) -> s
     dirty = "r % 4 = 1"  # runs with contract faults
     rarity = [pick(f"((h + {slot}) % 5)", contract.RARITIES, d) for slot in (1, 2, 3)]
     lost = f"AND NOT ({odd} AND n % 59 = 0)" if faults else ""
+    early = (
+        f" WHEN {odd} AND r % 7 = 5 AND p = 1 THEN 'upgrade_options_shown'"
+        f" WHEN {odd} AND r % 7 = 5 AND p = 2 THEN 'run_started'"
+        if faults
+        else ""
+    )
     return f"""
 raw AS (
   SELECT event_id AS n, {d.div('event_id', RUN_LENGTH)} AS r, event_id % {RUN_LENGTH} + 1 AS p,
@@ -96,7 +102,7 @@ kept AS (
 ),
 named AS (
   SELECT kept.*,
-    CASE WHEN p = e THEN 'run_ended'
+    CASE WHEN p = e THEN 'run_ended'{early}
          WHEN r % 7 = 3 AND p = 1 THEN 'upgrade_options_shown'
          WHEN r % 7 = 3 AND p = 2 THEN 'upgrade_selected'
          WHEN r % 7 = 3 AND p = 3 THEN 'run_started'
@@ -138,7 +144,7 @@ telemetry AS (
     {fault(f"{odd} AND n % 71 = 0", "'9.9.9'", pick('(r % 3)', VERSIONS, d))} AS game_version,
     '2.0' AS schema_version,
     cast({fault(f"{odd} AND n % 61 = 0 AND p > 1", "p - 1", "p")} as bigint) AS event_sequence,
-    cast(CASE WHEN p = 1 OR (r % 7 = 3 AND p <= 3) THEN 0
+    cast(CASE WHEN p = 1 OR (r % 7 = 3 AND p <= 3) OR event_name = 'run_started' THEN 0
               WHEN event_name = 'run_checkpoint' THEN
                 {fault(f"{odd} AND n % 79 = 0", "10 * p + 5", "10 * p")}
               ELSE 10 * p + (k % 4) * 0.25 END as double) AS run_elapsed_seconds,
