@@ -49,3 +49,13 @@ def without_common_fields(event: Column) -> Column:
     everything = F.from_json(F.to_json(event), "map<string,variant>")
     own = F.map_filter(everything, lambda key, _: ~key.isin(*contract.COMMON_FIELDS))
     return F.to_json(own)
+
+
+def each(rows: DataFrame, keep: list[str], array: Column, alias: str) -> DataFrame:
+    """One row per element of an array, as `explode` gives them.
+
+    `explode` lets Spark drop empty arrays early, for which it computes the array a second time below; the outer
+    form with a test on the position computes it once. That matters where the array is the result of the work.
+    """
+    spread = rows.select(*keep, F.posexplode_outer(array).alias("position", alias))
+    return spread.where("position IS NOT NULL").drop("position")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from runtrace import contract
 from runtrace.functions.numeric import exact
-from runtrace.functions.payload import OPTIONS_TYPE, field
+from runtrace.functions.payload import OPTIONS_TYPE, each, field
 from runtrace.functions.rules import (
     NUMBER_KINDS,
     NUMBER_SHAPE,
@@ -51,11 +51,8 @@ def daily_event_counts(silver: DataFrame) -> DataFrame:
 
 def daily_option_counts(silver: DataFrame) -> DataFrame:
     options = field(F.col("p"), "options", OPTIONS_TYPE)
-    shown = _events(silver, "upgrade_options_shown").select(
-        "bucket_date", F.posexplode_outer(options).alias("position", "option")
-    )
     return (
-        shown.where("position IS NOT NULL")
+        each(_events(silver, "upgrade_options_shown"), ["bucket_date"], options, "option")
         .groupBy("bucket_date", "option.item_id", "option.rarity", F.col("option.slot").cast("int").alias("slot"))
         .agg(F.count("*").alias("shown_count"))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from runtrace import contract
 from runtrace.functions.numeric import cents, exact, mean, percentage
-from runtrace.functions.payload import OPTIONS_TYPE, field, product_events
+from runtrace.functions.payload import OPTIONS_TYPE, each, field, product_events
 
 ITEM_KEY = ["game_version", "choice_source", "item_id"]
 
@@ -43,23 +43,18 @@ def selections(silver: DataFrame, choice_source: str | None = None) -> DataFrame
 
 
 def exposures(silver: DataFrame, choice_source: str | None = None) -> DataFrame:
-    """One row per offered option; choices without options give none.
-
-    The outer form with a test on the position keeps Spark from parsing each payload a second time just to
-    drop the few empty arrays early.
-    """
-    rows = (
-        product_events(silver, "upgrade_options_shown", "run_id", "game_version", mentioning=choice_source)
-        .select(
-            "run_id",
-            "game_version",
-            field(F.col("p"), "choice_id").alias("choice_id"),
-            field(F.col("p"), "choice_source").alias("choice_source"),
-            F.posexplode_outer(field(F.col("p"), "options", OPTIONS_TYPE)).alias("position", "option"),
-        )
-        .where("position IS NOT NULL")
-        .select("run_id", "game_version", "choice_id", "choice_source", "option.*")
+    """One row per offered option; choices without options give none."""
+    shown = product_events(
+        silver, "upgrade_options_shown", "run_id", "game_version", mentioning=choice_source
+    ).select(
+        "run_id",
+        "game_version",
+        field(F.col("p"), "choice_id").alias("choice_id"),
+        field(F.col("p"), "choice_source").alias("choice_source"),
+        field(F.col("p"), "options", OPTIONS_TYPE).alias("options"),
     )
+    kept = ["run_id", "game_version", "choice_id", "choice_source"]
+    rows = each(shown, kept, F.col("options"), "option").select(*kept, "option.*")
     return rows if choice_source is None else rows.where(F.col("choice_source") == choice_source)
 
 

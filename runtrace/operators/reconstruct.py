@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runtrace import contract
-from runtrace.functions.payload import typed, without_common_fields
+from runtrace.functions.payload import each, typed, without_common_fields
+from runtrace.functions.rules import ISSUE_TYPE, issue
 from runtrace.operators import sequence
 from runtrace.operators.ordered_scan import SLICE_BITS
 from runtrace.operators.validation import judge_events, locate_private
@@ -73,15 +74,20 @@ def unique_events(bodies: DataFrame) -> DataFrame:
 def event_issues(bodies: DataFrame) -> DataFrame:
     """Contract and privacy issues of every distinct body, counted once per delivery.
 
-    The few bodies with a finding are stored before the prohibited names are located in them.
+    The few findings are stored; only then are the prohibited names located in the bodies that have some.
     """
     judged = judge_events(bodies.withColumn("event", F.try_parse_json("event_json")))
     judged = judged.withColumn("event_sequence", F.try_variant_get("event", "$.event_sequence", "bigint"))
-    found = judged.where("private_text IS NOT NULL OR size(issues) > 0")
-    found = stage(found.select("run_id", "copies", "event_sequence", "issues", "private_text"), "findings")
+    mark = issue(contract.PROHIBITED_FIELD, "", [], F.col("event_id"))
+    marked = F.when(F.col("private_text").isNotNull(), F.array(mark).cast(ISSUE_TYPE)).otherwise(F.col("issues"))
+    columns = ["run_id", "copies", "event_sequence"]
+    found = stage(each(judged, [*columns, "private_text"], marked, "i"), "findings")
+    private = found.where("private_text IS NOT NULL").withColumn("issues", F.array().cast(ISSUE_TYPE))
+    located = locate_private(private).select(*columns, F.explode("issues").alias("i"))
     return (
-        locate_private(found)
-        .select("run_id", "copies", "event_sequence", F.explode("issues").alias("i"))
+        found.where("private_text IS NULL")
+        .select(*columns, "i")
+        .unionByName(located)
         .select(
             "run_id",
             F.lit("event_validation").alias("rule"),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runtrace import contract
-from runtrace.functions.payload import OPTIONS_TYPE, typed
+from runtrace.functions.payload import OPTIONS_TYPE, each, typed
 from runtrace.operators.ordered_scan import SLICE_BITS, levels_for, look_back
 
 _COUNTERS = [name for name in contract.MONOTONIC_COUNTERS if name != "run_elapsed_seconds"]
@@ -78,7 +78,7 @@ def _row(rule: str, code: str, message: Column | str, path: list[str], place: in
 
 def _found(rows: DataFrame, rules: list[tuple[Column, Column]]) -> DataFrame:
     found = F.array_compact(F.array(*[F.when(broken, issue) for broken, issue in rules]))
-    return rows.select("run_id", F.explode(found).alias("i")).select("run_id", "i.*").select(*ISSUE_COLUMNS)
+    return each(rows, ["run_id"], found, "i").select("run_id", "i.*").select(*ISSUE_COLUMNS)
 
 
 def sequence_conflicts(events: DataFrame, ordered: DataFrame) -> DataFrame:

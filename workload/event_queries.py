@@ -30,9 +30,15 @@ from workload.registry import Query, comparable
 # --- stored steps of the reconstruction ----------------------------------------------------------
 
 
+def _opened(spark, sf_dir):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return bronze.open_envelopes(bronze.scan_bronze(spark, bronze_folder(spark, sf_dir)))
+
+
 def _deliveries(spark, sf_dir):
+    path = stored(spark, sf_dir, "deliveries", lambda to: _opened(spark, sf_dir).write.parquet(to))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return bronze.sound_deliveries(bronze.open_envelopes(bronze.scan_bronze(spark, bronze_folder(spark, sf_dir))))
+    return bronze.sound_deliveries(spark.read.parquet(path))
 
 
 def _bodies(spark, sf_dir):
@@ -88,7 +94,7 @@ def _validated(where, sql_where: str) -> Query:
 def _bronze_scan(spark, sf_dir):
     """Deliveries per run as read back from the stored lines."""
     return comparable(
-        _deliveries(spark, sf_dir).groupBy("run_id").agg(
+        _opened(spark, sf_dir).groupBy("run_id").agg(
             F.count("*").alias("deliveries"), F.min("received_at").alias("first_received_at"),
             F.max("received_at").alias("last_received_at"), F.count_distinct("event_id").alias("event_ids"))
     )
