@@ -14,9 +14,10 @@ def shared_folder(spark: SparkSession) -> str:
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    context.setCheckpointDir(
-        context.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="runtrace-")
-    )
+    configured = context.getConf().get("spark.checkpoint.dir", None)
+    if configured is None and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="runtrace-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
