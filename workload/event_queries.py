@@ -262,7 +262,7 @@ _SILVER_SQL = D.select(f"""u.run_id, u.event_id, u.event_name, u.event_sequence,
   u.game_version, u.schema_version, q.run_status, {D.moment('u.received_us')} AS first_received_at,
   u.ingestion_channel, q.input_event_count, q.unique_event_count, q.exact_retry_count, q.conflicting_duplicate_count,
   q.quality_issue_count, {D.day('q.opened_us')} AS received_date, q.quality_issue_count AS listed_issues,
-  u.choice_id, cast(u.total_kills as bigint) AS total_kills, u.end_reason, NULL AS common_field
+  u.choice_id, cast(u.total_kills as bigint) AS total_kills, u.end_reason, cast(NULL as varchar) AS common_field
   FROM uniq u JOIN runs q USING (run_id)""")
 
 

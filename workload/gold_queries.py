@@ -76,8 +76,8 @@ def ratio(top: str, bottom: str) -> str:
 def _metrics(dimension: str, column: str) -> Query:
     kills = "coalesce(sum(total_kills), 0)"
     seconds = f"coalesce(sum({S.micro('run_duration_seconds')}), 0)"
-    sql = f"""{column} AS {dimension}, count(run_id) AS run_count, count_if(is_started) AS started_run_count,
-      count_if(is_ended) AS ended_run_count, count_if(NOT is_ended) AS incomplete_run_count,
+    sql = f"""{column} AS {dimension}, count(run_id) AS run_count, cast(count_if(is_started) as bigint) AS started_run_count,
+      cast(count_if(is_ended) as bigint) AS ended_run_count, cast(count_if(NOT is_ended) as bigint) AS incomplete_run_count,
       {ratio(kills, 'count(total_kills)')} AS average_kill_count, {S.big('sum(total_kills)')} AS total_kill_count,
       {ratio(seconds, '1000000 * count(run_duration_seconds)')} AS average_run_seconds,
       CASE WHEN sum(total_kills) IS NOT NULL THEN {ratio(f'60000000 * {kills}', seconds)} END AS kills_per_minute,
@@ -293,8 +293,8 @@ QUERIES = {
     "versions": _served(serve.versions, "DISTINCT game_version FROM product"),
     "dash_run_overview": _served(
         serve.run_overview,
-        f"""count(*) AS total_run_count, count_if(is_started) AS started_run_count,
-        count_if(is_ended) AS ended_run_count, count_if(NOT is_ended) AS incomplete_run_count,
+        f"""count(*) AS total_run_count, cast(count_if(is_started) as bigint) AS started_run_count,
+        cast(count_if(is_ended) as bigint) AS ended_run_count, cast(count_if(NOT is_ended) as bigint) AS incomplete_run_count,
         {S.mean('run_duration_seconds')} AS average_run_seconds,
         {S.share('count_if(is_ended)', 'count(*)')} AS ended_percentage,
         {S.share('count_if(NOT is_ended)', 'count(*)')} AS incomplete_percentage,

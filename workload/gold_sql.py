@@ -170,9 +170,9 @@ pick_outcomes AS (
 upgrade_post_selection AS (
   SELECT game_version, choice_source, item_id, rarity, selection_minute,
     {big('sum(selection_count_in_run)')} AS selection_count, count(*) AS selected_run_count,
-    count_if(is_ended) AS outcome_observed_run_count,
+    cast(count_if(is_ended) as bigint) AS outcome_observed_run_count,
     {mean('remaining')} AS average_seconds_after_selection,
-    count_if(is_ended AND end_reason = 'player_death' AND remaining <= 60) AS death_within_60_seconds_count,
+    cast(count_if(is_ended AND end_reason = 'player_death' AND remaining <= 60) as bigint) AS death_within_60_seconds_count,
     {share("count_if(is_ended AND end_reason = 'player_death' AND remaining <= 60)", 'count_if(is_ended)')}
       AS death_within_60_seconds_percentage,
     {mean('final_level', 'is_ended')} AS average_final_level, {mean('total_kills', 'is_ended')} AS average_total_kills,
@@ -206,7 +206,7 @@ weapon_popularity AS (
   FROM catalog w
   LEFT JOIN (SELECT game_version, item_id, count(*) AS n, count(DISTINCT run_id) AS runs FROM offers
              WHERE choice_source = 'level_up_weapon' GROUP BY ALL) o USING (game_version, item_id)
-  LEFT JOIN (SELECT game_version, item_id, count(*) AS n, count(DISTINCT run_id) AS runs, count_if(nth = 1) AS firsts
+  LEFT JOIN (SELECT game_version, item_id, count(*) AS n, count(DISTINCT run_id) AS runs, cast(count_if(nth = 1) as bigint) AS firsts
              FROM (SELECT picks.*, row_number() OVER (PARTITION BY run_id ORDER BY event_sequence) AS nth
                    FROM picks WHERE choice_source = 'level_up_weapon')
              GROUP BY ALL) s USING (game_version, item_id)
@@ -214,7 +214,7 @@ weapon_popularity AS (
 ),
 weapon_performance AS (
   SELECT q.game_version, q.starting_weapon_id AS weapon_id, c.display_name, count(*) AS run_count,
-    count_if(is_ended) AS outcome_observed_run_count,
+    cast(count_if(is_ended) as bigint) AS outcome_observed_run_count,
     {mean('run_duration_seconds', 'is_ended')} AS average_run_seconds,
     {mean('total_kills', 'is_ended')} AS average_total_kills,
     {cents(f"60000000 * coalesce(sum(CASE WHEN is_ended THEN total_kills END), 0)",
@@ -235,8 +235,8 @@ observed AS (
 ),
 option_outcomes AS (
   SELECT o.game_version, o.choice_source, o.item_id, c.display_name, c.item_category,
-    count(*) AS offered_run_count, count_if(picked) AS selected_run_count, count_if(NOT picked) AS not_selected_run_count,
-    count_if({picked}) AS selected_outcome_run_count, count_if({rest}) AS not_selected_outcome_run_count,
+    count(*) AS offered_run_count, cast(count_if(picked) as bigint) AS selected_run_count, cast(count_if(NOT picked) as bigint) AS not_selected_run_count,
+    cast(count_if({picked}) as bigint) AS selected_outcome_run_count, cast(count_if({rest}) as bigint) AS not_selected_outcome_run_count,
     {mean('total_kills', picked)} AS selected_average_kills, {mean('total_kills', rest)} AS not_selected_average_kills,
     {diff('total_kills')} AS average_kill_difference,
     {mean('run_duration_seconds', picked)} AS selected_average_run_seconds,
