@@ -29,16 +29,14 @@ def fingerprint(document: Column) -> Column:
     return F.md5(F.schema_of_variant(document).cast("binary"))
 
 
-def product_events(silver: DataFrame, event_name: str, *columns: str, mentioning: str | None = None) -> DataFrame:
+def product_events(silver: DataFrame, event_name: str, *columns: str) -> DataFrame:
     """Product events of one type with the named columns and the parsed payload `p`.
 
-    The filters stand on stored columns, so they reach the Parquet scan and other events are never parsed.
-    `mentioning` also drops payloads whose text lacks a value; the caller still compares the parsed member.
+    The filter stands on stored columns, so it reaches the Parquet scan and other events are never parsed.
     """
-    wanted = (F.col("source_type") == contract.PRODUCT_SOURCE) & (F.col("event_name") == event_name)
-    if mentioning is not None:
-        wanted = wanted & F.col("event_payload_json").contains(f'"{mentioning}"')
-    return silver.where(wanted).select(*columns, F.try_parse_json("event_payload_json").alias("p"))
+    return silver.where(
+        (F.col("source_type") == contract.PRODUCT_SOURCE) & (F.col("event_name") == event_name)
+    ).select(*columns, F.try_parse_json("event_payload_json").alias("p"))
 
 
 def without_common_fields(event: Column) -> Column:

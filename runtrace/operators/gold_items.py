@@ -20,33 +20,21 @@ def sample_status(*observed: Column) -> Column:
     return F.when(short, "INSUFFICIENT_SAMPLE").otherwise("DESCRIPTIVE_ONLY")
 
 
-def selections(silver: DataFrame, choice_source: str | None = None) -> DataFrame:
-    rows = product_events(
-        silver,
-        "upgrade_selected",
-        "run_id",
-        "game_version",
-        "event_sequence",
-        "run_elapsed_seconds",
-        mentioning=choice_source,
-    ).select(
-        "run_id",
-        "game_version",
-        "event_sequence",
-        "run_elapsed_seconds",
+def selections(silver: DataFrame) -> DataFrame:
+    """Picks of product runs, one typed row each. Several Gold tables read them, so store them first."""
+    columns = ["run_id", "game_version", "event_sequence", "run_elapsed_seconds"]
+    return product_events(silver, "upgrade_selected", *columns).select(
+        *columns,
         field(F.col("p"), "choice_id").alias("choice_id"),
         field(F.col("p"), "choice_source").alias("choice_source"),
         field(F.col("p"), "selected_item_id").alias("item_id"),
         field(F.col("p"), "selected_rarity").alias("rarity"),
     )
-    return rows if choice_source is None else rows.where(F.col("choice_source") == choice_source)
 
 
-def exposures(silver: DataFrame, choice_source: str | None = None) -> DataFrame:
-    """One row per offered option; choices without options give none."""
-    shown = product_events(
-        silver, "upgrade_options_shown", "run_id", "game_version", mentioning=choice_source
-    ).select(
+def exposures(silver: DataFrame) -> DataFrame:
+    """Options offered in product runs, one typed row each; choices without options give none. Store them, too."""
+    shown = product_events(silver, "upgrade_options_shown", "run_id", "game_version").select(
         "run_id",
         "game_version",
         field(F.col("p"), "choice_id").alias("choice_id"),
@@ -54,11 +42,10 @@ def exposures(silver: DataFrame, choice_source: str | None = None) -> DataFrame:
         field(F.col("p"), "options", OPTIONS_TYPE).alias("options"),
     )
     kept = ["run_id", "game_version", "choice_id", "choice_source"]
-    rows = each(shown, kept, F.col("options"), "option").select(*kept, "option.*")
-    return rows if choice_source is None else rows.where(F.col("choice_source") == choice_source)
+    return each(shown, kept, F.col("options"), "option").select(*kept, "option.*")
 
 
-def first_picks(silver: DataFrame) -> DataFrame:
+def first_picks(picks: DataFrame) -> DataFrame:
     """Each run's first pick of each item with its repeat count.
 
     Earliest by elapsed time, then sequence: a minimum over a struct, so the picks of one run and item are
@@ -66,8 +53,7 @@ def first_picks(silver: DataFrame) -> DataFrame:
     """
     first = F.min(F.struct("run_elapsed_seconds", "event_sequence", "choice_source", "rarity"))
     return (
-        selections(silver)
-        .groupBy("run_id", "item_id")
+        picks.groupBy("run_id", "item_id")
         .agg(
             F.max("game_version").alias("game_version"),
             first.alias("first"),
@@ -86,7 +72,7 @@ def first_picks(silver: DataFrame) -> DataFrame:
     )
 
 
-def upgrade_post_selection(silver: DataFrame, product_runs: DataFrame) -> DataFrame:
+def upgrade_post_selection(picks: DataFrame, product_runs: DataFrame) -> DataFrame:
     """Outcomes after the first pick, by version, source, item, rarity and minute of the pick."""
     outcomes = product_runs.select(
         "run_id", "is_ended", "end_reason", "final_level", "total_kills", "run_duration_seconds"
@@ -96,10 +82,10 @@ def upgrade_post_selection(silver: DataFrame, product_runs: DataFrame) -> DataFr
         ended & F.col("run_duration_seconds").isNotNull(),
         F.greatest(exact(F.col("run_duration_seconds")) - exact(F.col("first_selected_at_seconds")), exact(F.lit(0))),
     )
-    picks = first_picks(silver).join(outcomes, "run_id").withColumn("remaining", remaining)
+    judged = first_picks(picks).join(outcomes, "run_id").withColumn("remaining", remaining)
     died_soon = ended & (F.col("end_reason") == "player_death") & (F.col("remaining") <= 60)
     observed = F.count_if(ended)
-    return picks.groupBy(
+    return judged.groupBy(
         "game_version", "choice_source", "item_id", "rarity", "selection_minute"
     ).agg(
         F.sum("selection_count_in_run").alias("selection_count"),
@@ -143,15 +129,17 @@ def item_performance_summary(post_selection: DataFrame, catalog: DataFrame) -> D
     )
 
 
-def option_outcome_comparison(silver: DataFrame, product_runs: DataFrame, catalog: DataFrame) -> DataFrame:
+def option_outcome_comparison(
+    offers: DataFrame, picks: DataFrame, product_runs: DataFrame, catalog: DataFrame
+) -> DataFrame:
     """Ended runs that were offered an option, with and without picking it.
 
     Both sides of the pick join are distinct on its key, and the result is one row per item before the catalog
     is joined.
     """
     key = ["run_id", "choice_source", "item_id"]
-    offered = exposures(silver).select("run_id", *ITEM_KEY).distinct()
-    picked = selections(silver).select(*key).distinct().withColumn("picked", F.lit(True))
+    offered = offers.select("run_id", *ITEM_KEY).distinct()
+    picked = picks.select(*key).distinct().withColumn("picked", F.lit(True))
     outcomes = product_runs.select("run_id", "is_ended", "run_duration_seconds", "total_kills")
     observations = (
         offered.join(outcomes, "run_id")
@@ -201,15 +189,15 @@ def option_outcome_comparison(silver: DataFrame, product_runs: DataFrame, catalo
     )
 
 
-def upgrade_funnel(silver: DataFrame) -> DataFrame:
+def upgrade_funnel(offers: DataFrame, picks: DataFrame) -> DataFrame:
     """Exposures and selections by source, item and rarity.
 
     Both sides are counted per choice before the join. An option offered in several rarities, or picked several
     times, meets every matching pick: the counts multiply instead of the rows.
     """
     key = ["run_id", "choice_id", "item_id"]
-    offered = exposures(silver).groupBy(*key, "choice_source", "rarity").agg(F.count("*").alias("offers"))
-    picked = selections(silver).where("item_id IS NOT NULL").groupBy(*key).agg(F.count("*").alias("picks"))
+    offered = offers.groupBy(*key, "choice_source", "rarity").agg(F.count("*").alias("offers"))
+    picked = picks.groupBy(*key).agg(F.count("*").alias("picks"))
     matched = offered.join(picked, key, "left")
     exposure_count = F.sum(F.col("offers") * F.coalesce("picks", F.lit(1)))
     selection_count = F.sum(F.col("offers") * F.coalesce("picks", F.lit(0)))
@@ -220,6 +208,6 @@ def upgrade_funnel(silver: DataFrame) -> DataFrame:
     )
 
 
-def uncatalogued_items(silver: DataFrame, catalog: DataFrame) -> DataFrame:
+def uncatalogued_items(picks: DataFrame, catalog: DataFrame) -> DataFrame:
     """Picked items without a catalog entry for their version."""
-    return selections(silver).select(*ITEM_KEY).distinct().join(catalog.select(*ITEM_KEY), ITEM_KEY, "left_anti")
+    return picks.select(*ITEM_KEY).distinct().join(catalog.select(*ITEM_KEY), ITEM_KEY, "left_anti")

@@ -6,40 +6,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runtrace.functions.numeric import cents, exact, mean, percentage
-from runtrace.operators.gold_items import exposures, sample_status, selections
+from runtrace.operators.gold_items import sample_status
 
 _WEAPON_CHOICE = "level_up_weapon"
 
 
-def weapon_popularity(silver: DataFrame, product_runs: DataFrame, catalog: DataFrame) -> DataFrame:
+def weapon_popularity(
+    offers: DataFrame, picks: DataFrame, product_runs: DataFrame, catalog: DataFrame
+) -> DataFrame:
     """Every catalog weapon with its starts, exposures and picks; weapons nobody met count 0.
 
     Events are counted per run and weapon first, so distinct runs and first picks come from rows that are
     already combined.
     """
     key = ["game_version", "item_id"]
+    weapon_choice = F.col("choice_source") == _WEAPON_CHOICE
     starts = (
         product_runs.where("is_started AND starting_weapon_id IS NOT NULL")
         .groupBy("game_version", F.col("starting_weapon_id").alias("item_id"))
         .agg(F.count("*").alias("starting_run_count"))
     )
     offered = (
-        exposures(silver, _WEAPON_CHOICE)
+        offers.where(weapon_choice)
         .groupBy("run_id", *key)
         .agg(F.count("*").alias("offers"))
         .groupBy(*key)
         .agg(F.sum("offers").alias("exposure_count"), F.count("*").alias("exposed_run_count"))
     )
-    picks = (
-        selections(silver, _WEAPON_CHOICE)
+    per_run = (
+        picks.where(weapon_choice)
         .groupBy("run_id", *key)
         .agg(F.count("*").alias("picks"), F.min("event_sequence").alias("event_sequence"))
     )
-    picked = picks.groupBy(*key).agg(
+    picked = per_run.groupBy(*key).agg(
         F.sum("picks").alias("selection_count"), F.count("*").alias("selected_run_count")
     )
     first = (
-        picks.groupBy("run_id")
+        per_run.groupBy("run_id")
         .agg(F.min(F.struct("event_sequence", *key)).alias("first"))
         .groupBy("first.game_version", "first.item_id")
         .agg(F.count("*").alias("first_selected_run_count"))

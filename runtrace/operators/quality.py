@@ -156,10 +156,10 @@ def row_rules() -> dict[str, tuple[str, list[Column]]]:
     }
 
 
-def quality_checks(tables: dict[str, DataFrame], silver: DataFrame, catalog: DataFrame) -> DataFrame:
+def quality_checks(tables: dict[str, DataFrame], picks: DataFrame, catalog: DataFrame) -> DataFrame:
     """One row per check: its name, how many rows fail, and PASS or FAIL.
 
-    `tables` holds the Gold tables by name; "run_summary" covers all source types. They are read several times,
+    `tables` holds the Gold tables by name, `picks` the selections they come from; "run_summary" covers all source types. They are read several times,
     so pass stored tables.
     """
     results = []
@@ -173,7 +173,7 @@ def quality_checks(tables: dict[str, DataFrame], silver: DataFrame, catalog: Dat
             "check_name", F.lit("run_outcome_percentage"))
     )
     results.append(
-        uncatalogued_items(silver, catalog).agg(F.count("*").alias("failed_row_count")).withColumn(
+        uncatalogued_items(picks, catalog).agg(F.count("*").alias("failed_row_count")).withColumn(
             "check_name", F.lit("item_catalog_coverage"))
     )
     status = F.when(F.col("failed_row_count") == 0, "PASS").otherwise("FAIL").alias("check_status")

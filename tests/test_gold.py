@@ -75,7 +75,7 @@ def test_funnel_multiplies_repeated_items(spark):
         picked("c", 2, "c3", "level_up_upgrade", "y"), picked("c", 3, "c3", "level_up_upgrade", "y"),
     ])
     found = {(r["item_id"], r["rarity"]): (r["exposure_count"], r["selection_count"], float(r["selection_percentage"]))
-             for r in gold_items.upgrade_funnel(rows).collect()}
+             for r in gold_items.upgrade_funnel(gold_items.exposures(rows), gold_items.selections(rows)).collect()}
     assert found == {("x", "common"): (3, 1, 33.33), ("x", "rare"): (1, 1, 100.0), ("y", "common"): (3, 2, 66.67)}
 
 
@@ -112,7 +112,7 @@ def test_first_pick_outcome_and_sample_status(spark):
                    picked(run, 4, "d", "statue", "sword", "epic", elapsed=100),
                    ended(run, 9, 120 if i < 30 else 200, kills=i)]
     rows = silver_frame(spark, events)
-    found = gold_items.upgrade_post_selection(rows, gold_runs.product_run_summary(rows)).collect()
+    found = gold_items.upgrade_post_selection(gold_items.selections(rows), gold_runs.product_run_summary(rows)).collect()
     assert len(found) == 1
     row = found[0]
     assert (row["rarity"], row["selection_minute"], row["selection_count"], row["selected_run_count"]) == (
@@ -127,7 +127,7 @@ def test_empty_arms_give_null_not_zero(spark):
         ended("a", 3, 90),
     ])
     found = {r["item_id"]: r for r in gold_items.option_outcome_comparison(
-        rows, gold_runs.product_run_summary(rows), default_catalog(spark)).collect()}
+        gold_items.exposures(rows), gold_items.selections(rows), gold_runs.product_run_summary(rows), default_catalog(spark)).collect()}
     assert found["sword"]["not_selected_average_kills"] is None and found["sword"]["average_kill_difference"] is None
     assert found["hourglass"]["selected_run_count"] == 0 and found["sword"]["display_name"] == "Sword"
 
@@ -140,7 +140,7 @@ def test_weapon_popularity_keeps_unmet_weapons(spark):
         shown("a", 4, "d", "statue", ("bone", "common")), picked("a", 5, "d", "statue", "bone"),
     ])
     found = {r["weapon_id"]: r for r in gold_weapons.weapon_popularity(
-        rows, gold_runs.product_run_summary(rows), default_catalog(spark)).collect()}
+        gold_items.exposures(rows), gold_items.selections(rows), gold_runs.product_run_summary(rows), default_catalog(spark)).collect()}
     assert len(found) == 4
     bone, fireball = found["bone"], found["fireball"]
     assert (bone["starting_run_count"], bone["exposure_count"], bone["selection_count"],

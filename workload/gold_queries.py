@@ -21,20 +21,33 @@ def gold(spark, sf_dir, name):
     if name in ("run_summary", "run_quality", "run_outcome", "checkpoint_metrics", "product_run_summary"):
         return getattr(gold_runs, name)(events)
     if name == "upgrade_funnel":
-        return gold_items.upgrade_funnel(events)
+        return gold_items.upgrade_funnel(offers(spark, sf_dir), picks(spark, sf_dir))
     runs = gold_runs.product_run_summary(events)
     if name == "run_progression":
         return gold_progression.run_progression(runs)
     if name == "upgrade_post_selection":
-        return gold_items.upgrade_post_selection(events, runs)
+        return gold_items.upgrade_post_selection(picks(spark, sf_dir), runs)
     items = catalog(spark, sf_dir)
     if name == "item_performance_summary":
-        return gold_items.item_performance_summary(gold_items.upgrade_post_selection(events, runs), items)
-    if name == "weapon_popularity":
-        return gold_weapons.weapon_popularity(events, runs, items)
+        return gold_items.item_performance_summary(gold_items.upgrade_post_selection(picks(spark, sf_dir), runs), items)
     if name == "weapon_performance":
         return gold_weapons.weapon_performance(runs, items)
-    return gold_items.option_outcome_comparison(events, runs, items)
+    function = {
+        "weapon_popularity": gold_weapons.weapon_popularity,
+        "option_outcome_comparison": gold_items.option_outcome_comparison,
+    }[name]
+    return function(offers(spark, sf_dir), picks(spark, sf_dir), runs, items)
+
+
+def picks(spark, sf_dir):
+    """The stored, typed picks that several Gold tables read."""
+    return spark.read.parquet(stored(
+        spark, sf_dir, "picks", lambda to: gold_items.selections(silver(spark, sf_dir)).write.parquet(to)))
+
+
+def offers(spark, sf_dir):
+    return spark.read.parquet(stored(
+        spark, sf_dir, "offers", lambda to: gold_items.exposures(silver(spark, sf_dir)).write.parquet(to)))
 
 
 def kept(spark, sf_dir, name):
@@ -217,12 +230,11 @@ def _quality_sql() -> str:
 def _quality_tables(spark, sf_dir):
     """The gate with one weapon missing from the catalog that Gold was built with, too."""
     items = catalog(spark, sf_dir).where("item_id <> 'steak'")
-    events = silver(spark, sf_dir)
     tables = {**all_kept(spark, sf_dir), "run_summary": kept(spark, sf_dir, "all_runs")}
     tables["item_performance_summary"] = gold_items.item_performance_summary(
         tables["upgrade_post_selection"], items
     )
-    return quality_checks(tables, events, items)
+    return quality_checks(tables, picks(spark, sf_dir), items)
 
 
 def _relabel_sql() -> str:
@@ -271,7 +283,7 @@ QUERIES = {
         lambda spark, sf_dir: comparable(gold_items.selections(silver(spark, sf_dir))), S.select("* FROM picks")
     ),
     "win_first_pick": Query(
-        lambda spark, sf_dir: comparable(gold_items.first_picks(silver(spark, sf_dir))), S.select("* FROM first_picks")
+        lambda spark, sf_dir: comparable(gold_items.first_picks(picks(spark, sf_dir))), S.select("* FROM first_picks")
     ),
     "win_share_of_total": Query(
         lambda spark, sf_dir: comparable(
@@ -287,7 +299,7 @@ QUERIES = {
     ),
     "catalog_coverage": Query(
         lambda spark, sf_dir: gold_items.uncatalogued_items(
-            silver(spark, sf_dir), catalog(spark, sf_dir).where("item_id NOT IN ('sword', 'steak')")),
+            picks(spark, sf_dir), catalog(spark, sf_dir).where("item_id NOT IN ('sword', 'steak')")),
         S.select("DISTINCT game_version, choice_source, item_id FROM picks WHERE item_id IN ('sword', 'steak')"),
     ),
     "versions": _served(serve.versions, "DISTINCT game_version FROM product"),
