@@ -5,11 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runtrace.llm import chat_format, language_id, warc
+from runtrace.llm import chat_format, decontaminate, language_id, pieces, quality, secrets, toxicity, warc
 from runtrace.llm.rows import remainder, table
 from runtrace.sources.staging import stage
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontaminate.is_contaminated().alias("contaminated"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 4) == 2
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("sentences").alias("n_offending"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(
@@ -20,15 +37,43 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest_formatted(chat_format.format_records(records, "conv_id", "record"), "conv_id")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundles = stage(warc.write_bundles(table(spark, sf_dir, "pages")), "warc")
     return warc.read_bundles(bundles, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.train(docs))
+
+    def of(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     rest = remainder("doc_id", 5)
     model = language_id.train(docs, rest != 0)
     found = language_id.predict(docs, model)
     return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pieces.encode(docs, pieces.load(), with_ids=False)
+    return found.select("doc_id", "n_pieces", "ids_sha256", "score",
+                        F.array_join(F.col("n_best").cast("array<string>"), ",").alias("n_best_scores"), "round_trip")

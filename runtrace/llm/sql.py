@@ -38,4 +38,31 @@ SELECT page_id, n::BIGINT AS payload_bytes,
 FROM f
 """
 
-SQL = {"op3_chat_format": OP3, "op5_warc": OP5}
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP1 = f"""
+WITH items AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(words), 13) AS n, array_to_string(words[i:i + 12], ' ') AS said
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS i FROM items WHERE len(words) > 0)
+),
+docs AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM docs),
+said AS (
+  SELECT p.doc_id, p.i, s.n, array_to_string(p.words[p.i:p.i + s.n - 1], ' ') AS said
+  FROM places p JOIN (SELECT DISTINCT n FROM windows) s ON p.i + s.n - 1 <= len(p.words)
+),
+hits AS (SELECT doc_id, i, s.n, item FROM said s JOIN windows w ON s.n = w.n AND s.said = w.said),
+words_hit AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY 1
+),
+items_hit AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS h FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(words), false) AS contaminated
+FROM docs LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
+"""
+
+SQL = {"op1_decontaminate": OP1, "op3_chat_format": OP3, "op5_warc": OP5}
