@@ -36,7 +36,7 @@ CUTOFF = 0.99999
 SCALE = 1024
 NUMBERS = ("log_words", "log_length", "symbols", "dup_lines", "repeats")
 #: The least standard deviation that a number is taken to have.
-FLOORS = (0.25, 0.05, 0.06, 0.12, 0.12)
+FLOORS = (0.25, 0.05, 0.06, 0.2, 0.18)
 FEW_GROUPS = 20_000
 
 _SYMBOLS = byte_set()

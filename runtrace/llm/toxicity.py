@@ -4,11 +4,12 @@ A document is a bag of sentences (parts between . ! ? and line feeds). A sentenc
 sum of weights of its words and of their first 4, 5 and 6 bytes, ASCII lower-cased and hashed into `FEATURES` places.
 The document's score is the noisy-or of its sentences: one toxic sentence is enough. Only document labels are known; the
 weights are fitted to them through the noisy-or (full-batch Adam, the round with the best log loss on a fifth that is held
-back). Features in fewer than `MIN_DOCUMENTS` of the sample have no weight.
+back). Only features have a weight that are in `MIN_DOCUMENTS` of the sample, and in toxic ones by `MIN_DEVIATIONS` standard
+deviations more or less often than labels drawn by lot would have it.
 
 The model is fitted on about `sample` labelled documents, chosen by a hash of the id (the documented bound). Scoring covers every
 whole text. Null texts, and texts without words, have no sentence and score 0. Where the labels hold one class or none,
-every score is that class's share (0 without labels). A document with several labels counts once for each.
+or no feature tells them apart, every score is the toxic share (0 without labels). A document with several labels counts once for each.
 """
 
 from __future__ import annotations
@@ -25,10 +26,11 @@ from runtrace.llm.textbytes import ALPHANUMERIC, Slice, byte_set, slices
 from runtrace.sources.staging import stage
 
 FEATURES = 1 << 18
-SAMPLE = 6000
+SAMPLE = 8000
 MIN_DOCUMENTS = 5
+MIN_DEVIATIONS = 4.0
 PREFIXES = (4, 5, 6)
-ROUNDS = 80
+ROUNDS = 150
 OFFENDING = 0.3
 _STOPS = byte_set((0x0A, 0x0A), (0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
 
@@ -98,11 +100,19 @@ def fit(bags: pd.DataFrame, rounds: int = ROUNDS) -> ToxicityModel:
         return ToxicityModel(np.zeros(0), 0.0, float(labels[0]) if len(labels) else 0.0)
     width = 1 + len(PREFIXES)
     rows = [np.frombuffer(x, np.int32).reshape(-1, width) for x in bags["numbers"]]
-    in_documents = np.zeros(FEATURES, np.int64)
-    for r in rows:
+    held = np.arange(len(labels)) % 5 == 4
+    learn = ~held
+    in_documents, in_toxic = np.zeros(FEATURES), np.zeros(FEATURES)
+    for r, toxic in zip([rows[i] for i in np.flatnonzero(learn)], labels[learn]):
         there = np.unique(r)
-        in_documents[there[there >= 0]] += 1
-    use = np.concatenate([in_documents >= MIN_DOCUMENTS, [False]])
+        there = there[there >= 0]
+        in_documents[there] += 1
+        in_toxic[there] += toxic
+    share = labels[learn].mean()
+    apart = np.abs(in_toxic - in_documents * share) / np.sqrt(np.maximum(in_documents * share * (1 - share), 1e-9))
+    use = np.concatenate([(in_documents >= MIN_DOCUMENTS) & (apart >= MIN_DEVIATIONS), [False]])
+    if not use.any():
+        return ToxicityModel(np.zeros(0), 0.0, float(labels.mean()))
     flat, sentence, document, at = [], [], [], 0
     for d, (r, s) in enumerate(zip(rows, bags["sentence"])):
         if not len(r):
@@ -117,8 +127,6 @@ def fit(bags: pd.DataFrame, rounds: int = ROUNDS) -> ToxicityModel:
         at += len(first)
     places, inverse = np.unique(np.concatenate(flat), return_inverse=True)
     sentence, document = np.concatenate(sentence), np.array(document)
-    held = np.arange(len(labels)) % 5 == 4
-    learn = ~held
     w, bias = np.zeros(len(places)), -5.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     best = (np.inf, w, bias)
