@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runtrace.llm import chat_format, decontaminate, language_id, pieces, quality, secrets, toxicity, warc
+from runtrace.llm import chat_format, decontaminate, jaccard_join, language_id, lm, pieces, quality, secrets, toxicity, warc
 from runtrace.llm.rows import remainder, table
 from runtrace.sources.staging import stage
 
@@ -72,6 +72,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 7) == 2
+    return lm.score(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pieces.encode(docs, pieces.load(), with_ids=False)

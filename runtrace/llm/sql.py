@@ -65,4 +65,23 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM docs LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
 """
 
-SQL = {"op1_decontaminate": OP1, "op3_chat_format": OP3, "op5_warc": OP5}
+OP8 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM d WHERE len(words) > 0)
+), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+links AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM shingles x JOIN shingles y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2
+  ) p JOIN sizes m ON m.doc_id = a JOIN sizes n ON n.doc_id = b WHERE 100 * shared >= 80 * (m.n + n.n - shared)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id
+FROM (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY 1) LEFT JOIN sizes USING (doc_id)
+"""
+
+SQL = {"op8_jaccard_join": OP8, "op1_decontaminate": OP1, "op3_chat_format": OP3, "op5_warc": OP5}
