@@ -8,12 +8,13 @@ All sets are ordered by one global order: rare shingles by hash, then frequent o
 links; this one keeps shared passages out of the prefixes. Of a set of n, the first n - ceil(0.8 n) + 1 shingles are its
 prefix, and sets that link share one in both prefixes.
 
-1. Frequent shingles: those that some task sees again, by their sum over tasks; the `FREQUENT` most frequent go to all tasks.
+1. Frequent shingles: those in two or more of a quarter of the documents; the `FREQUENT` most frequent go to all tasks.
 2. Prefixes of all documents; equal sets become one class (grouped by set signature, so copies are never paired).
-3. Star round: each class is compared with the class it shares most prefix shingles with as the first of their posting
-   lists: at most one comparison for a class, however many near copies there are.
-4. Last round: only classes in posting lists that still hold different components meet. Their shared prefix shingles are
-   counted; pairs whose count can't reach the overlap any more are dropped, the rest compared. So no link between components is lost.
+3. Star rounds: each posting list has a centre (first the class that meets most others, then the one with most links), and each class is compared with the `CENTRES` centres of other components it shares most
+   prefix shingles with: so many comparisons for a class and round, however many near copies there are.
+4. Last round: only classes in posting lists that still hold different components meet, and only where the list's shingle comes so
+   early in both sets that it can be their first common one. Pairs whose shared prefix shingles can't reach the overlap any
+   more are dropped, the rest compared. So no link between components is lost.
 5. Components of the links, by alternating large and small stars over stored tables.
 
 A comparison builds a prefix tree of the ordered sets that are compared with one set (at most `GROUP`, larger groups are salted),
@@ -37,14 +38,16 @@ from runtrace.sources.staging import stage
 
 SHINGLE = 5
 FREQUENT = 1 << 20
-#: The least number of documents, over all tasks that see a shingle twice, to call it frequent.
-FREQUENT_DOCUMENTS = 6
+SAMPLED = 4
 #: Members that one set is compared with at once, and rows of a task of comparisons.
 GROUP = 256
 COMPARED_AT_ONCE = 2000
 #: Prefix shingles of a posting task.
 POSTINGS_AT_ONCE = 2_000_000
 FEW_TEXTS = 1_000_000
+#: Star rounds end when one links less than a hundredth of the classes that meet, or after so many.
+STAR_ROUNDS = 6
+CENTRES = 4
 _RARE = np.uint64(2**63 - 1)
 _FREQUENT = np.uint64(2**63)
 
@@ -90,15 +93,17 @@ def _ordered(part: Slice, frequent: np.ndarray, ranks: np.ndarray) -> tuple[np.n
 
 
 def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of shingles that many documents share, rising, and the rank of each by count."""
+    """Hashes of shingles that many documents share, rising, and the rank of each by count.
+
+    They are counted in one of `SAMPLED` documents. The order only decides how many pairs meet, not which of them link.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
 
-        def repeated():
+        def counted():
             hashes, counts = np.unique(np.concatenate(kept), return_counts=True)
-            again = counts > 1
-            return pa.RecordBatch.from_arrays([pa.array(hashes[again].view(np.int64)), pa.array(counts[again])], names=["shingle", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["shingle", "n"])
 
         for _, part in slices(batches, "text"):
             hashes, owners = shingles(part)
@@ -107,13 +112,14 @@ def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarra
             kept.append(hashes[np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])])] if len(hashes) else hashes)
             size += len(kept[-1])
             if size > 4_000_000:
-                yield repeated()
+                yield counted()
                 kept, size = [], 0
         if kept:
-            yield repeated()
+            yield counted()
 
-    counts = docs.select("text").mapInArrow(work, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") >= FREQUENT_DOCUMENTS).orderBy(F.desc("n"), "shingle").limit(limit).toArrow()
+    some = docs.where(F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(SAMPLED)) == 0).select("text")
+    counts = some.mapInArrow(work, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    rows = counts.where("n > 1").orderBy(F.desc("n"), "shingle").limit(limit).toArrow()
     hashes = np.asarray(rows.column(0).to_numpy()).astype(np.int64).view(np.uint64)
     ranks = np.arange(len(hashes), 0, -1, dtype=np.int64)  # the most frequent comes last
     order = np.argsort(hashes)
@@ -128,7 +134,7 @@ def _set_rows(docs: DataFrame, order, whole: bool, keys: list[str]) -> DataFrame
         for batch, part in slices(batches, "text"):
             tokens, bounds = _ordered(part, frequent, ranks)
             size = np.diff(bounds)
-            signatures = [np.concatenate([[0], np.cumsum(mix(tokens + np.uint64(salt)))]).astype(np.uint64) for salt in (0x1234567, 0xABCDEF9)]
+            signatures = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens + np.uint64(salt)))]) for salt in (0x1234567, 0xABCDEF9)]
             both = np.stack([s[bounds[1:]] - s[bounds[:-1]] for s in signatures], axis=1)
             length = size if whole else np.where(size > 0, prefix_length(size), 0)
             yield pa.RecordBatch.from_arrays(
@@ -140,20 +146,25 @@ def _set_rows(docs: DataFrame, order, whole: bool, keys: list[str]) -> DataFrame
     return docs.select(*keys, "text").mapInArrow(work, ", ".join([*kinds, "n bigint, signature binary, tokens binary"]))
 
 
-_POSTINGS = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("shingles", "who", "classes", "sizes", "labels")]])
+_POSTINGS = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("shingles", "who", "classes", "sizes", "labels", "ranks", "places")]])
+
+
+_NAMES = ("classes", "sizes", "labels", "ranks")
 
 
 def _postings(classes: DataFrame, buckets: int) -> DataFrame:
-    """Prefix shingles of classes (cls, n, label, tokens), packed by the bucket of their hash."""
+    """Prefix shingles of classes (cls, n, label, rank, tokens), packed by the bucket of their hash."""
 
     def work(batches):
         kept, size = [], 0
 
         def rows():
-            columns = [np.concatenate([np.asarray(b.column(i)) for b in kept]) for i in range(3)]
-            texts = [t for b in kept for t in b.column(3).to_pylist()]
+            columns = [np.concatenate([np.asarray(b.column(i)) for b in kept]) for i in range(4)]
+            texts = [t for b in kept for t in b.column(4).to_pylist()]
             tokens = np.frombuffer(b"".join(texts), np.uint64)
-            who = np.repeat(np.arange(len(texts)), [len(t) // 8 for t in texts])
+            lengths = np.array([len(t) // 8 for t in texts])
+            who = np.repeat(np.arange(len(texts)), lengths)
+            places = (np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.uint32)
             bucket = ((mix(tokens) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -161,8 +172,8 @@ def _postings(classes: DataFrame, buckets: int) -> DataFrame:
                 some = order[bounds[k]:bounds[k + 1]]
                 if len(some):
                     there, index = np.unique(who[some], return_inverse=True)
-                    row = {"bucket": k, "shingles": tokens[some].tobytes(), "who": index.astype(np.uint32).tobytes()}
-                    row |= {name: column[there].astype(np.int64).tobytes() for name, column in zip(("classes", "sizes", "labels"), columns)}
+                    row = {"bucket": k, "shingles": tokens[some].tobytes(), "who": index.astype(np.uint32).tobytes(), "places": places[some].tobytes()}
+                    row |= {name: column[there].astype(np.int64).tobytes() for name, column in zip(_NAMES, columns)}
                     yield pa.RecordBatch.from_pylist([row], schema=_POSTINGS)
 
         for batch in batches:
@@ -174,25 +185,28 @@ def _postings(classes: DataFrame, buckets: int) -> DataFrame:
         if size:
             yield from rows()
 
-    ddl = "bucket int, shingles binary, who binary, classes binary, sizes binary, labels binary"
-    return classes.select("cls", "n", "label", "tokens").mapInArrow(work, ddl)
+    ddl = "bucket int, " + ", ".join(f"{c} binary" for c in _POSTINGS.names[1:])
+    return classes.select("cls", "n", "label", "rank", "tokens").mapInArrow(work, ddl)
 
 
 def _lists(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """Entries of a bucket that share their shingle with another class: list number, class, size, label; in order of these."""
-    shingle, cls, size, label = [], [], [], []
+    """Entries of a bucket that share their shingle with another class, by list and class.
+
+    Number of the list, class, size, label, rank, and place of the shingle in the class's set.
+    """
+    shingle, places, columns = [], [], {name: [] for name in _NAMES}
     for r in table.to_pylist():
         who = np.frombuffer(r["who"], np.uint32)
         shingle.append(np.frombuffer(r["shingles"], np.uint64))
-        for out, name in ((cls, "classes"), (size, "sizes"), (label, "labels")):
+        places.append(np.frombuffer(r["places"], np.uint32).astype(np.int64))
+        for name, out in columns.items():
             out.append(np.frombuffer(r[name], np.int64)[who])
-    shingle, cls, size, label = map(np.concatenate, (shingle, cls, size, label))
+    shingle, cls, *others = map(np.concatenate, (shingle, *columns.values(), places))
     order = np.lexsort((cls, shingle))
-    shingle, cls, size, label = shingle[order], cls[order], size[order], label[order]
-    new = np.concatenate([[True], shingle[1:] != shingle[:-1]])
-    number = np.cumsum(new) - 1
+    shingle = shingle[order]
+    number = np.cumsum(np.concatenate([[True], shingle[1:] != shingle[:-1]])) - 1
     shared = np.bincount(number)[number] > 1
-    return number[shared], cls[shared], size[shared], label[shared]
+    return number[shared], *[x[order][shared] for x in (cls, *others)]
 
 
 def _counted(a: np.ndarray, b: np.ndarray) -> pa.Table:
@@ -205,27 +219,37 @@ def _counted(a: np.ndarray, b: np.ndarray) -> pa.Table:
     return pa.table([pa.array(a[firsts]), pa.array(b[firsts]), pa.array(np.diff(np.append(firsts, len(a))))], names=["a", "b", "shared"])
 
 
+def _degrees(table: pa.Table) -> pa.Table:
+    """How many others each class meets in all its posting lists."""
+    number, cls, *_ = _lists(table)
+    there, place = np.unique(cls, return_inverse=True)
+    degree = np.bincount(place, np.bincount(number)[number] - 1, minlength=len(there)) if len(number) else []
+    return pa.table([pa.array(there, pa.int64()), pa.array(np.asarray(degree, np.int64))], names=["cls", "degree"])
+
+
 def _stars(table: pa.Table) -> pa.Table:
-    """Every class of a posting list with the first of the list."""
-    number, cls, _, _ = _lists(table)
+    """Classes of a posting list with its centre, the class of the least rank, where they are of other components."""
+    number, cls, _, label, rank, _ = _lists(table)
     if len(number) == 0:
         return _counted(number, cls)
-    first = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
-    centre = cls[first][np.cumsum(np.concatenate([[0], number[1:] != number[:-1]]))]
-    other = centre != cls
-    return _counted(centre[other], cls[other])
+    order = np.lexsort((cls, rank, number))
+    number, cls, label = number[order], cls[order], label[order]
+    new = np.concatenate([[True], number[1:] != number[:-1]])
+    centre = np.flatnonzero(new)[np.cumsum(new) - 1]
+    other = label[centre] != label
+    return _counted(cls[centre][other], cls[other])
 
 
 def _crossings(table: pa.Table) -> pa.Table:
-    """Pairs of classes of different components and fitting sizes that share a posting list."""
-    number, cls, size, label = _lists(table)
+    """Pairs of classes of different components that may link: their first common shingle has to come early in both sets."""
+    number, cls, size, label, _, place = _lists(table)
     order = np.lexsort((size, number))
-    number, cls, size, label = number[order], cls[order], size[order], label[order]
+    number, cls, size, label, place = number[order], cls[order], size[order], label[order], place[order]
     # Lists whose members are all of one component are settled.
     mixed = np.zeros(number.max(initial=-1) + 1, bool)
     mixed[number[1:][(number[1:] == number[:-1]) & (label[1:] != label[:-1])]] = True
     keep = mixed[number]
-    number, cls, size, label = number[keep], cls[keep], size[keep], label[keep]
+    number, cls, size, label, place = number[keep], cls[keep], size[keep], label[keep], place[keep]
     found: list[pa.Table] = []
     low = np.arange(len(number))
     step = 1
@@ -234,7 +258,9 @@ def _crossings(table: pa.Table) -> pa.Table:
         high = low + step
         near = (number[low] == number[high]) & (5 * size[low] >= 4 * size[high])
         low, high = low[near], high[near]  # sizes rise, so no later one fits either
-        cross = label[low] != label[high]
+        least = needed(size[low], size[high])
+        early = (place[low] <= size[low] - least) & (place[high] <= size[high] - least)
+        cross = early & (label[low] != label[high])
         a, b = cls[low[cross]], cls[high[cross]]
         if len(a):
             found.append(_counted(np.minimum(a, b), np.maximum(a, b)))
@@ -386,23 +412,34 @@ def join(docs: DataFrame) -> DataFrame:
     classes = classes.withColumns({"doc_id": F.col("least.doc_id"), "text_hash": F.col("least.text_hash")})
     classes = stage(classes.select("signature", member.alias("member"), "n", "tokens", F.monotonically_increasing_id().alias("cls")), "jaccard-classes")
 
-    def posted(labelled: DataFrame, find) -> DataFrame:
+    def posted(labelled: DataFrame, find, ddl: str = "a bigint, b bigint, shared bigint") -> DataFrame:
         total = labelled.agg(F.sum(F.length("tokens") / 8)).first()[0] or 0
         buckets = max(1, -(-int(total) // POSTINGS_AT_ONCE))
-        found = _postings(labelled, buckets).groupBy("bucket").applyInArrow(find, "a bigint, b bigint, shared bigint")
-        return found.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
-
-    stars = stage(posted(classes.withColumn("label", F.col("cls")), _stars), "jaccard-stars")
-    best = stars.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("back"))).alias("best"))
-    best = best.select("b", (-F.col("best.back")).alias("a"), "best.shared")
-    links = stage(_links(_fitting(best, classes), docs, classes, order), "jaccard-links")
-
-    meeting = stars.select(F.col("a").alias("cls")).union(stars.select("b")).distinct()
-    labels = components(links)
-    labelled = classes.join(meeting, "cls", "left_semi").join(labels, "cls", "left")
-    labelled = labelled.withColumn("label", F.coalesce("label", "cls"))
-    crossing = posted(labelled, _crossings)
-    more = _links(_fitting(crossing, classes), docs, classes, order)
+        *keys, value = [c.split()[0] for c in ddl.split(", ")]
+        found = _postings(labelled, buckets).groupBy("bucket").applyInArrow(find, ddl)
+        return found.groupBy(*keys).agg(F.sum(value).alias(value))
+
+    plain = classes.select("*", F.col("cls").alias("label"), F.lit(0).cast("bigint").alias("rank"))
+    meeting = stage(posted(plain, _degrees, "cls bigint, degree bigint"), "jaccard-meeting")
+    # The first centres are those that meet most others.
+    now, links = classes.join(meeting, "cls").select(*classes.columns, F.col("cls").alias("label"), (-F.col("degree")).alias("rank")), None
+    for _ in range(STAR_ROUNDS):
+        stars = stage(posted(now, _stars), "jaccard-stars")
+        # A class has at most as many centres as prefix shingles.
+        centres = _sized(stars, classes).groupBy("b").agg(F.collect_list(F.struct("shared", "a")).alias("all"))
+        best = F.slice(F.sort_array("all", asc=False), 1, CENTRES)
+        found = _links(centres.select("b", F.explode(best).alias("best")).select("best.a", "b"), docs, classes, order)
+        found = stage(found, "jaccard-links")
+        links = found if links is None else links.union(found)
+        # The classes with most links are the next centres.
+        linked = links.select(F.col("a").alias("cls")).union(links.select("b")).groupBy("cls").agg(F.count("*").alias("links"))
+        now = classes.join(meeting, "cls", "left_semi").join(components(links), "cls", "left").join(linked, "cls", "left")
+        rank = -F.coalesce("links", F.lit(0))
+        now = now.select(*classes.columns, F.coalesce("label", "cls").alias("label"), rank.alias("rank"))
+        if 100 * found.count() < meeting.count():
+            break
+    crossings = stage(posted(now, _crossings), "jaccard-crossings")
+    more = _links(_fitting(crossings.select("a", "b"), classes), docs, classes, order)
     labels = stage(components(stage(links.union(more), "jaccard-links")), "jaccard-labels")
 
     named = classes.select("cls", "signature", "member.doc_id").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
@@ -413,11 +450,27 @@ def join(docs: DataFrame) -> DataFrame:
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _fitting(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose sizes and shared prefix shingles still allow a link."""
+def _sized(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs with the sizes of both, where these allow a link."""
     n = classes.select("cls", "n")
     sized = pairs.join(n.withColumnsRenamed({"cls": "a", "n": "n_a"}), "a").join(n.withColumnsRenamed({"cls": "b", "n": "n_b"}), "b")
-    rest = lambda c: F.floor((4 * F.col(c) + 4) / 5) - 1  # noqa: E731  shingles behind the prefix
-    least = F.ceil(4 * (F.col("n_a") + F.col("n_b")) / 9)
-    fits = (5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")) & (F.col("shared") + F.greatest(rest("n_a"), rest("n_b")) >= least)
-    return sized.where(fits).select("a", "b")
+    return sized.where(5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b"))
+
+
+def _fitting(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs whose shared prefix shingles and remaining sizes still allow a link."""
+
+    def work(batches):
+        for batch in batches:
+            a, b, n_a, n_b, t_a, t_b = (c.to_pylist() for c in batch.columns)
+            keep = []
+            for n, m, x, y in zip(n_a, n_b, t_a, t_b):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                keep.append(shared + max(n - len(x), m - len(y)) >= needed(n, m))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    c = classes.select("cls", "n", "tokens")
+    both = pairs.join(c.withColumnsRenamed({"cls": "a", "n": "n_a", "tokens": "t_a"}), "a")
+    both = both.join(c.withColumnsRenamed({"cls": "b", "n": "n_b", "tokens": "t_b"}), "b")
+    return both.select("a", "b", "n_a", "n_b", "t_a", "t_b").mapInArrow(work, "a bigint, b bigint")
