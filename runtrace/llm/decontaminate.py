@@ -17,7 +17,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from runtrace.llm.rows import same_text, without
+from runtrace.sources.staging import stage
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words before A-Z are lower-cased.
+CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW_WORDS = 13
 WINDOWS_AT_ONCE = 200_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -87,21 +92,18 @@ def is_contaminated() -> Column:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Document rows that are not contaminated, with all their columns."""
     bad = contamination(docs, benchmark).where(is_contaminated()).select("doc_id", "text_hash").distinct()
-    rows = docs.withColumn("text_hash", F.xxhash64("text"))
-    same = rows["doc_id"].eqNullSafe(bad["doc_id"]) & (rows["text_hash"] == bad["text_hash"])
-    return rows.join(bad, same, "left_anti").select(*[rows[f"`{c}`"] for c in docs.columns])
+    return without(docs, stage(bad, "contaminated"))
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Every document row with its hit words cut out of the text; what stands between words stays."""
     found = contamination(docs, benchmark).where("n_hit > 0").select("doc_id", "text_hash", "spans").dropDuplicates(["doc_id", "text_hash"])
-    rows = docs.withColumn("text_hash", F.xxhash64("text"))
-    same = rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["text_hash"] == found["text_hash"])
-    words, gaps = F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.split("text", WORD, -1)
-    places = F.flatten(F.transform("spans", lambda s: F.sequence(s["first"].cast("bigint"), s["first"] + s["fresh"] - 1)))
+    found = stage(found.select("doc_id", "text_hash", "spans"), "hit-spans")
+    words, gaps = F.regexp_extract_all(docs["text"], F.lit(CASED_WORD), F.lit(0)), F.split(docs["text"], CASED_WORD, -1)
+    places = F.flatten(F.transform(found["spans"], lambda s: F.sequence(s["first"].cast("bigint"), s["first"] + s["fresh"] - 1)))
     kept = F.transform(words, lambda w, i: F.concat(
         F.when(F.array_contains(places, i.cast("bigint")), F.lit("")).otherwise(w), F.element_at(gaps, i + 2)))
     cut = F.concat(F.element_at(gaps, 1), F.array_join(kept, ""))
-    joined = rows.join(found, same, "left")
-    text = F.when(F.col("spans").isNull(), rows["text"]).otherwise(cut)
-    return joined.select(*[(text.alias(c) if c == "text" else rows[f"`{c}`"]) for c in docs.columns])
+    text = F.when(found["spans"].isNull(), docs["text"]).otherwise(cut)
+    joined = docs.join(found, same_text(docs, found), "left")
+    return joined.select(*[(text.alias(c) if c == "text" else docs[f"`{c}`"]) for c in docs.columns])

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runtrace.llm.rows import same_text, without
 from runtrace.llm.textbytes import UNSPACED, Slice, chain, mix, slices, windows
 from runtrace.sources.staging import stage
 
@@ -399,7 +400,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """Per row of docs (doc_id, text): doc_id, text_hash, n_shingles, component_id."""
+    """Per row of docs (doc_id, text): doc_id, text_hash, n_shingles, component (a number), component_id (its smallest id)."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     order = spark.sparkContext.broadcast(frequent_shingles(docs))
@@ -444,12 +445,30 @@ def join(docs: DataFrame) -> DataFrame:
 
     named = classes.select("cls", "signature", "member.doc_id").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     ids = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    by_set = named.join(ids, "label").select("signature", "component_id")
+    by_set = named.join(ids, "label").select("signature", F.col("label").alias("component"), "component_id")
     out = prefixes.select("doc_id", "text_hash", "n", "signature").join(by_set, "signature", "left")
-    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"),
+    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component",
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def without_copies(docs: DataFrame) -> DataFrame:
+    """One document of each component, that of the smallest id; documents with empty sets stay."""
+    found = stage(join(docs).where("component IS NOT NULL").select("component", "doc_id", "text_hash"), "jaccard-components")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    first = found.groupBy("component").agg(first, F.count("*").alias("n")).where("n > 1").select("component", "first", "n")
+    one = (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))) & (F.col("text_hash") == F.col("first.text_hash"))
+    copies = found.join(first, "component").groupBy("component", "doc_id", "text_hash").agg(
+        F.first(one).alias("one"), F.count("*").alias("rows"))
+    copies = stage(copies, "jaccard-copies")
+    kept = without(docs, copies.where(~F.col("one")).select("doc_id", "text_hash").distinct())
+    again = stage(copies.where("one AND rows > 1").select("doc_id", "text_hash"), "jaccard-again")
+    if again.isEmpty():
+        return kept
+    # Rows that are repeated whole: one of each stays.
+    single = docs.join(again, same_text(docs, again), "left_semi").dropDuplicates(["doc_id", "text"])
+    return without(kept, again).unionByName(single)
+
+
 def _sized(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs with the sizes of both, where these allow a link."""
     n = classes.select("cls", "n")

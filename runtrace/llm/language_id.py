@@ -8,7 +8,7 @@ passages of that length, drawn from training vectors, reach. Texts below 16 trig
 
 The model is fitted on about `per_language` labelled rows of each language, chosen by a hash of the id (the documented
 bound); prediction covers every whole text. Null texts and texts without a letter are `und`, score 0, rejected. With
-nothing to learn from, all are `und`. Equal cosines go to the language with more training rows, then the smaller name.
+nothing to learn from, all are `und`, and only texts without a letter are rejected. Equal cosines go to the language with more training rows, then the smaller name.
 """
 
 from __future__ import annotations
@@ -184,15 +184,32 @@ def predict(docs: DataFrame, model: LanguageModel | None, key: str = "doc_id", t
     def work(batches):
         model = shared.value
         for batch, part in slices(batches, "text", size=_BYTES):
-            spoken = has_letter(part)
-            names, score, far = np.full(part.n, "und", object), np.zeros(part.n), ~spoken
-            if model is not None:
-                best, cosine, too_far = model.predict(part)
-                names[spoken] = np.array(model.languages, object)[best[spoken]]
-                score, far = np.where(spoken, cosine, 0), far | too_far
+            names, score, far = _judged(part, model)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(far)],
                                              names=["key", "lang_pred", "score", "rejected"])
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     return rows.mapInArrow(work, f"key {kind}, lang_pred string, score double, rejected boolean").withColumnRenamed("key", key)
+
+
+def _judged(part: Slice, model: LanguageModel | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score and whether it is rejected, for each text."""
+    spoken = has_letter(part)
+    names, score, far = np.full(part.n, "und", object), np.zeros(part.n), ~spoken
+    if model is not None:
+        best, cosine, too_far = model.predict(part)
+        names[spoken] = np.array(model.languages, object)[best[spoken]]
+        score, far = np.where(spoken, cosine, 0), far | too_far
+    return names, score, far
+
+
+def without_rejected(docs: DataFrame, model: LanguageModel | None, text: str = "text") -> DataFrame:
+    """The rows that have a language, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches):
+        for batch, part in slices(batches, text, size=_BYTES):
+            yield batch.filter(pa.array(~_judged(part, shared.value)[2]))
+
+    return docs.mapInArrow(work, docs.schema)

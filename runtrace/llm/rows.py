@@ -1,4 +1,4 @@
-"""Small helpers the operators share: tables by name, remainders of ids, and rows that join on possibly null ids."""
+"""Small helpers the operators share: tables by name, remainders of ids, and rows told apart by id and text."""
 
 from __future__ import annotations
 
@@ -21,3 +21,18 @@ def remainder(doc_id: str, modulus: int) -> Column:
 def remainders(ids: list, modulus: int) -> np.ndarray:
     """The same inside a task."""
     return np.fromiter((zlib.crc32(b"" if i is None else str(i).encode()) % modulus for i in ids), np.int64, len(ids))
+
+
+#: Rows of an id and a hash that are broadcast at most: some tens of MB in each executor.
+FEW_KEYS = 1_000_000
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Document rows whose doc_id and text are not among keys (doc_id, text_hash), which should be stored. Nulls are equal."""
+    few = F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
+    return docs.join(few, same_text(docs, few), "left_anti")
+
+
+def same_text(docs: DataFrame, keys: DataFrame) -> Column:
+    """Condition that a document row has the id and the text of a key; ids may be null."""
+    return docs["doc_id"].eqNullSafe(keys["doc_id"]) & (F.xxhash64(docs["text"]) == keys["text_hash"])

@@ -2,7 +2,7 @@
 
 Patterns, leftmost and non-overlapping per kind, give the base spans. They also label the samples: characters of their
 values train the model of random strings, all other runs of token characters the model of ordinary identifiers.
-Both are first-order Markov chains over 68 token characters, counted over all documents and smoothed by a half. A run of
+Both are first-order Markov chains over 68 token characters, counted over all documents, and smoothed by the symbols' own shares. A run of
 `MIN_RUN` or more token characters that touches no base span is a secret of kind `markov` if its log-likelihood ratio is at least
 `MIN_BITS` and `BITS_A_CHARACTER` for each character. Without any base span there is nothing to learn from and no such
 span. Spans are in code points, end exclusive. Null texts are empty and have none; equal rows have equal spans.
@@ -31,6 +31,8 @@ ASSIGN_VALUE = 12
 MIN_RUN = 16
 MIN_BITS = 24.0
 BITS_A_CHARACTER = 1.5
+#: Samples that a symbol's own share counts for, after each symbol.
+SMOOTHING = 100.0
 
 _TOKEN = byte_set((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
 _TOKEN[[ord(c) for c in "+/_.=-"]] = True
@@ -88,14 +90,20 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray | None:
     rows = docs.select(text).mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(2 * cells)
     counts[[r.cell for r in rows]] = [r.n for r in rows]
-    ordinary, secret = counts.reshape(2, _SYMBOLS, _SYMBOLS)[:, :, :_OUTSIDE] + 0.5
-    if not counts[cells:].any():
+    ordinary, secret = counts.reshape(2, _SYMBOLS, _SYMBOLS)[:, :, :_OUTSIDE]
+    if not secret.any():
         return None
     bits = np.zeros((_SYMBOLS, _SYMBOLS))
-    bits[:, :_OUTSIDE] = np.log2(secret / secret.sum(1, keepdims=True)) - np.log2(ordinary / ordinary.sum(1, keepdims=True))
+    bits[:, :_OUTSIDE] = np.log2(_chain(secret)) - np.log2(_chain(ordinary))
     return bits.ravel()
 
 
+def _chain(counts: np.ndarray) -> np.ndarray:
+    """Chances of the next symbol, each row smoothed by the symbols' own shares."""
+    shares = counts.sum(0) + 0.5
+    return (counts + SMOOTHING * shares / shares.sum()) / (counts.sum(1, keepdims=True) + SMOOTHING)
+
+
 def _spans(part: Slice, bits: np.ndarray | None) -> list[list[tuple[int, int, int]]]:
     """Per text: start, kind and end of its spans in bytes of the slice, in order."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in range(part.n)]
