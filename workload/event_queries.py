@@ -452,7 +452,7 @@ def _evolution(spark, sf_dir):
 
 
 def _rekey(spark, sf_dir):
-    rows = telemetry(spark, sf_dir).where("r % 5 = 1 AND r % 6 > 0")
+    rows = telemetry(spark, sf_dir)
     generated = rekey.rekeyed(rows.select(F.parse_json(event_json()).alias("event")), copies=2)
     member = lambda name: F.try_variant_get("event", f"$.{name}", "string").alias(name)
     return generated.select(
@@ -471,10 +471,14 @@ _REKEY_SQL = f"""WITH {telemetry_sql(DUCKDB)} SELECT cast(copy as bigint) AS cop
   {_uuid_sql('event', 'run_id', 'event_id')} AS event_id,
   CASE WHEN choice_id IS NOT NULL THEN {_uuid_sql('choice', 'run_id', 'choice_id')} END AS choice_id,
   'CONTROLLED_SCENARIO' AS source_type, event_name, game_version, end_reason, event_sequence
-FROM telemetry, (VALUES ('1'), ('2')) c(copy) WHERE r % 5 = 1 AND r % 6 > 0"""
+FROM telemetry, (VALUES ('1'), ('2')) c(copy)"""
 
 
 QUERIES = {
+    "telemetry_coverage": Query(
+        lambda spark, sf_dir: comparable(telemetry(spark, sf_dir, faults=True).groupBy("day").agg(
+            F.count("*").alias("events"), F.count_distinct("event_id").alias("event_ids"))),
+        "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS events, count(DISTINCT event_id) AS event_ids FROM events GROUP BY 1"),
     "bronze_scan": Query(_bronze_scan, D.select(f"""run_id, count(*) AS deliveries,
         {D.moment('min(received_us)')} AS first_received_at, {D.moment('max(received_us)')} AS last_received_at,
         count(DISTINCT event_id) AS event_ids FROM deliveries GROUP BY run_id""")),

@@ -77,7 +77,7 @@ runs AS (
     max(checkpoint_number) AS highest_checkpoint_number,
     count(*) FILTER (event_name = 'upgrade_options_shown') AS upgrade_shown_count,
     count(*) FILTER (event_name = 'upgrade_selected') AS upgrade_selected_count,
-    max(e) - CASE WHEN max(r) % 6 = 0 THEN 1 ELSE 0 END AS unique_event_count,
+    max(e) AS unique_event_count,
     max(r) % 3 AS exact_retry_count, CASE WHEN max(r) % 13 = 0 THEN 1 ELSE 0 END AS conflicting_duplicate_count,
     CASE WHEN max(r) % 6 = 0 THEN 1 ELSE 0 END AS quality_issue_count
   FROM telemetry GROUP BY run_id

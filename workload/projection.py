@@ -1,7 +1,8 @@
 """The given `events` table read as run telemetry.
 
-A row's place in its run follows from its event_id alone (24 consecutive ids make a run), so the projection needs
-neither a window nor a shuffle. One SQL text serves Spark and DuckDB; only the few spellings in `Dialect` differ.
+Every row of the table is an event of some run. Its place follows from its event_id alone, so the projection needs neither a
+window nor a shuffle: 24 consecutive ids are one run or two of different lengths, and each sixth stretch of 1,200 ids is one
+long run. Missing ends and gaps come from the type and the number an event gets, not from leaving rows out. One SQL text serves Spark and DuckDB; only the few spellings in `Dialect` differ.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from runtrace.sources.catalog import for_versions
 from runtrace.sources.staging import exists, new_folder
 
 RUN_LENGTH = 24
+LONG_RUN = 1200
 VERSIONS = ("1.0.0", "1.1.0", "1.2.0")
 
 
@@ -81,7 +83,7 @@ def telemetry_sql(d: Dialect, source: str = "events", faults: bool = False) -> s
     odd = "r % 4 = 3"  # runs with sequence faults
     dirty = "r % 4 = 1"  # runs with contract faults
     rarity = [pick(f"((h + {slot}) % 5)", contract.RARITIES, d) for slot in (1, 2, 3)]
-    lost = f"AND NOT ({odd} AND n % 59 = 0)" if faults else ""
+    number = fault(f"{odd} AND r % 5 = 2 AND p > 5", "p + 1", "p")
     early = (
         f" WHEN {odd} AND r % 7 = 5 AND p = 1 THEN 'upgrade_options_shown'"
         f" WHEN {odd} AND r % 7 = 5 AND p = 2 THEN 'run_started'"
@@ -90,19 +92,25 @@ def telemetry_sql(d: Dialect, source: str = "events", faults: bool = False) -> s
     )
     return f"""
 raw AS (
-  SELECT event_id AS n, {d.div('event_id', RUN_LENGTH)} AS r, event_id % {RUN_LENGTH} + 1 AS p,
-         {d.micros} AS us, {d.day} AS day, value, {d.k} AS k
+  SELECT event_id AS n, {d.div('event_id', RUN_LENGTH)} AS block, event_id % {RUN_LENGTH} + 1 AS q,
+         {d.div('event_id', LONG_RUN)} AS stretch, {d.micros} AS us, {d.day} AS day, value, {d.k} AS k
   FROM {source}
 ),
-sized AS (
-  SELECT raw.*, CASE r % 5 WHEN 1 THEN 20 WHEN 2 THEN 14 WHEN 4 THEN 8 ELSE 24 END AS e FROM raw
+cut AS (
+  SELECT raw.*, stretch % 6 = 4 AS long, CASE block % 5 WHEN 1 THEN 20 WHEN 2 THEN 14 WHEN 4 THEN 8 ELSE 24 END AS first_end
+  FROM raw
 ),
 kept AS (
-  SELECT * FROM sized WHERE p <= e AND NOT (p = e AND r % 6 = 0) {lost}
+  SELECT cut.*,
+    CASE WHEN long THEN 10 * stretch WHEN q <= first_end THEN block ELSE block + 3 END AS r,
+    CASE WHEN long THEN {2 * LONG_RUN // RUN_LENGTH} * stretch WHEN q <= first_end THEN 2 * block ELSE 2 * block + 1 END AS u,
+    CASE WHEN long THEN n % {LONG_RUN} + 1 WHEN q <= first_end THEN q ELSE q - first_end END AS p,
+    CASE WHEN long THEN {LONG_RUN} WHEN q <= first_end THEN first_end ELSE {RUN_LENGTH} - first_end END AS e
+  FROM cut
 ),
 named AS (
   SELECT kept.*,
-    CASE WHEN p = e THEN 'run_ended'{early}
+    CASE WHEN p = e AND r % 6 > 0 THEN 'run_ended'{early}
          WHEN r % 7 = 3 AND p = 1 THEN 'upgrade_options_shown'
          WHEN r % 7 = 3 AND p = 2 THEN 'upgrade_selected'
          WHEN r % 7 = 3 AND p = 3 THEN 'run_started'
@@ -137,21 +145,21 @@ offered AS (
   FROM chosen
 ),
 telemetry AS (
-  SELECT n, r, p, e, k, us, day, event_name,
+  SELECT n, r, u, p, e, k, us, day, event_name,
     {uuid('10000000', 'n', d)} AS event_id,
-    {uuid('30000000', 'r', d)} AS run_id,
+    {uuid('30000000', 'u', d)} AS run_id,
     CASE r % 10 WHEN 0 THEN 'LOAD_TEST' WHEN 1 THEN 'CONTROLLED_SCENARIO' ELSE 'CONSENTED_PROD_PLAY' END AS source_type,
     {fault(f"{odd} AND n % 71 = 0", "'9.9.9'", pick('(r % 3)', VERSIONS, d))} AS game_version,
     '2.0' AS schema_version,
-    cast({fault(f"{odd} AND n % 61 = 0 AND p > 1", "p - 1", "p")} as bigint) AS event_sequence,
+    cast({fault(f"{odd} AND n % 61 = 0 AND p > 1", f"{number} - 1", number)} as bigint) AS event_sequence,
     cast(CASE WHEN p = 1 OR (r % 7 = 3 AND p <= 3) OR event_name = 'run_started' THEN 0
               WHEN event_name = 'run_checkpoint' THEN
                 {fault(f"{odd} AND n % 79 = 0", "10 * p + 5", "10 * p")}
               ELSE 10 * p + (k % 4) * 0.25 END as double) AS run_elapsed_seconds,
     {fault(f"{odd} AND n % 101 = 0 AND event_name = 'upgrade_selected'", uuid('50000000', 'n', d),
            fault(f"{odd} AND n % 109 = 0 AND event_name = 'upgrade_options_shown' AND p % 6 = 4",
-                 uuid('40000000', f'(r * 100 + cp - 2)', d),
-                 f"CASE WHEN choice_source IS NOT NULL THEN {uuid('40000000', '(r * 100 + cp)', d)} END"))} AS choice_id,
+                 uuid('40000000', '(u * 10000 + cp - 2)', d),
+                 f"CASE WHEN choice_source IS NOT NULL THEN {uuid('40000000', '(u * 10000 + cp)', d)} END"))} AS choice_id,
     cast({fault(f"{odd} AND n % 107 = 0 AND event_name = 'upgrade_options_shown'", "1",
                 "CASE WHEN choice_source IS NOT NULL THEN cp END")} as bigint) AS choice_sequence,
     choice_source,
@@ -218,7 +226,7 @@ deliveries AS (
          {late} + CASE WHEN n % 2 = 0 THEN {-1 * minute} ELSE {10 * minute} END, {columns} FROM telemetry
   WHERE n % 41 = 0 AND r % 4 = 3
   UNION ALL
-  SELECT n, 2, event_id, {uuid('30000000', '(r + 1)', d)}, game_version, {late} + {minute}, {columns} FROM telemetry
+  SELECT n, 2, event_id, {uuid('30000000', '(u + 2)', d)}, game_version, {late} + {minute}, {columns} FROM telemetry
   WHERE n % 127 = 0 AND r % 16 = 2
 )"""
 
@@ -313,8 +321,7 @@ def bronze_folder(spark: SparkSession, sf_dir: str) -> str:
 def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean telemetry in the Silver layout: what a rebuild of faultless deliveries would hold."""
     ended = F.col("r") % 6 != 0
-    lost = F.when(ended, 0).otherwise(1)
-    unique = F.col("e") - lost
+    unique = F.col("e")
     retries, conflicts = F.col("r") % 3, F.when(F.col("r") % 13 == 0, 1).otherwise(0)
     return telemetry(spark, sf_dir).select(
         "run_id", "event_id", "event_name", "event_sequence", "run_elapsed_seconds", "source_type", "game_version",
