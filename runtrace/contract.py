@@ -116,17 +116,16 @@ CHANNEL_SOURCES = (
 
 # --- fixed values: normalised key names that may identify a person or device ---------------------
 
-PROHIBITED_KEYS = tuple(
-    """
-    accountdata accountid accountidentifier auth authenticationtoken authorization authtoken
-    cfconnectingip chat chatcontent clientip cookie deviceid deviceidentifier discordid email
-    emailaddress filepath fingerprint forwarded fullname gps hardwareid hardwareuuid headers
-    installationid installationidentifier ip ipaddress latitude location longitude mac macaddress
-    machineid machineidentifier name nickname operatingsystemusername originalheaders persistentid
-    persistentidentifier phone phonenumber playerid playeridentifier preciselocation referer
-    requestheaders session sessionid sessiontoken sourceip steamaccountid steamid steamnickname
-    token trueclientip useragent userid useridentifier username xforwardedfor xrealip
-    """.split()
+PROHIBITED_KEYS = (
+    "accountdata", "accountid", "accountidentifier", "auth", "authenticationtoken", "authorization", "authtoken",
+    "cfconnectingip", "chat", "chatcontent", "clientip", "cookie", "deviceid", "deviceidentifier", "discordid",
+    "email", "emailaddress", "filepath", "fingerprint", "forwarded", "fullname", "gps", "hardwareid",
+    "hardwareuuid", "headers", "installationid", "installationidentifier", "ip", "ipaddress", "latitude",
+    "location", "longitude", "mac", "macaddress", "machineid", "machineidentifier", "name", "nickname",
+    "operatingsystemusername", "originalheaders", "persistentid", "persistentidentifier", "phone", "phonenumber",
+    "playerid", "playeridentifier", "preciselocation", "referer", "requestheaders", "session", "sessionid",
+    "sessiontoken", "sourceip", "steamaccountid", "steamid", "steamnickname", "token", "trueclientip", "useragent",
+    "userid", "useridentifier", "username", "xforwardedfor", "xrealip",
 )
 
 # --- fixed values: the aggregate export document -------------------------------------------------
@@ -148,51 +147,61 @@ REPORT_MAX_TEXT = 128
 
 ITEM_CATALOG_VERSION = "0.1.0"
 
-_KPM = "kills_per_minute_after_selection"
-_PROJECTILES = ("Extra Projectiles", "offense_projectile_count", "Increase projectiles per attack")
-_SPEED = ("Attack Speed", "offense_attack_speed", "Increase automatic attack frequency")
-_DAMAGE = ("Damage", "offense_damage", "Increase projectile damage")
-
-WEAPONS = (
-    ("bone", "Bone", "Fast homing projectiles"),
-    ("tennis_ball", "Tennis Ball", "Fast ricocheting projectiles"),
-    ("steak", "Steak", "Tracking automatic projectiles"),
-    ("fireball", "Fireball", "Slow long-lived homing projectiles"),
-)
-WEAPON_UPGRADES = (
-    ("extra_projectiles", *_PROJECTILES),
-    ("attack_speed_multiplier", *_SPEED),
-    ("damage_bonus", *_DAMAGE),
-)
-STATUE_CATALOG = (
-    ("horseshoe", "Horseshoe", "rarity_luck", "Increase the chance of higher-rarity options",
-     "subsequent_high_rarity_option_rate", True, "DERIVABLE"),
-    ("gold_ingot", "Gold Ingot", "economy", "Increase gold gained from coins",
-     "gold_gain_after_selection", True, "LIMITED_BY_CHECKPOINT_CADENCE"),
-    ("hourglass", "Hourglass", "progression", "Increase experience gained from XP orbs",
-     "xp_gain_after_selection", True, "LIMITED_BY_CHECKPOINT_CADENCE"),
-    ("sword", "Sword", "offense_damage", "Increase final damage for all weapons",
-     _KPM, True, "DERIVABLE"),
-    ("bull_skull", "Bull Skull", "risk_reward", "Advance difficulty time",
-     "progression_and_death_rate_after_selection", True, "DERIVABLE"),
-    ("sticky_bone", "Sticky Bone", "offense_chain",
-     "Chain a projectile to additional enemies after the first hit", _KPM, False, "DERIVABLE"),
-    ("greyhound_tooth", "Greyhound Tooth", "offense_execute",
-     "Chance to execute a non-boss enemy", _KPM, False, "DERIVABLE"),
-    ("blood_scent", "Blood Scent", "offense_execute",
-     "Execute enemies below the configured health threshold", _KPM, False, "DERIVABLE"),
+ITEM_ROWS = (
+    ("level_up_weapon", "bone", "Bone",
+     "weapon", "Fast homing projectiles", "kills_per_minute_after_selection", False, "DERIVABLE"),
+    ("level_up_weapon", "tennis_ball", "Tennis Ball",
+     "weapon", "Fast ricocheting projectiles", "kills_per_minute_after_selection", False, "DERIVABLE"),
+    ("level_up_weapon", "steak", "Steak",
+     "weapon", "Tracking automatic projectiles", "kills_per_minute_after_selection", False, "DERIVABLE"),
+    ("level_up_weapon", "fireball", "Fireball",
+     "weapon", "Slow long-lived homing projectiles", "kills_per_minute_after_selection", False, "DERIVABLE"),
+    ("level_up_upgrade", "bone_extra_projectiles", "Bone Extra Projectiles",
+     "offense_projectile_count", "Increase projectiles per attack", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("level_up_upgrade", "bone_attack_speed_multiplier", "Bone Attack Speed",
+     "offense_attack_speed", "Increase automatic attack frequency", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("level_up_upgrade", "bone_damage_bonus", "Bone Damage",
+     "offense_damage", "Increase projectile damage", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("level_up_upgrade", "tennis_ball_extra_projectiles", "Tennis Ball Extra Projectiles",
+     "offense_projectile_count", "Increase projectiles per attack", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("level_up_upgrade", "tennis_ball_attack_speed_multiplier", "Tennis Ball Attack Speed",
+     "offense_attack_speed", "Increase automatic attack frequency", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("level_up_upgrade", "tennis_ball_damage_bonus", "Tennis Ball Damage",
+     "offense_damage", "Increase projectile damage", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("level_up_upgrade", "steak_extra_projectiles", "Steak Extra Projectiles",
+     "offense_projectile_count", "Increase projectiles per attack", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("level_up_upgrade", "steak_attack_speed_multiplier", "Steak Attack Speed",
+     "offense_attack_speed", "Increase automatic attack frequency", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("level_up_upgrade", "steak_damage_bonus", "Steak Damage",
+     "offense_damage", "Increase projectile damage", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("level_up_upgrade", "fireball_extra_projectiles", "Fireball Extra Projectiles",
+     "offense_projectile_count", "Increase projectiles per attack", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("level_up_upgrade", "fireball_attack_speed_multiplier", "Fireball Attack Speed",
+     "offense_attack_speed", "Increase automatic attack frequency", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("level_up_upgrade", "fireball_damage_bonus", "Fireball Damage",
+     "offense_damage", "Increase projectile damage", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("statue", "horseshoe", "Horseshoe",
+     "rarity_luck", "Increase the chance of higher-rarity options", "subsequent_high_rarity_option_rate", True, "DERIVABLE"),
+    ("statue", "gold_ingot", "Gold Ingot",
+     "economy", "Increase gold gained from coins", "gold_gain_after_selection", True, "LIMITED_BY_CHECKPOINT_CADENCE"),
+    ("statue", "hourglass", "Hourglass",
+     "progression", "Increase experience gained from XP orbs", "xp_gain_after_selection", True, "LIMITED_BY_CHECKPOINT_CADENCE"),
+    ("statue", "sword", "Sword",
+     "offense_damage", "Increase final damage for all weapons", "kills_per_minute_after_selection", True, "DERIVABLE"),
+    ("statue", "bull_skull", "Bull Skull",
+     "risk_reward", "Advance difficulty time", "progression_and_death_rate_after_selection", True, "DERIVABLE"),
+    ("statue", "sticky_bone", "Sticky Bone",
+     "offense_chain", "Chain a projectile to additional enemies after the first hit", "kills_per_minute_after_selection", False, "DERIVABLE"),
+    ("statue", "greyhound_tooth", "Greyhound Tooth",
+     "offense_execute", "Chance to execute a non-boss enemy", "kills_per_minute_after_selection", False, "DERIVABLE"),
+    ("statue", "blood_scent", "Blood Scent",
+     "offense_execute", "Execute enemies below the configured health threshold", "kills_per_minute_after_selection", False, "DERIVABLE"),
 )
 
+#: (item_id, display_name, intended_effect) of the four weapons.
+WEAPONS = tuple((row[1], row[2], row[4]) for row in ITEM_ROWS if row[0] == "level_up_weapon")
+
 
 def item_rows() -> list[tuple]:
     """The 24 item attributes without their game version."""
-    weapons = [
-        ("level_up_weapon", item, name, "weapon", effect, _KPM, False, "DERIVABLE")
-        for item, name, effect in WEAPONS
-    ]
-    upgrades = [
-        ("level_up_upgrade", f"{item}_{suffix}", f"{name} {label}", category, effect, _KPM, True, "DERIVABLE")
-        for item, name, _ in WEAPONS
-        for suffix, label, category, effect in WEAPON_UPGRADES
-    ]
-    return weapons + upgrades + [("statue", *row) for row in STATUE_CATALOG]
+    return list(ITEM_ROWS)

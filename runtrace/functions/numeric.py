@@ -10,9 +10,30 @@ from pyspark.sql import functions as F
 _WIDE = "decimal(38,6)"
 
 
+#: The largest amounts that fixed point and the published type hold; whatever is larger is given as these.
+LARGEST_EXACT = Decimal("99999999999999999999.999999")
+LARGEST = Decimal("999999999999999999999999999999999999.99")
+
+
+def bounded(value: Column, kind: str, largest: Decimal) -> Column:
+    """A number as a decimal, at most the largest that the type holds; never NULL for a number."""
+    limit = F.when(value > 0, F.lit(largest)).when(value < 0, F.lit(largest.copy_negate()))
+    return F.coalesce(value.try_cast(kind), limit.cast(kind))
+
+
 def exact(value: Column) -> Column:
     """A measure as a fixed-point number, so that sums do not depend on the order of rows."""
-    return value.cast("decimal(26,6)")
+    return bounded(value, "decimal(26,6)", LARGEST_EXACT)
+
+
+def _too_large(value: Column) -> Column:
+    """Whether any number of a group does not fit into fixed point."""
+    return F.count_if(value.isNotNull() & value.try_cast("decimal(26,6)").isNull()) > 0
+
+
+def total(value: Column) -> Column:
+    """The sum of a measure as a double: exact unless a number is too large for fixed point."""
+    return F.when(_too_large(value), F.sum(value.cast("double"))).otherwise(F.sum(exact(value)).cast("double"))
 
 
 def _wide(value: Column | int) -> Column:
@@ -31,8 +52,9 @@ def cents(numerator: Column, denominator: Column) -> Column:
 
 
 def mean(value: Column) -> Column:
-    """Average of the non-null values in cents."""
-    return cents(F.sum(exact(value)), F.count(value))
+    """Average of the non-null values in cents; exact unless a number is too large for fixed point."""
+    large = bounded(F.round(F.avg(value.cast("double")), 2), "decimal(38,2)", LARGEST)
+    return F.when(_too_large(value), large).otherwise(cents(F.sum(exact(value)), F.count(value)))
 
 
 def percentage(part: Column, whole: Column) -> Column:

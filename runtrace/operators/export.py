@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runtrace import contract
-from runtrace.functions.numeric import exact
+from runtrace.functions.numeric import total
 from runtrace.functions.payload import OPTIONS_TYPE, each, field
 from runtrace.functions.rules import (
     NUMBER_KINDS,
@@ -38,7 +38,7 @@ def _events(silver: DataFrame, event_name: str) -> DataFrame:
 
 def _sum(name: str, kind: str) -> Column:
     value = field(F.col("p"), name, kind)
-    return F.sum(exact(value)) if kind == "double" else F.sum(value)
+    return total(value) if kind == "double" else F.sum(value)
 
 
 def daily_event_counts(silver: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def daily_run_end_sums(silver: DataFrame) -> DataFrame:
         .groupBy("bucket_date", field(F.col("p"), "end_reason").alias("end_reason"))
         .agg(
             F.count("*").alias("end_count"),
-            F.sum(exact(F.col("run_elapsed_seconds"))).alias("run_duration_seconds_sum"),
+            total(F.col("run_elapsed_seconds")).alias("run_duration_seconds_sum"),
             _sum("final_level", "bigint").alias("final_level_sum"),
             _sum("total_kills", "bigint").alias("total_kills_sum"),
             _sum("current_gold", "double").alias("current_gold_sum"),

@@ -66,7 +66,7 @@ def weapon_performance(product_runs: DataFrame, catalog: DataFrame) -> DataFrame
     """Outcomes by starting weapon; runs are aggregated before the catalog names are joined."""
     ended = F.col("is_ended")
     observed = F.count_if(ended)
-    kills, seconds = F.when(ended, F.col("total_kills")), F.when(ended, exact(F.col("run_duration_seconds")))
+    kills, seconds = F.when(ended, F.col("total_kills")), F.when(ended, F.col("run_duration_seconds"))
     by_weapon = (
         product_runs.where("is_started AND starting_weapon_id IS NOT NULL")
         .groupBy("game_version", F.col("starting_weapon_id").alias("weapon_id"))
@@ -75,7 +75,7 @@ def weapon_performance(product_runs: DataFrame, catalog: DataFrame) -> DataFrame
             observed.alias("outcome_observed_run_count"),
             mean(seconds).alias("average_run_seconds"),
             mean(kills).alias("average_total_kills"),
-            cents(F.sum(kills) * F.lit(60), F.sum(seconds)).alias("kills_per_minute"),
+            cents(F.sum(kills) * F.lit(60), F.sum(exact(seconds))).alias("kills_per_minute"),
             mean(F.when(ended, F.col("final_level"))).alias("average_final_level"),
             mean(F.when(ended, F.col("total_xp_collected"))).alias("average_total_xp"),
             mean(F.when(ended, F.col("total_gold_collected"))).alias("average_total_gold"),

@@ -19,10 +19,6 @@ from runtrace.operators.validation import judge_events, locate_private
 from runtrace.schemas import SILVER
 from runtrace.sources.staging import stage
 
-# The longest issue list that is repeated on each row of its run; see `issue_lists`.
-LISTED_ISSUES = 1000
-_LIST = "array<struct<code:string,event_id:string,message:string,path:array<string>>>"
-
 
 @dataclass(frozen=True)
 class Reconstruction:
@@ -212,7 +208,7 @@ def reconstruct(
     bodies = stage(distinct_bodies(deliveries), "bodies")
     events = stage(unique_events(bodies), "events")
     members = sequence.typed_events(events.drop("event_sequence", "source_type"))
-    ordered = stage(sequence.ordered_events(members), "ordered")
+    ordered = stage(sequence.ordered_events(members).drop("event_json"), "ordered")
     largest = ordered.agg(F.max("event_sequence")).first()[0]
     single = event_issues(bodies)
     together = duplicate_issues(events).unionByName(
@@ -230,43 +226,19 @@ def reconstruct(
     return Reconstruction(events, issues, run_rows(events, issues))
 
 
-def issue_lists(issues: DataFrame, runs: DataFrame, listed: int = LISTED_ISSUES) -> DataFrame:
-    """Each run's issues as one JSON list in rule and event order.
+def issue_lists(issues: DataFrame) -> DataFrame:
+    """Each run's issues as JSON: codes with their counts, by code. The single issues are whole in the issue table.
 
-    A run with more than `listed` issues gets its issues counted by code instead, at most one entry per code;
-    its single issues are whole in the issue table. No task ever gathers more than `listed` issues of a run.
+    There are as many entries as codes at most, whatever the run; issues are counted before they are gathered.
     """
-    sizes = runs.where("quality_issue_count > 0").select("run_id", F.col("quality_issue_count").alias("size"))
-    sized = issues.join(sizes, "run_id")
-    entry = F.struct(
-        "place", F.coalesce("event_sequence", F.lit(0)).alias("seq"), "event_id", "code", "message", "path", "copies"
-    )
-    repeated = F.flatten(
-        F.transform(
-            F.sort_array(F.collect_list(entry)),
-            lambda e: F.array_repeat(F.struct(e["code"], e["event_id"], e["message"], e["path"]), e["copies"].cast("int")),
-        )
-    )
-    whole = sized.where(F.col("size") <= listed).groupBy("run_id").agg(repeated.alias("list"))
-    by_code = sized.where(F.col("size") > listed).groupBy("run_id", "code").agg(F.sum("copies").alias("copies"))
-    counted = by_code.select(
-        "run_id",
-        F.struct(
-            "code",
-            F.lit(None).cast("string").alias("event_id"),
-            F.concat(F.col("copies").cast("string"), F.lit(" issues, listed in the issue table")).alias("message"),
-            F.array().cast("array<string>").alias("path"),
-        ).alias("entry"),
-    )
-    counted = counted.groupBy("run_id").agg(F.sort_array(F.collect_list("entry")).alias("list"))
-    both = [part.select("run_id", F.col("list").cast(_LIST).alias("list")) for part in (whole, counted)]
-    json = F.to_json("list", {"ignoreNullFields": "false"})
-    return both[0].unionByName(both[1]).select("run_id", json.alias("quality_issues_json"))
+    counted = issues.groupBy("run_id", "code").agg(F.sum("copies").alias("count"))
+    listed = counted.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("code", "count"))).alias("list"))
+    return listed.select("run_id", F.to_json("list").alias("quality_issues_json"))
 
 
-def silver_rows(result: Reconstruction, listed: int = LISTED_ISSUES) -> DataFrame:
+def silver_rows(result: Reconstruction) -> DataFrame:
     """Events in the Silver layout, plus the run's `quality_issue_count` and its `received_date`."""
-    runs = result.runs.join(issue_lists(result.issues, result.runs, listed), "run_id", "left")
+    runs = result.runs.join(issue_lists(result.issues), "run_id", "left")
     runs = runs.withColumn("quality_issues_json", F.coalesce("quality_issues_json", F.lit("[]")))
     event = F.col("event")
     events = result.events.withColumn("event", F.try_parse_json("event_json")).select(
@@ -283,19 +255,33 @@ def silver_rows(result: Reconstruction, listed: int = LISTED_ISSUES) -> DataFram
     return events.join(runs, "run_id").select(*SILVER.fieldNames(), "quality_issue_count", "received_date")
 
 
-def runs_owned_by(deliveries: DataFrame, received_date: str) -> DataFrame:
-    """The runs first received on a UTC date: two columns of the whole range, combined before the shuffle."""
+def owner_dates(deliveries: DataFrame) -> DataFrame:
+    """(run_id, received_date): the UTC date of each run's first receipt, from two columns combined before the shuffle."""
     opened = deliveries.groupBy("run_id").agg(F.min("received_at").alias("opened"))
-    return opened.where(utc_date(F.col("opened")) == F.lit(strict_date(received_date))).select("run_id")
+    return opened.select("run_id", utc_date(F.col("opened")).alias("received_date"))
 
 
-def reconstruct_date(
-    deliveries: DataFrame, received_date: str, allowed_lateness: str = contract.ALLOWED_LATENESS
+def runs_owned_by(deliveries: DataFrame, *received_dates: str) -> DataFrame:
+    """The runs first received on one of some UTC dates."""
+    days = [F.lit(strict_date(day)) for day in received_dates]
+    return owner_dates(deliveries).where(F.col("received_date").isin(*days)).select("run_id")
+
+
+def reconstruct_dates(
+    deliveries: DataFrame, received_dates: list[str], allowed_lateness: str = contract.ALLOWED_LATENESS
 ) -> Reconstruction:
-    """The runs that a date owns, with all their events whatever day they arrived.
+    """The runs that some dates own, with all their events whatever day they arrived.
 
-    Only these runs are rebuilt, but event ids are compared with those of every run in range.
+    Only these runs are rebuilt. Their event ids are compared with those of every run in range, but only rows with one of
+    these ids are grouped.
     """
-    owned = deliveries.join(runs_owned_by(deliveries, received_date), "run_id", "left_semi")
-    shared = shared_event_ids(deliveries.select("run_id", "event_id"))
+    owned = deliveries.join(runs_owned_by(deliveries, *received_dates), "run_id", "left_semi")
+    own_ids = owned.select("event_id").distinct()
+    shared = shared_event_ids(deliveries.select("run_id", "event_id").join(own_ids, "event_id", "left_semi"))
     return reconstruct(owned, shared, allowed_lateness)
+
+
+def reconstruct_date(
+    deliveries: DataFrame, received_date: str, allowed_lateness: str = contract.ALLOWED_LATENESS
+) -> Reconstruction:
+    return reconstruct_dates(deliveries, [received_date], allowed_lateness)

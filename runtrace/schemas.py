@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runtrace.functions.numeric import bounded
+
 _SIMPLE = {
     "string": T.StringType(),
     "boolean": T.BooleanType(),
@@ -47,6 +51,30 @@ SILVER = T.StructType(
     ]
 )
 
+#: The issue table: rule columns of one issue; `copies` is how many deliveries have it.
+ISSUES = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("rule", T.StringType()),
+        T.StructField("code", T.StringType()),
+        T.StructField("message", T.StringType()),
+        T.StructField("path", T.ArrayType(T.StringType())),
+        T.StructField("event_id", T.StringType()),
+        T.StructField("copies", T.LongType()),
+        T.StructField("place", T.IntegerType()),
+        T.StructField("event_sequence", T.LongType()),
+    ]
+)
+
+#: Bronze records that are no deliveries.
+REJECTS = T.StructType(
+    [
+        T.StructField("reason", T.StringType()),
+        T.StructField("line_sha256", T.StringType()),
+        T.StructField("received_date", T.DateType()),
+    ]
+)
+
 ITEM_CATALOG = _columns(
     "game_version string, choice_source string, item_id string, display_name string, item_category string, "
     "intended_effect string, primary_metric string, rarity_scaled boolean, metric_readiness string"
@@ -123,7 +151,15 @@ GOLD = {
 
 def gold_columns(table: str) -> list[Column]:
     """The named, typed projection that a Gold table is stored with."""
-    return [F.col(name).cast(kind).alias(name) for name, kind in GOLD[table].items()]
+    return [_as_stored(F.col(name), kind).alias(name) for name, kind in GOLD[table].items()]
+
+
+def _as_stored(value: Column, kind: str) -> Column:
+    """A value in its published type; an amount beyond a decimal type is given as the type's largest number."""
+    if not kind.startswith("decimal"):
+        return value.cast(kind)
+    digits, scale = (int(n) for n in kind[8:-1].split(","))
+    return bounded(value, kind, Decimal("9" * (digits - scale) + "." + "9" * scale))
 
 
 _EXPORT_ARRAYS = {

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from runtrace import contract
 from runtrace.functions.payload import canonical, field, fingerprint
 from runtrace.functions.rules import is_object
-from runtrace.operators.validation import validate_events
+from runtrace.operators.validation import judge_events, locate_private
 from runtrace.sources.staging import stage
 
 _ZONED = r"(Z|[+-]\d\d:?\d\d)$"
@@ -79,13 +79,16 @@ def split_ingest(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted events and rejects of a batch of requests (`body`, `is_base64`, `ingestion_channel`).
 
     Rejects keep reason, path and a digest. They never keep the body, which may hold what the contract forbids.
-    The batch is judged once: what is stored in between is an accepted event or the facts about a reject.
+    The batch is judged once and stored; what is stored is an accepted event or the facts about a reject. Only the
+    stored rows with a prohibited name are read again, to say where it stands; their texts go with the staged copy.
     """
-    read = validate_events(read_bodies(requests))
+    read = judge_events(read_bodies(requests))
     source = field(F.col("event"), "source_type")
     channel = F.col("ingestion_channel")
+    private = F.col("private_text").isNotNull()
     reason = (
         F.when(F.col("body_error").isNotNull(), F.col("body_error"))
+        .when(private, contract.PROHIBITED_FIELD)
         .when(F.size("issues") > 0, F.get("issues", 0)["code"])
         .when(~known_channel(channel), "unsupported_channel")
         .when(~channel_allows(channel, source), "source_not_allowed")
@@ -94,15 +97,22 @@ def split_ingest(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
         read.withColumn("reason", reason).select(
             "reason",
             F.when(F.col("reason").isNull(), F.col("event")).alias("event"),
-            F.transform("issues", lambda found: found["code"]).alias("issue_codes"),
-            F.transform("issues", lambda found: found["path"]).alias("issue_paths"),
+            "issues",
+            F.when(F.col("body_error").isNull(), F.col("private_text")).alias("private_text"),
             "ingestion_channel",
             F.when(F.col("reason").isNotNull(), F.sha2(F.coalesce("body", F.lit("")), 256)).alias("body_sha256"),
         ),
         "judged",
     )
     accepted = judged.where("reason IS NULL").select("event", "ingestion_channel")
-    return accepted, judged.where("reason IS NOT NULL").drop("event")
+    refused = locate_private(judged.where("reason IS NOT NULL").drop("event"))
+    return accepted, refused.select(
+        "reason",
+        F.transform("issues", lambda found: found["code"]).alias("issue_codes"),
+        F.transform("issues", lambda found: found["path"]).alias("issue_paths"),
+        "ingestion_channel",
+        "body_sha256",
+    )
 
 
 def scan_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -115,12 +125,16 @@ def open_envelopes(lines: DataFrame) -> DataFrame:
     """Deliveries from Bronze lines, each with `envelope_error`, which is NULL for a sound record.
 
     A delivery is (run_id, event_id, event_json, body_mark, received_at, ingestion_channel): the canonical text
-    of the event and a mark that tells bodies apart whose numbers print alike.
+    of the event and a mark that tells bodies apart whose numbers print alike. A broken record also has the digest
+    of its line and the date of the folder it was read from, so that `broken_records` can list it.
     """
-    record = lines.select(F.try_parse_json("value").alias("record"))
+    folder = F.col("received_date").cast("date") if "received_date" in lines.columns else F.lit(None).cast("date")
+    record = lines.select(F.try_parse_json("value").alias("record"), F.sha2("value", 256).alias("line"), folder.alias("folder"))
     version = F.try_variant_get("record", "$.bronze_record_version", "double")
     parts = record.select(
         "record",
+        "line",
+        "folder",
         version.alias("version"),
         F.try_variant_get("record", "$.event", "variant").alias("event"),
         F.try_variant_get("record", "$.metadata", "variant").alias("metadata"),
@@ -132,6 +146,8 @@ def open_envelopes(lines: DataFrame) -> DataFrame:
 
     opened = parts.select(
         "record",
+        "line",
+        "folder",
         "version",
         "event",
         "metadata",
@@ -168,9 +184,20 @@ def open_envelopes(lines: DataFrame) -> DataFrame:
         F.col("moment").alias("received_at"),
         "ingestion_channel",
         error.alias("envelope_error"),
+        F.when(error.isNotNull(), F.col("line")).alias("line_sha256"),
+        F.when(error.isNotNull(), F.col("folder")).alias("folder_date"),
     )
 
 
+_REJECT = ("envelope_error", "line_sha256", "folder_date")
+
+
+def broken_records(opened: DataFrame) -> DataFrame:
+    """The records that are no deliveries: reason, digest of the line, date of its folder. Never the line itself."""
+    broken = opened.where("envelope_error IS NOT NULL")
+    return broken.select(F.col("envelope_error").alias("reason"), "line_sha256", F.col("folder_date").alias("received_date"))
+
+
 def sound_deliveries(opened: DataFrame, strict: bool = False) -> DataFrame:
     """Deliveries without the broken records, or with `strict` a job that fails on the first broken one.
 
@@ -182,5 +209,5 @@ def sound_deliveries(opened: DataFrame, strict: bool = False) -> DataFrame:
         opened = opened.withColumn(
             "run_id", F.when(F.col("envelope_error").isNotNull(), failed.cast("string")).otherwise(F.col("run_id"))
         )
-        return opened.drop("envelope_error")
-    return opened.where("envelope_error IS NULL").drop("envelope_error")
+        return opened.drop(*_REJECT)
+    return opened.where("envelope_error IS NULL").drop(*_REJECT)

