@@ -98,7 +98,7 @@ def _entry(rows: DataFrame, columns: list[str]) -> Column:
     return F.struct(*[plain(name) for name in sorted(columns)])
 
 
-def report_document(report_date: str, sections: dict[str, DataFrame]) -> DataFrame:
+def _document(report_date: str, sections: dict[str, DataFrame]) -> DataFrame:
     """One row: report_date, `document` as JSON text and its size.
 
     Each section is gathered from at most its allowed number of rows plus one; `checked_report` refuses the
@@ -137,7 +137,7 @@ def checked_report(report_date: str, sections: dict[str, DataFrame]) -> DataFram
     found = [tuple(row) for row in report_errors(sections).collect()]
     if found:
         raise ReportInputError(f"report input is not allowed: {found}")
-    document = report_document(report_date, sections)
+    document = _document(report_date, sections)
     size = document.select("document_bytes").first()[0]
     if size > contract.REPORT_MAX_BYTES:
         raise ReportInputError(f"report input of {size} bytes exceeds {contract.REPORT_MAX_BYTES}")
