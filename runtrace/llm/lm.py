@@ -12,7 +12,7 @@ token needs is where its pairs are counted, and one shuffle is enough:
    pairs of two are scored at once. A pair goes to the shard of its word, or, if only the word is hot, to that of its context.
    So a key has at most N / HOT tokens, however skewed the words are.
 4. A shard builds its trie (Elias-Fano levels, mapped from a file; 16-bit quantised log10 values), looks up every pair in it
-   and returns sums for each text, which are added up.
+   and returns, for each chunk, the sums of its texts; a chunk's sums are added up.
 
 Null texts are empty: one end. Ids may be null or repeated; every row is scored by itself. An empty table gives no rows; with
 nothing to learn from all probabilities are 1.
@@ -34,8 +34,8 @@ from runtrace.sources.staging import stage
 MASS = 64.0
 HOT = 512
 #: Tokens of a chunk and of a shard, about.
-CHUNK_TOKENS = 1_500_000
-SHARD_TOKENS = 3_000_000
+CHUNK_TOKENS = 1_000_000
+SHARD_TOKENS = 1_250_000
 #: Texts of a chunk; their numbers and a bit for training have 16 bits.
 CHUNK_TEXTS = 30_000
 END = np.uint64(0x5E9D_0F00_0E9D_1234)
@@ -170,13 +170,15 @@ def _pack(shard: np.ndarray, node: np.ndarray, child: np.ndarray, who: np.ndarra
                "spread": np.diff(np.append(pairs, b - a)).astype(np.uint32).tobytes(), "who": who[a:b].tobytes()}
 
 
-def _sums(row: np.ndarray, ids, n, known, base, score) -> pa.Table:
-    return pa.table([pa.array(row), ids if ids is not None else pa.nulls(len(row), pa.int64()), pa.array(n, pa.int64()),
-                     pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())],
-                    names=["row", "doc_id", "n_tokens", "n_known", "base_score", "score"])
+#: Sums of one chunk from one shard: texts by their number, and what they add up to. Ids and tokens come with what is done.
+_PARTS = ("who", "known", "base", "score", "ids", "valid", "tokens")
+_PARTS_DDL = "first_row bigint, " + ", ".join(f"{c} binary" for c in _PARTS)
+_SUMS_DDL = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-_SUMS_DDL = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+def _part(first_row: int, who: np.ndarray, known, base, score, ids=b"", valid=b"", tokens=b"") -> dict:
+    arrays = (who.astype(np.uint16), known.astype(np.int32), base.astype(np.float64), score.astype(np.float64))
+    return {"first_row": first_row, **dict(zip(_PARTS, (*[x.tobytes() for x in arrays], ids, valid, tokens)))}
 
 
 class _Chunk:
@@ -238,28 +240,45 @@ def _requests(texts: DataFrame, model: LanguageModel) -> DataFrame:
     return texts.select("text", "learn", "doc_id").mapInArrow(work, _REQUEST_DDL)
 
 
-def _answer(table: pa.Table, model: LanguageModel) -> Iterator[pa.Table]:
-    """Sums for each text from all requests of one shard."""
-    rows = table.to_pylist()
+def _answer(table: pa.Table, model: LanguageModel) -> pa.Table:
+    """Sums for the texts of each chunk, from all requests of one shard."""
+    rows, out = table.to_pylist(), []
+    del table
     for r in rows:
         if r["kind"] == _DONE:
-            n = np.frombuffer(r["children"], np.int64)
             base, score = np.frombuffer(r["who"]).reshape(2, -1)
-            ids = pa.array(np.frombuffer(r["nodes"], np.int64), mask=~np.frombuffer(r["fan"], bool))
-            yield _sums(r["first_row"] + np.arange(len(n)), ids, n, np.frombuffer(r["spread"], np.int64), base, score)
-    for kind in (_UNDER_WORD, _UNDER_CONTEXT):
-        some = [r for r in rows if r["kind"] == kind]
+            out.append(_part(r["first_row"], np.arange(len(base)), np.frombuffer(r["spread"], np.int64), base, score,
+                             r["nodes"], r["fan"], r["children"]))
+    by_kind = {kind: [r for r in rows if r["kind"] == kind] for kind in (_UNDER_WORD, _UNDER_CONTEXT)}
+    rows.clear()
+    for kind, some in by_kind.items():
         if some:
-            yield _answer_kind(some, kind, model)
+            out += _answer_kind(some, kind, model)
+    return pa.Table.from_pylist(out, schema=pa.schema([("first_row", pa.int64()), *[(c, pa.binary()) for c in _PARTS]]))
 
 
-def _answer_kind(rows: list[dict], kind: int, model: LanguageModel) -> pa.Table:
+def _add_up(table: pa.Table) -> pa.Table:
+    """The texts of one chunk from the sums of all shards; at most one number for each token."""
+    rows = table.to_pylist()
+    done = next(r for r in rows if r["tokens"])
+    tokens = np.frombuffer(done["tokens"], np.int64)
+    ids = pa.array(np.frombuffer(done["ids"], np.int64), mask=~np.frombuffer(done["valid"], bool))
+    who = np.concatenate([np.frombuffer(r["who"], np.uint16) for r in rows])
+    known, base, score = (
+        np.bincount(who, np.concatenate([np.frombuffer(r[c], kind) for r in rows]), minlength=len(tokens))
+        for c, kind in (("known", np.int32), ("base", np.float64), ("score", np.float64)))
+    return pa.table([ids, pa.array(tokens), pa.array(np.round(known).astype(np.int64)), pa.array(base), pa.array(score)],
+                    names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+
+def _answer_kind(rows: list[dict], kind: int, model: LanguageModel) -> list[dict]:
     def column(name, dtype):
         return np.concatenate([np.frombuffer(r[name], dtype) for r in rows])
 
     children, spread, who = column("children", np.uint64), column("spread", np.uint32).astype(np.int64), column("who", np.uint16)
     node = np.repeat(column("nodes", np.uint64), column("fan", np.uint32))
-    first_row = np.repeat([r["first_row"] for r in rows], [len(r["who"]) // 2 for r in rows])
+    chunks, sizes = [r["first_row"] for r in rows], [len(r["who"]) // 2 for r in rows]
+    rows.clear()  # the blobs are as large as what was made of them
     learned = np.add.reduceat((who & 1).astype(np.int64), np.cumsum(spread) - spread)
 
     order = np.lexsort((children, node))
@@ -285,9 +304,12 @@ def _answer_kind(rows: list[dict], kind: int, model: LanguageModel) -> pa.Table:
         known, base = (count_ > 0)[inverse].astype(float), model.base(count_)[inverse]
     else:
         value = np.where(there, value, np.log10(model.mass(model.hot_counts[_place(model.hot, children)[0]])))
-    row, inverse = np.unique(first_row + (who >> 1), return_inverse=True)
-    sums = [np.bincount(inverse, np.repeat(x, spread), minlength=len(row)) for x in (known, base, value)]
-    return _sums(row, None, np.zeros(len(row), np.int64), sums[0].astype(np.int64), *sums[1:])
+    bounds, out = np.concatenate([[0], np.cumsum(sizes)]), []
+    known, base, value = (np.repeat(x, spread) for x in (known, base, value))
+    for first_row, a, b in zip(chunks, bounds[:-1], bounds[1:]):
+        there, inverse = np.unique(who[a:b] >> 1, return_inverse=True)
+        out.append(_part(first_row, there, *[np.bincount(inverse, x[a:b], minlength=len(there)) for x in (known, base, value)]))
+    return out
 
 
 def score(docs: DataFrame, learnable, text: str = "text") -> DataFrame:
@@ -297,10 +319,8 @@ def score(docs: DataFrame, learnable, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def answer(table: pa.Table) -> pa.Table:
-        return pa.concat_tables(_answer(table, shared.value))
+        return _answer(table, shared.value)
 
-    sums = _requests(texts, model).groupBy("shard").applyInArrow(answer, _SUMS_DDL)
-    return sums.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
-        F.sum("base_score").alias("base_score"), F.sum("score").alias("score"),
-    ).select("doc_id", "n_tokens", "n_known", F.lit(model.n).cast("bigint").alias("train_tokens"), "base_score", "score")
+    parts = _requests(texts, model).groupBy("shard").applyInArrow(answer, _PARTS_DDL)
+    sums = parts.groupBy("first_row").applyInArrow(_add_up, _SUMS_DDL)
+    return sums.select("doc_id", "n_tokens", "n_known", F.lit(model.n).cast("bigint").alias("train_tokens"), "base_score", "score")
