@@ -8,7 +8,7 @@ All sets are ordered by one global order: rare shingles by hash, then frequent o
 links; this one keeps shared passages out of the prefixes. Of a set of n, the first n - ceil(0.8 n) + 1 shingles are its
 prefix, and sets that link share one in both prefixes.
 
-1. Frequent shingles: those in two or more of a quarter of the documents; the `FREQUENT` most frequent go to all tasks.
+1. Frequent shingles: those in two or more of an eighth of the documents; the `FREQUENT` most frequent go to all tasks.
 2. Prefixes of all documents; equal sets become one class (grouped by set signature, so copies are never paired).
 3. Star rounds: each posting list has a centre (first the class that meets most others, then the one with most links), and each class is compared with the `CENTRES` centres of other components it shares most
    prefix shingles with: so many comparisons for a class and round, however many near copies there are.
@@ -33,22 +33,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runtrace.llm.rows import same_text, without
+from runtrace.llm.rows import FEW_KEYS, same_text, without
 from runtrace.llm.textbytes import UNSPACED, Slice, chain, mix, slices, windows
 from runtrace.sources.staging import stage
 
 SHINGLE = 5
 FREQUENT = 1 << 20
-SAMPLED = 4
+SAMPLED = 8
 #: Members that one set is compared with at once, and rows of a task of comparisons.
 GROUP = 256
 COMPARED_AT_ONCE = 2000
+#: Bytes of shared places that are broadcast at most.
+FEW_BYTES = 16_000_000
 #: Prefix shingles of a posting task.
-POSTINGS_AT_ONCE = 2_000_000
-FEW_TEXTS = 1_000_000
-#: Star rounds end when one links less than a hundredth of the classes that meet, or after so many.
+POSTINGS_AT_ONCE = 500_000
+#: Star rounds end when one links less than a fifth of the classes that meet, or after so many.
 STAR_ROUNDS = 6
-CENTRES = 4
+CENTRES = 2
 _RARE = np.uint64(2**63 - 1)
 _FREQUENT = np.uint64(2**63)
 
@@ -112,7 +113,7 @@ def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarra
             hashes, owners = hashes[order], owners[order]
             kept.append(hashes[np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])])] if len(hashes) else hashes)
             size += len(kept[-1])
-            if size > 4_000_000:
+            if size > 1_000_000:
                 yield counted()
                 kept, size = [], 0
         if kept:
@@ -154,7 +155,7 @@ _NAMES = ("classes", "sizes", "labels", "ranks")
 
 
 def _postings(classes: DataFrame, buckets: int) -> DataFrame:
-    """Prefix shingles of classes (cls, n, label, rank, tokens), packed by the bucket of their hash."""
+    """Prefix shingles of classes (cls, n, label, rank, tokens, places in the set), packed by the bucket of their hash."""
 
     def work(batches):
         kept, size = [], 0
@@ -165,7 +166,7 @@ def _postings(classes: DataFrame, buckets: int) -> DataFrame:
             tokens = np.frombuffer(b"".join(texts), np.uint64)
             lengths = np.array([len(t) // 8 for t in texts])
             who = np.repeat(np.arange(len(texts)), lengths)
-            places = (np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.uint32)
+            places = np.frombuffer(b"".join(t for b in kept for t in b.column(5).to_pylist()), np.uint32)
             bucket = ((mix(tokens) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -187,7 +188,7 @@ def _postings(classes: DataFrame, buckets: int) -> DataFrame:
             yield from rows()
 
     ddl = "bucket int, " + ", ".join(f"{c} binary" for c in _POSTINGS.names[1:])
-    return classes.select("cls", "n", "label", "rank", "tokens").mapInArrow(work, ddl)
+    return classes.select("cls", "n", "label", "rank", "tokens", "places").mapInArrow(work, ddl)
 
 
 def _lists(table: pa.Table) -> tuple[np.ndarray, ...]:
@@ -221,11 +222,15 @@ def _counted(a: np.ndarray, b: np.ndarray) -> pa.Table:
 
 
 def _degrees(table: pa.Table) -> pa.Table:
-    """How many others each class meets in all its posting lists."""
-    number, cls, *_ = _lists(table)
-    there, place = np.unique(cls, return_inverse=True)
-    degree = np.bincount(place, np.bincount(number)[number] - 1, minlength=len(there)) if len(number) else []
-    return pa.table([pa.array(there, pa.int64()), pa.array(np.asarray(degree, np.int64))], names=["cls", "degree"])
+    """How many others each class meets in its posting lists, and the places of the shingles it meets them with."""
+    number, cls, _, _, _, place = _lists(table)
+    order = np.lexsort((place, cls))
+    cls, place, meets = cls[order], place[order], (np.bincount(number)[number] - 1)[order] if len(number) else number
+    firsts = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]])) if len(cls) else np.zeros(0, np.int64)
+    degree = np.add.reduceat(meets, firsts) if len(firsts) else firsts
+    places = [x.astype(np.uint32).tobytes() for x in np.split(place, firsts[1:])] if len(firsts) else []
+    return pa.table([pa.array(cls[firsts], pa.int64()), pa.array(degree, pa.int64()), pa.array(places, pa.binary())],
+                    names=["cls", "degree", "places"])
 
 
 def _stars(table: pa.Table) -> pa.Table:
@@ -355,7 +360,7 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order) -> Data
     ids = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     wanted = stage(classes.join(ids, "cls").select("cls", "member.*"), "jaccard-wanted")
     wanted = wanted.select("cls", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"))
-    few = F.broadcast(wanted) if wanted.count() <= FEW_TEXTS else wanted
+    few = _few(wanted)
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     texts = texts.join(few, texts["doc_id"].eqNullSafe(few["w_id"]) & (texts["text_hash"] == few["w_hash"])).select("cls", "text")
     sets = stage(_set_rows(texts, order, True, ["cls"]).select("cls", "tokens"), "jaccard-sets")
@@ -367,9 +372,11 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order) -> Data
     salted = pairs.join(sizes, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / GROUP)).cast("int"))
     tasks = max(1, -(-n // COMPARED_AT_ONCE))
     salted = salted.withColumn("bucket", F.pmod(F.xxhash64("a", "salt"), F.lit(tasks)).cast("int")).select("bucket", "a", "b")
-    members = salted.join(sets, salted["b"] == sets["cls"]).select("bucket", "a", "b", "tokens")
-    centres = salted.select("bucket", "a").distinct()
-    centres = centres.join(sets, centres["a"] == sets["cls"]).select("bucket", "a", F.lit(None).cast("bigint").alias("b"), "tokens")
+    salted = stage(salted, "jaccard-salted")
+    few = _few(salted)
+    members = sets.join(few, few["b"] == sets["cls"]).select("bucket", "a", "b", "tokens")
+    few = _few(salted.select("bucket", "a").distinct())
+    centres = sets.join(few, few["a"] == sets["cls"]).select("bucket", "a", F.lit(None).cast("bigint").alias("b"), "tokens")
     return members.unionByName(centres).groupBy("bucket").applyInArrow(_compare, "a bigint, b bigint")
 
 
@@ -406,41 +413,48 @@ def join(docs: DataFrame) -> DataFrame:
     order = spark.sparkContext.broadcast(frequent_shingles(docs))
     rows = docs.withColumn("text_hash", F.xxhash64("text"))
     prefixes = stage(_set_rows(rows, order, False, ["doc_id", "text_hash"]), "jaccard-prefixes")
-    member = F.struct("doc_id", "text_hash")
-    classes = prefixes.where("n > 0").groupBy("signature").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("least"),
-        F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    classes = classes.withColumns({"doc_id": F.col("least.doc_id"), "text_hash": F.col("least.text_hash")})
-    classes = stage(classes.select("signature", member.alias("member"), "n", "tokens", F.monotonically_increasing_id().alias("cls")), "jaccard-classes")
-
-    def posted(labelled: DataFrame, find, ddl: str = "a bigint, b bigint, shared bigint") -> DataFrame:
-        total = labelled.agg(F.sum(F.length("tokens") / 8)).first()[0] or 0
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("least")
+    sets = prefixes.where("n > 0").groupBy("signature").agg(least).withColumn("cls", F.monotonically_increasing_id())
+    sets = stage(sets.select("cls", F.col("signature").alias("s"), F.struct("least.doc_id", "least.text_hash").alias("member")), "jaccard-classes")
+    few = _few(sets)
+    one = (prefixes["signature"] == few["s"]) & prefixes["doc_id"].eqNullSafe(few["member.doc_id"]) & (prefixes["text_hash"] == few["member.text_hash"])
+    classes = stage(prefixes.join(few, one).select("cls", "signature", "member", "n", "tokens"), "jaccard-classes")
+    if classes.count() > sets.count():  # rows with equal ids and texts
+        classes = stage(classes.dropDuplicates(["cls"]), "jaccard-classes")
+
+    def posted(labelled: DataFrame, size, find, ddl: str = "a bigint, b bigint, shared bigint") -> DataFrame:
+        total = labelled.agg(F.sum(size)).first()[0] or 0
         buckets = max(1, -(-int(total) // POSTINGS_AT_ONCE))
-        *keys, value = [c.split()[0] for c in ddl.split(", ")]
-        found = _postings(labelled, buckets).groupBy("bucket").applyInArrow(find, ddl)
-        return found.groupBy(*keys).agg(F.sum(value).alias(value))
-
-    plain = classes.select("*", F.col("cls").alias("label"), F.lit(0).cast("bigint").alias("rank"))
-    meeting = stage(posted(plain, _degrees, "cls bigint, degree bigint"), "jaccard-meeting")
-    # The first centres are those that meet most others.
-    now, links = classes.join(meeting, "cls").select(*classes.columns, F.col("cls").alias("label"), (-F.col("degree")).alias("rank")), None
+        return _postings(labelled, buckets).groupBy("bucket").applyInArrow(find, ddl)
+
+    plain = _with_places(classes).select("*", F.col("cls").alias("label"), F.lit(0).cast("bigint").alias("rank"))
+    met = posted(plain, F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1, _degrees, "cls bigint, degree bigint, places binary")
+    met = met.groupBy("cls").agg(F.sum("degree").alias("degree"), F.collect_list("places").alias("places"))
+    meeting = stage(met, "jaccard-meeting")
+    # From here on only shingles count that classes share; the first centres are the classes that meet most others.
+    weight = meeting.agg(F.sum(F.aggregate("places", F.lit(0).cast("bigint"), lambda sum_, x: sum_ + F.length(x)))).first()[0] or 0
+    met = _few(meeting) if weight <= FEW_BYTES else meeting
+    active = stage(_shared_only(classes.select("cls", "n", "tokens").join(met, "cls")), "jaccard-active")
+    count = F.length("places") / 4
+    now, links = active.select("*", F.col("cls").alias("label"), (-F.col("degree")).alias("rank")), None
     for _ in range(STAR_ROUNDS):
-        stars = stage(posted(now, _stars), "jaccard-stars")
+        stars = stage(posted(now, count, _stars).groupBy("a", "b").agg(F.sum("shared").alias("shared")), "jaccard-stars")
         # A class has at most as many centres as prefix shingles.
-        centres = _sized(stars, classes).groupBy("b").agg(F.collect_list(F.struct("shared", "a")).alias("all"))
+        centres = _sized(stars, active).groupBy("b").agg(F.collect_list(F.struct("shared", "a")).alias("all"))
         best = F.slice(F.sort_array("all", asc=False), 1, CENTRES)
-        found = _links(centres.select("b", F.explode(best).alias("best")).select("best.a", "b"), docs, classes, order)
+        likely = _fitting(centres.select("b", F.explode(best).alias("best")).select("best.a", "b"), classes)
+        found = _links(likely, docs, classes, order)
         found = stage(found, "jaccard-links")
         links = found if links is None else links.union(found)
         # The classes with most links are the next centres.
         linked = links.select(F.col("a").alias("cls")).union(links.select("b")).groupBy("cls").agg(F.count("*").alias("links"))
-        now = classes.join(meeting, "cls", "left_semi").join(components(links), "cls", "left").join(linked, "cls", "left")
-        rank = -F.coalesce("links", F.lit(0))
-        now = now.select(*classes.columns, F.coalesce("label", "cls").alias("label"), rank.alias("rank"))
-        if 100 * found.count() < meeting.count():
+        labels = stage(components(links).join(linked, "cls").select("cls", "label", (-F.col("links")).alias("rank")), "jaccard-labels")
+        now = active.join(_few(labels), "cls", "left")
+        now = now.select(*active.columns, F.coalesce("label", "cls").alias("label"), F.coalesce("rank", F.lit(0)).alias("rank"))
+        if 5 * found.count() < meeting.count():
             break
-    crossings = stage(posted(now, _crossings), "jaccard-crossings")
-    more = _links(_fitting(crossings.select("a", "b"), classes), docs, classes, order)
+    crossings = stage(posted(now, count, _crossings).select("a", "b").distinct(), "jaccard-crossings")
+    more = _links(_fitting(crossings, classes), docs, classes, order)
     labels = stage(components(stage(links.union(more), "jaccard-links")), "jaccard-labels")
 
     named = classes.select("cls", "signature", "member.doc_id").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
@@ -469,6 +483,40 @@ def without_copies(docs: DataFrame) -> DataFrame:
     return without(kept, again).unionByName(single)
 
 
+def _with_places(classes: DataFrame) -> DataFrame:
+    """Classes with the place of each shingle of their prefix."""
+
+    def work(batches):
+        for batch in batches:
+            sizes = [len(t) // 8 for t in batch.column(2).to_pylist()]
+            places = [np.arange(n, dtype=np.uint32).tobytes() for n in sizes]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.binary())], names=["cls", "n", "tokens", "places"])
+
+    return classes.select("cls", "n", "tokens").mapInArrow(work, "cls bigint, n bigint, tokens binary, places binary")
+
+
+def _shared_only(classes: DataFrame) -> DataFrame:
+    """Classes (cls, n, tokens, degree, places of shared shingles in parts) with only these shingles."""
+
+    def work(batches):
+        for batch in batches:
+            tokens, places = [], []
+            for own, parts in zip(batch.column("tokens").to_pylist(), batch.column("places").to_pylist()):
+                at = np.sort(np.frombuffer(b"".join(parts), np.uint32))
+                tokens.append(np.frombuffer(own, np.uint64)[at].tobytes())
+                places.append(at.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), batch.column("n"), batch.column("degree"), pa.array(tokens, pa.binary()),
+                                              pa.array(places, pa.binary())], names=["cls", "n", "degree", "tokens", "places"])
+
+    rows = classes.select("cls", "n", "degree", "tokens", "places")
+    return rows.mapInArrow(work, "cls bigint, n bigint, degree bigint, tokens binary, places binary")
+
+
+def _few(keys: DataFrame) -> DataFrame:
+    """A stored table of numbers by class, broadcast if its size allows."""
+    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
+
+
 def _sized(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs with the sizes of both, where these allow a link."""
     n = classes.select("cls", "n")
@@ -489,7 +537,10 @@ def _fitting(pairs: DataFrame, classes: DataFrame) -> DataFrame:
                 keep.append(shared + max(n - len(x), m - len(y)) >= needed(n, m))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    pairs = stage(pairs, "jaccard-near")
+    few = _few(pairs)
     c = classes.select("cls", "n", "tokens")
-    both = pairs.join(c.withColumnsRenamed({"cls": "a", "n": "n_a", "tokens": "t_a"}), "a")
-    both = both.join(c.withColumnsRenamed({"cls": "b", "n": "n_b", "tokens": "t_b"}), "b")
+    first = c.join(few, few["a"] == c["cls"]).select("a", "b", F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
+    second = c.join(few, few["b"] == c["cls"]).select("a", "b", F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
+    both = first.join(second, ["a", "b"])
     return both.select("a", "b", "n_a", "n_b", "t_a", "t_b").mapInArrow(work, "a bigint, b bigint")

@@ -24,7 +24,7 @@ def remainders(ids: list, modulus: int) -> np.ndarray:
 
 
 #: Rows of an id and a hash that are broadcast at most: some tens of MB in each executor.
-FEW_KEYS = 1_000_000
+FEW_KEYS = 500_000
 
 
 def without(docs: DataFrame, keys: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ def test_one_of_each_group_stays(spark):
     sets = [_set(t) for _, t in rows]
     links = [(i, j) for i, x in enumerate(sets) for j in range(i) if x and 100 * len(x & sets[j]) >= 80 * len(x | sets[j])]
     assert not links
-    assert {_id for _id, n, c in _expected(docs) if n and _id == c} == {i for i, t in rows if _set(t) and i is not None}
+    assert {i for i, n, c in _expected(docs) if n and i is not None and i == c} == {i for i, t in rows if _set(t) and i is not None}
     assert sum(not s for s in sets) == sum(not _set(t) for _, t in docs)
 
 
