@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _P_INVERSE = np.uint64(pow(int(_P), -1, 2**64))
 _BYTE_KEYS = np.random.default_rng(20_231).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -125,3 +125,5 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", lower: bool =
             total += int(length)
         if first < len(column):
             yield batch.slice(first), Slice(column.slice(first).to_pylist(), lower)
+        del column, lengths
+        pa.default_memory_pool().release_unused()
