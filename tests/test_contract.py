@@ -15,7 +15,7 @@ def spellings(key: str) -> list[str]:
     """A denied name in letter forms and with separators that normalisation takes away."""
     half = len(key) // 2
     return [key.upper(), key.capitalize(), f"{key[:half]}_{key[half:]}", f"{key[:half]}-{key[half:]}".title(),
-            f"{key[0]}.{key[1:]}", "".join(chr(ord(c) + 0xFEE0) for c in key)]
+            f"{key[0]}.{key[1:]}", f"{chr(0xFF21)}{key}"]
 
 
 NAMES = [spelt for i, key in enumerate(contract.PROHIBITED_KEYS) for spelt in spellings(key)[i % 3::3]] + ["ſessionid"]
