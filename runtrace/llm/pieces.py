@@ -35,9 +35,11 @@ MICRO = 1_000_000
 #: Units up to so many bytes are segmented together, longer ones each by itself.
 SHORT = 64
 _NEVER = -(1 << 60)
-_SLICE = 4_000_000
+_SLICE = 1_500_000
 #: Units whose segmentation a worker keeps.
-UNITS_KEPT = 600_000
+UNITS_KEPT = 250_000
+#: Lattices that a worker keeps.
+LATTICES_KEPT = 3_000
 
 
 @dataclass
@@ -288,7 +290,7 @@ class Units:
         chunks, total = [self.ids], len(self.ids)
         order = np.argsort(sizes, kind="stable")
         short = order[: np.searchsorted(sizes[order], SHORT, side="right")]
-        for block in np.array_split(short, max(1, -(-len(short) // 40_000))):
+        for block in np.array_split(short, max(1, -(-len(short) // 10_000))):
             if len(block):
                 (found, n), best[block], gaps[block] = _segment_short(part, starts[block], sizes[block], self.words)
                 counts[block], offsets[block] = n, total + np.cumsum(n) - n
@@ -327,6 +329,8 @@ def encode_slice(texts: list[bytes], words: Vocabulary, n: int, units: Units | N
     units = units or Units(words)
     if len(units.hashes) > UNITS_KEPT:
         units.clear()
+    if len(units.lattices) > LATTICES_KEPT:
+        units.lattices.clear()
     part = Slice([b" " + t for t in texts], lower=False)
     data = part.bytes
     space, feed = data == 0x20, data == 0x0A
