@@ -36,7 +36,7 @@ HOT = 512
 #: Tokens of a chunk and of a shard, about.
 CHUNK_TOKENS = 1_000_000
 SHARD_TOKENS = 1_250_000
-#: Texts of a chunk; their numbers and a bit for training have 16 bits.
+#: Texts of a chunk at most; their numbers and a bit for training have 16 bits.
 CHUNK_TEXTS = 30_000
 END = np.uint64(0x5E9D_0F00_0E9D_1234)
 
@@ -217,6 +217,13 @@ class _Chunk:
         yield from _pack(model.shard_of(context[mixed]), context[mixed], token[mixed], who[mixed], _UNDER_CONTEXT, self.first_row)
 
 
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `CHUNK_TEXTS`."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, CHUNK_TEXTS):
+            yield batch.slice(first, CHUNK_TEXTS)
+
+
 def _requests(texts: DataFrame, model: LanguageModel) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
@@ -225,11 +232,12 @@ def _requests(texts: DataFrame, model: LanguageModel) -> DataFrame:
 
         first = TaskContext.get().partitionId() << 40
         chunk = _Chunk(first)
-        for batch, part in slices(batches, "text"):
-            chunk.add(batch, part)
-            if chunk.tokens >= shared.value.chunk_tokens or chunk.texts >= CHUNK_TEXTS:
-                yield from _batches(chunk.requests(shared.value))
+        for batch, part in slices(_bounded(batches), "text"):
+            if chunk.tokens >= shared.value.chunk_tokens or chunk.texts + part.n > CHUNK_TEXTS:
+                if chunk.texts:
+                    yield from _batches(chunk.requests(shared.value))
                 chunk = _Chunk(chunk.first_row + chunk.texts)
+            chunk.add(batch, part)
         if chunk.texts:
             yield from _batches(chunk.requests(shared.value))
 

@@ -61,3 +61,21 @@ def test_nothing_to_learn_from(spark):
     assert {(r.doc_id, r.n_tokens, r.n_known, r.train_tokens) for r in rows} == {(1, 3, 0, 0), (2, 1, 0, 0)}
     assert all(abs(r.score) < 1e-9 and r.base_score == 0 for r in rows)
     assert lm.score(docs.limit(0), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("at_once", [10_000, 50_000])
+def test_many_short_texts_behind_long_ones(spark, at_once):
+    long = [(i, " ".join(f"v{(i + k) % 7}" for k in range(150))) for i in range(7_000)]
+    rows = long + [(i, f"w{i % 97} x{i % 89}") for i in range(7_000, 41_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, at_once)
+    try:
+        got = sorted(map(tuple, lm.score(docs, F.col("doc_id") % 5 != 0).collect()))
+    finally:
+        spark.conf.set(name, before)
+    want = list(_expected(rows, lambda i: i % 5 != 0))
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert max(abs(g[4] - w[4]) for g, w in zip(got, want)) < 1e-6
+    assert all(abs(g[5] - w[5]) <= 1e-3 * w[1] for g, w in zip(got, want))
