@@ -54,6 +54,19 @@ def test_counts_and_verdicts(spark):
     assert sum(r.kept for r in clean) >= 0.99 * len(clean)
 
 
+def test_mostly_repeated_lines(spark):
+    _, docs = _docs(spark)
+    dice = random.Random(9)
+    word = lambda: "".join(dice.choice("abcde") for _ in range(5))
+    lines = [" ".join(word() for _ in range(8)) for _ in range(30)]
+    repeated = "\n".join(f"{x}\nmenus\nmenus" for x in lines) + "\n"
+    control = "\n".join(f"{x}\n{word()} {i}\n{word()} {i}x" for i, x in enumerate(lines)) + "\n"
+    more = spark.createDataFrame([(5000, repeated, "aa", "s0"), (5001, control, "aa", "s0")], "doc_id bigint, text string, lang string, source string")
+    found = {r.doc_id: r for r in op.judge(docs.select(more.columns).union(more)).where("doc_id >= 5000").collect()}
+    assert 0.6 < found[5000].n_dup_lines / 90 < 0.7 and not found[5000].base_failed
+    assert not found[5000].kept and found[5001].kept
+
+
 def test_small_tables(spark):
     _, docs = _docs(spark)
     assert op.judge(docs.limit(0)).count() == 0
