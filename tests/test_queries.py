@@ -31,3 +31,10 @@ def tables():
 def test_query(spark, tables, name):
     line = compare(spark, tables, SF_DIR, name, queries()[name], oracle_sql()[name])
     assert "ok," in line, line
+
+
+def test_reports_hold_the_whole_funnel(spark, tables):
+    rows = queries()["report_payload_sources"](spark, SF_DIR).where("section = 'upgrade_funnel'").select("name").collect()
+    whole = queries()["upgrade_funnel"](spark, SF_DIR).collect()
+    assert sorted(r["name"] for r in rows) == sorted(f"{r.choice_source}/{r.item_id}/{r.rarity}" for r in whole)
+    assert len({r.choice_source for r in whole}) > 1

@@ -265,10 +265,22 @@ _REPORT = """struct<
 
 
 def _document(spark, sf_dir):
-    """The rows of the checked report document, read back from its text: the funnel of statues only, as all are refused for size."""
+    """The rows of the checked report document with the funnel of statues; `_documents` has one for each choice source."""
+    return _source_document(section_rows(all_kept(spark, sf_dir)), "statue")
+
+
+def _documents(spark, sf_dir):
+    """Rows of one checked report for each choice source: with the whole funnel a report is over its limit of 24 KiB."""
     sections = section_rows(all_kept(spark, sf_dir))
-    sections["upgrade_funnel"] = sections["upgrade_funnel"].where("choice_source = 'statue'")
-    document = checked_report("2024-02-01", sections)
+    sources = sorted(r[0] for r in sections["upgrade_funnel"].select("choice_source").distinct().collect())
+    reports = [_source_document(sections, source).select(F.lit(source).alias("report_source"), "*") for source in sources]
+    return reduce(lambda a, b: a.unionByName(b), reports)
+
+
+def _source_document(sections, source):
+    """The rows of the checked report document of one choice source, read back from its text."""
+    document = checked_report("2024-02-01", {
+        **sections, "upgrade_funnel": sections["upgrade_funnel"].where(F.col("choice_source") == source)})
     metrics = document.select("report_date", F.from_json(
         "document", f"struct<schema_version:string,metrics:{_REPORT}>").alias("d")).select(
             "report_date", "d.schema_version", "d.metrics.*")
@@ -300,6 +312,10 @@ _REPORT_SQL = """'2024-02-01' AS report_date, 'gold-report-input-v1' AS schema_v
   UNION ALL SELECT 'run_progression', 'rows', (SELECT least(count(*), 20) FROM run_progression), NULL, NULL
   UNION ALL SELECT 'item_performance_summary', 'rows', (SELECT least(count(*), 20) FROM item_performance WHERE outcome_observed_run_count > 0), NULL, NULL)"""
 
+_REPORTS_SQL = f"""s.choice_source AS report_source, r.* FROM (SELECT DISTINCT choice_source FROM funnel) s, (
+  SELECT {_REPORT_SQL.replace(" WHERE choice_source = 'statue'", "")}) r
+  WHERE r.section <> 'upgrade_funnel' OR starts_with(r.name, s.choice_source || '/')"""
+
 
 QUERIES = {
     "run_summary": _table("run_summary", f"{S.RUN_COLUMNS} FROM runs"),
@@ -442,4 +458,5 @@ QUERIES = {
         S.select("item_id, rarity, count(*) AS row_count FROM upgrade_post_selection GROUP BY ALL HAVING count(*) > 1"),
     ),
     "report_payload": Query(_document, S.select(_REPORT_SQL)),
+    "report_payload_sources": Query(_documents, S.select(_REPORTS_SQL)),
 }
