@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runtrace.llm import chat_format, decontaminate, jaccard_join, language_id, lm, pieces, quality, secrets, toxicity, warc
+from runtrace.llm import chat_format, decontaminate, jaccard_join, language_id, lm, merkle, pieces, quality, secrets, toxicity, warc
 from runtrace.llm.rows import remainder, table
 from runtrace.sources.staging import stage
 
@@ -89,3 +89,14 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pieces.encode(docs, pieces.load(), with_ids=False)
     return found.select("doc_id", "n_pieces", "ids_sha256", "score",
                         F.array_join(F.col("n_best").cast("array<string>"), ",").alias("n_best_scores"), "round_trip")
+
+
+def without_breaks() -> Column:
+    """The text that a tampered store would hold: of every second id by crc32, without line feeds."""
+    return F.when(remainder("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.COLUMNS)
+    return merkle.verified(merkle.manifest(docs, without_breaks())).select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")

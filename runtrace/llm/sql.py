@@ -84,4 +84,58 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id
 FROM (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY 1) LEFT JOIN sizes USING (doc_id)
 """
 
-SQL = {"op8_jaccard_join": OP8, "op1_decontaminate": OP1, "op3_chat_format": OP3, "op5_warc": OP5}
+_CRC_TABLE = "(SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, b: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t)"
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII text; `t` is the column of `_CRC_TABLE`."""
+    step = "xor(c >> 8, t[1 + (xor(c, b) & 255)])"
+    return f"xor(list_reduce(list_transform(string_split({text}, ''), lambda s: CASE WHEN s = '' THEN 0 ELSE ascii(s) END::BIGINT), lambda c, b: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+def _said(value: str) -> str:
+    return f"coalesce(octet_length(encode(({value})::VARCHAR)) || ':' || ({value})::VARCHAR, '-')"
+
+
+_LEAF = "sha256(" + " || ".join(_said(c) for c in ("doc_id", "source", "lang", "n_chars", "TEXT")) + ")"
+_TAMPERED = f"CASE WHEN {_crc32('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+
+
+def _levels(name: str, leaves: str) -> str:
+    """CTEs: `name`_up, the nodes of each level of each tree, and `name`_path, the siblings of each first node."""
+    return f"""
+{name}_up AS (
+  SELECT 0::BIGINT AS level, tree, i, n, node FROM {leaves}
+  UNION ALL
+  SELECT level + 1, tree, i // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY i)) FROM {name}_up WHERE n > 1 GROUP BY 1, 2, 3, 4
+), {name}_path AS (
+  SELECT c.tree, c.i, p.level, coalesce(string_agg(s.node, '' ORDER BY s.i) FILTER (s.i < p.at), '') AS l,
+    coalesce(string_agg(s.node, '' ORDER BY s.i) FILTER (s.i > p.at), '') AS r
+  FROM {leaves} c, LATERAL (SELECT level, min(i) AS least, c.i // (3 ** level)::BIGINT AS at FROM {name}_up u WHERE u.tree = c.tree AND u.n > 1 GROUP BY level) p
+  JOIN {name}_up s ON s.tree = c.tree AND s.level = p.level AND s.i // 3 = p.at // 3
+  GROUP BY 1, 2, 3, p.at
+), {name}_top AS (SELECT tree, node AS top, level AS height FROM {name}_up WHERE n = 1)"""
+
+
+OP13 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {_LEAF.replace('TEXT', 'text')} AS leaf, {_LEAF.replace('TEXT', _TAMPERED)} AS stored
+  FROM documents, {_CRC_TABLE}
+), placed AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM d
+), own AS (SELECT tree, i, n, leaf AS node FROM placed), {_levels('a', 'own')},
+subroots AS (SELECT 0 AS tree, tree AS i, (SELECT count(*) FROM a_top) AS n, top AS node FROM a_top), {_levels('b', 'subroots')},
+steps AS MATERIALIZED (
+  SELECT tree, i, level, l, r FROM a_path
+  UNION ALL SELECT o.tree, o.i, t.height + p.level, p.l, p.r FROM own o JOIN a_top t USING (tree) JOIN b_path p ON p.i = o.tree
+), folded AS (
+  SELECT tree, i, 0::BIGINT AS level, stored AS node FROM placed
+  UNION ALL SELECT f.tree, f.i, f.level + 1, sha256(s.l || f.node || s.r) FROM folded f JOIN steps s USING (tree, i, level)
+), last AS (SELECT tree, i, arg_max(node, level) AS folded_root FROM folded GROUP BY 1, 2),
+proofs AS (SELECT tree, i, sha256(string_agg(l || r, '' ORDER BY level)) AS proof FROM steps GROUP BY 1, 2)
+SELECT doc_id, leaf, t.top AS subroot, z.top AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = z.top AS verified
+FROM placed JOIN a_top t USING (tree) CROSS JOIN b_top z JOIN last USING (tree, i) LEFT JOIN proofs USING (tree, i)
+"""
+
+SQL = {"op8_jaccard_join": OP8, "op1_decontaminate": OP1, "op3_chat_format": OP3, "op5_warc": OP5, "op13_merkle_manifest": OP13}
