@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runtrace.llm import chat_format, decontaminate, jaccard_join, language_id, lm, merkle, pieces, quality, secrets, toxicity, warc
+from runtrace.llm import chat_format, decontaminate, jaccard_join, language_id, lm, merkle, mixing, periods, pieces, quality, secrets, toxicity, warc
 from runtrace.llm.rows import remainder, table
 from runtrace.sources.staging import stage
 
@@ -91,6 +93,31 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(F.col("n_best").cast("array<string>"), ",").alias("n_best_scores"), "round_trip")
 
 
+def with_period(doc_id, words: list) -> list:
+    """Of every tenth id by crc32, words from some place on replaced by a stretch that repeats."""
+    h, n = zlib.crc32(b"" if doc_id is None else str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    at = g % n
+    period = 1 + (n - at) // (3 + g % 8)
+    return words[:at] + (words[at:at + period] * (1 + (n - at) // period))[:n - at]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.find_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), words_of=with_period)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixing.taken(mixed).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def without_breaks() -> Column:
     """The text that a tampered store would hold: of every second id by crc32, without line feeds."""
     return F.when(remainder("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))

@@ -138,4 +138,29 @@ SELECT doc_id, leaf, t.top AS subroot, z.top AS root, coalesce(proof, sha256('')
 FROM placed JOIN a_top t USING (tree) CROSS JOIN b_top z JOIN last USING (tree, i) LEFT JOIN proofs USING (tree, i)
 """
 
-SQL = {"op8_jaccard_join": OP8, "op1_decontaminate": OP1, "op3_chat_format": OP3, "op5_warc": OP5, "op13_merkle_manifest": OP13}
+OP12 = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY source
+), w AS (SELECT *, [5, 2, 1][1 + i % 3] AS weight, (SELECT sum(size) FROM d) AS total FROM s),
+filled AS (  -- sources by the level at which they are full; k of them are full at the end
+  SELECT *, row_number() OVER o AS k, coalesce(sum(3 * source_size) OVER (o ROWS UNBOUNDED PRECEDING), 0) AS given,
+    sum(weight) OVER () - sum(weight) OVER (o ROWS UNBOUNDED PRECEDING) AS rest
+  FROM w WINDOW o AS (ORDER BY 3.0::DOUBLE * source_size / weight, i)
+), levels AS (
+  SELECT 0 AS k, max(total)::DOUBLE / sum(weight)::DOUBLE AS level, (SELECT min(3.0::DOUBLE * source_size / weight) FROM filled) AS next FROM filled
+  UNION ALL SELECT k, (total - given)::DOUBLE / rest::DOUBLE, lead(3.0::DOUBLE * source_size / weight) OVER (ORDER BY k) FROM filled WHERE rest > 0
+), level AS (SELECT level FROM levels WHERE next IS NULL OR level < next ORDER BY k LIMIT 1),
+t AS (SELECT source, source_size, least(3.0::DOUBLE * source_size, weight * level) AS target FROM w, level),
+placed AS (
+  SELECT d.doc_id, d.size, source_size, target, floor(target)::BIGINT AS words,
+    sum(size) OVER (PARTITION BY d.source ORDER BY md5('mix:' || doc_id), doc_id, size) - size AS place
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE
+  (words // source_size) * size + greatest(0, least(place + size, words % source_size) - place) END::BIGINT AS taken
+FROM placed
+"""
+
+SQL = {"op8_jaccard_join": OP8, "op1_decontaminate": OP1, "op3_chat_format": OP3, "op5_warc": OP5, "op12_mixing": OP12, "op13_merkle_manifest": OP13}
