@@ -132,13 +132,13 @@ def report_errors(sections: dict[str, DataFrame]) -> DataFrame:
     return errors
 
 
-def checked_report(report_date: str, sections: dict[str, DataFrame]) -> DataFrame:
-    """The document, once its sections and its size are known to be within the contract."""
+def checked_report(report_date: str, sections: dict[str, DataFrame], most_bytes: int = contract.REPORT_MAX_BYTES) -> DataFrame:
+    """The document, once its sections and its size are known to be within the contract, or within another size."""
     found = [tuple(row) for row in report_errors(sections).collect()]
     if found:
         raise ReportInputError(f"report input is not allowed: {found}")
     document = _document(report_date, sections)
     size = document.select("document_bytes").first()[0]
-    if size > contract.REPORT_MAX_BYTES:
-        raise ReportInputError(f"report input of {size} bytes exceeds {contract.REPORT_MAX_BYTES}")
+    if size > most_bytes:
+        raise ReportInputError(f"report input of {size} bytes exceeds {most_bytes}")
     return document

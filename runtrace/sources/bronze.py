@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from runtrace import contract
 from runtrace.functions.payload import canonical, field, fingerprint
 from runtrace.functions.rules import is_object
-from runtrace.operators.validation import judge_events, locate_private
+from runtrace.functions.privacy import prohibited_paths
+from runtrace.operators.validation import judge_events, private_event_id, private_issues
 from runtrace.sources.staging import stage
 
 _ZONED = r"(Z|[+-]\d\d:?\d\d)$"
@@ -78,9 +79,9 @@ def as_lines(records: DataFrame) -> DataFrame:
 def split_ingest(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted events and rejects of a batch of requests (`body`, `is_base64`, `ingestion_channel`).
 
-    Rejects keep reason, path and a digest. They never keep the body, which may hold what the contract forbids.
-    The batch is judged once and stored; what is stored is an accepted event or the facts about a reject. Only the
-    stored rows with a prohibited name are read again, to say where it stands; their texts go with the staged copy.
+    Rejects keep reason, paths and a digest, never the body, which may hold what the contract forbids. The batch is judged once
+    and stored: accepted events, and the facts about rejects. Prohibited names are located on the way, so that no text of
+    a refused request is ever stored, not even for a while.
     """
     read = judge_events(read_bodies(requests))
     source = field(F.col("event"), "source_type")
@@ -93,26 +94,23 @@ def split_ingest(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(~known_channel(channel), "unsupported_channel")
         .when(~channel_allows(channel, source), "source_not_allowed")
     )
+    named = F.when(F.col("body_error").isNull(), F.col("private_text"))
+    read = read.withColumn("private_paths", prohibited_paths(named)).withColumn("private_id", F.when(private, private_event_id()))
+    issues = F.when(F.col("private_paths").isNotNull(), private_issues(F.col("private_paths"), F.col("private_id"))).otherwise(F.col("issues"))
+    refused = F.col("reason").isNotNull()
     judged = stage(
         read.withColumn("reason", reason).select(
             "reason",
-            F.when(F.col("reason").isNull(), F.col("event")).alias("event"),
-            "issues",
-            F.when(F.col("body_error").isNull(), F.col("private_text")).alias("private_text"),
+            F.when(~refused, F.col("event")).alias("event"),
+            F.when(refused, F.transform(issues, lambda found: found["code"])).alias("issue_codes"),
+            F.when(refused, F.transform(issues, lambda found: found["path"])).alias("issue_paths"),
             "ingestion_channel",
-            F.when(F.col("reason").isNotNull(), F.sha2(F.coalesce("body", F.lit("")), 256)).alias("body_sha256"),
+            F.when(refused, F.sha2(F.coalesce("body", F.lit("")), 256)).alias("body_sha256"),
         ),
         "judged",
     )
-    accepted = judged.where("reason IS NULL").select("event", "ingestion_channel")
-    refused = locate_private(judged.where("reason IS NOT NULL").drop("event"))
-    return accepted, refused.select(
-        "reason",
-        F.transform("issues", lambda found: found["code"]).alias("issue_codes"),
-        F.transform("issues", lambda found: found["path"]).alias("issue_paths"),
-        "ingestion_channel",
-        "body_sha256",
-    )
+    accepted = judged.where(~refused).select("event", "ingestion_channel")
+    return accepted, judged.where(refused).drop("event")
 
 
 def scan_bronze(spark: SparkSession, path: str) -> DataFrame:

@@ -4,14 +4,21 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Folders staged since the innermost open `released` block began, for each of the open blocks.
-_OPEN: list[list[str]] = []
+#: Of each thread, as streams call back from threads of their own: the folders staged in each of its open `released` blocks.
+_OPEN = threading.local()
+
+
+def _blocks() -> list[list[str]]:
+    if not hasattr(_OPEN, "blocks"):
+        _OPEN.blocks = []
+    return _OPEN.blocks
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,8 +50,8 @@ def stage(df: DataFrame, name: str, *partition_columns: str) -> DataFrame:
     plain checkpoint would lose.
     """
     path = new_folder(df.sparkSession, name)
-    if _OPEN:
-        _OPEN[-1].append(path)
+    if _blocks():
+        _blocks()[-1].append(path)
     df.write.partitionBy(*partition_columns).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -56,10 +63,10 @@ def remove(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def released(spark: SparkSession) -> Iterator[None]:
-    """Remove what is staged inside the block at its end. What leaves the block has to be stored elsewhere."""
-    _OPEN.append([])
+    """Remove what this thread stages inside the block at its end. What leaves the block has to be stored elsewhere."""
+    _blocks().append([])
     try:
         yield
     finally:
-        for path in _OPEN.pop():
+        for path in _blocks().pop():
             remove(spark, path)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import os
+import threading
 from datetime import date
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 from conftest import bronze_lines, rename
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from runtrace.functions.numeric import LARGEST, mean, total
 from runtrace.operators.export import daily_run_end_sums
 from runtrace.plans.run_date import rebuild_silver, run_date
 from runtrace.schemas import GOLD, REJECTS, SILVER
-from runtrace.sources import lake
+from runtrace.sources import lake, staging
 from runtrace.sources.bronze import open_envelopes
 from runtrace.sources.catalog import default_catalog
 from runtrace.sources.staging import shared_folder
@@ -97,10 +99,58 @@ def test_ingest_stream_splits_and_repeats_safely(spark, full_run, tmp_path):
     text = "".join(open(os.path.join(d, f), errors="ignore").read()
                    for d, _, files in os.walk(rejects) for f in files if f.endswith(".json"))
     assert "secret-device" not in text and "body_sha256" in text
+    assert {"/".join(p) for r in refused.where("reason = 'prohibited_field'").collect() for p in r["issue_paths"]} == {"deviceId"}
     ingest.store_batch(spark.createDataFrame(rows, ingest.REQUESTS), 0, bronze, rejects)  # the same batch once more
     assert open_envelopes(spark.read.text(bronze)).count() == 5
 
 
+def _texts_of(spark, path):
+    """All Parquet cells, and all bytes of other files, below a folder."""
+    said = []
+    for folder, _, files in os.walk(path):
+        for name in files:
+            where = os.path.join(folder, name)
+            said.append(str(pq.read_table(where).to_pylist()) if name.endswith(".parquet") else open(where, errors="ignore").read())
+    return "".join(said)
+
+
+def test_ingest_stores_no_text_that_it_refuses(spark, full_run, tmp_path, monkeypatch):
+    """Neither in the tables nor, while the batch is at work, in the folder that executors share."""
+    shared, kept = shared_folder(spark).removeprefix("file:"), []
+    monkeypatch.setattr(staging, "remove", lambda spark, path: kept.append(path))
+    private = [{**full_run[2], "deviceId": "SECRET-1"}, {**full_run[3], "context": [{"Player E-Mail": "SECRET-2"}]}, {**full_run[4], "rarity": "SECRET-3"}]
+    rows = [(json.dumps(e), False, "turkiye_gateway") for e in [full_run[0], *private]] + [("{SECRET-4", False, "turkiye_gateway")]
+    ingest.store_batch(spark.createDataFrame(rows, ingest.REQUESTS), 0, str(tmp_path / "bronze"), str(tmp_path / "rejects"))
+    assert len(kept) == 1 and len(os.listdir(kept[0].removeprefix("file:"))) > 1
+    for folder in (shared, str(tmp_path)):
+        assert "SECRET" not in _texts_of(spark, folder)
+    monkeypatch.undo()
+    staging.remove(spark, kept[0])
+
+
+def test_two_streams_keep_their_own_staged_copies(spark):
+    """A block that ends in one thread leaves what another thread staged meanwhile."""
+    staged, done = threading.Event(), threading.Event()
+    found = {}
+
+    def other():
+        with staging.released(spark):
+            rows = staging.stage(spark.range(5), "theirs")
+            staged.set()
+            done.wait(60)
+            found["count"] = rows.count()
+
+    thread = threading.Thread(target=other)
+    with staging.released(spark):
+        thread.start()
+        assert staged.wait(60)
+        mine = staging.stage(spark.range(3), "mine")
+        assert mine.count() == 3
+    done.set()
+    thread.join(60)
+    assert found["count"] == 5
+
+
 def _rebuild(spark, bronze, base, checkpoint):
     ingest.start_rebuild(spark, bronze, base, checkpoint, available_now=True).awaitTermination(240)
 
