@@ -7,7 +7,7 @@ depends on the length: for each power of two of trigrams it is a quarter of the
 passages of that length, drawn from training vectors, reach. Texts below 16 trigrams are never rejected for distance.
 
 The model is fitted on about `per_language` labelled rows of each language, chosen by a hash of the id (the documented
-bound); prediction covers every whole text. Null texts and texts without a letter are `und`, score 0, rejected. With
+bound), without texts that have no trigram; prediction covers every whole text. Null texts and texts without a letter are `und`, score 0, rejected. With
 nothing to learn from, all are `und`, and only texts without a letter are rejected. Equal cosines go to the language with more training rows, then the smaller name.
 """
 
@@ -30,8 +30,9 @@ CENTROIDS = 3
 FEW_LANGUAGES = 10_000
 _LETTERS = byte_set((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 _ASCII_LETTERS = byte_set((0x41, 0x5A), (0x61, 0x7A))
-#: Vectors are dense for a short while; so many bytes of text at once.
+#: Vectors are dense for a short while: so many bytes of text at once, and so many texts, however short.
 _BYTES = 400_000
+_TEXTS = 64
 
 
 def trigram_counts(part: Slice) -> np.ndarray:
@@ -141,11 +142,11 @@ def train(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE,
     chosen = chosen.where(lot < F.col("share")).select("lang", "text")
 
     def vectors(batches):
-        for batch, part in slices(batches, size=_BYTES):
+        for batch, part in slices(batches, size=_BYTES, most=_TEXTS):
             both = [_sparse(row) for row in trigram_counts(part)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([b[0] for b in both], pa.binary()), pa.array([b[1] for b in both], pa.binary())],
-                names=["lang", "at", "counts"])
+                names=["lang", "at", "counts"]).filter(pa.array([len(b[0]) > 0 for b in both], pa.bool_()))
 
     sample = stage(chosen.mapInArrow(vectors, "lang string, at binary, counts binary"), "language-sample")
 
@@ -183,7 +184,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, key: str = "doc_id", t
 
     def work(batches):
         model = shared.value
-        for batch, part in slices(batches, "text", size=_BYTES):
+        for batch, part in slices(batches, "text", size=_BYTES, most=_TEXTS):
             names, score, far = _judged(part, model)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(far)],
                                              names=["key", "lang_pred", "score", "rejected"])
@@ -209,7 +210,7 @@ def without_rejected(docs: DataFrame, model: LanguageModel | None, text: str = "
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches):
-        for batch, part in slices(batches, text, size=_BYTES):
+        for batch, part in slices(batches, text, size=_BYTES, most=_TEXTS):
             yield batch.filter(pa.array(~_judged(part, shared.value)[2]))
 
     return docs.mapInArrow(work, docs.schema)

@@ -112,14 +112,14 @@ def windows(hashes: np.ndarray, owners: np.ndarray, length: int) -> tuple[np.nda
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", lower: bool = True,
-           size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Slice]]:
-    """The rows of Arrow batches in slices, each with the words of its texts."""
+           size: int = SLICE_BYTES, most: int | None = None) -> Iterator[tuple[pa.RecordBatch, Slice]]:
+    """The rows of Arrow batches in slices, each with the words of its texts; of `most` texts at most."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary())
         lengths = np.diff(np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]) if len(column) else []
         first, total = 0, 0
         for i, length in enumerate(lengths):
-            if total and total + length > size:
+            if total and total + length > size or i - first == most:
                 yield batch.slice(first, i - first), Slice(column.slice(first, i - first).to_pylist(), lower)
                 first, total = i, 0
             total += int(length)

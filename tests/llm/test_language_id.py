@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from runtrace.llm import language_id as op
+from runtrace.llm.textbytes import slices
 
 SYLLABLES = {"xa": ["ka", "lu", "tor", "mim", "ash"], "yb": ["schen", "üng", "keit", "zu", "ver"], "zc": ["ción", "ña", "ez", "rro", "ll"]}
 
@@ -25,7 +28,7 @@ def _docs(spark):
 
 def test_predictions(spark):
     rows, docs = _docs(spark)
-    model = op.train(docs, F.col("doc_id") % 3 != 0)
+    model = op.train(docs, F.pmod(F.xxhash64("doc_id"), F.lit(3)) != 0)
     assert set(model.languages) == set(SYLLABLES) and (model.centroids.shape[0] <= 9)
     found = op.predict(docs, model).collect()
     assert len(found) == len(rows)
@@ -45,6 +48,29 @@ def test_only_rejected_rows_go(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r in rows if r[0] not in (900, 901, 902, 905))
 
 
+def test_texts_without_letters_teach_nothing(spark):
+    """A language of empty texts only is not learned, and has no part in what is predicted."""
+    rows = [(i, _text(random.Random(i), "xa", 20), "xa") for i in range(30)] + [(50 + i, t, "empty") for i, t in enumerate(["", " ", "12 34", "!?"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = op.train(docs, F.lit(True))
+    assert model.languages == ["xa"]
+    assert {r.lang_pred for r in op.predict(docs, model).collect()} == {"xa", "und"}
+
+
+def test_many_short_texts_take_little_memory(spark):
+    """Ten thousand titles are one Arrow batch; what is dense holds a few texts at a time."""
+    rows, docs = _docs(spark)
+    model = op.train(docs, F.lit(True))
+    dice = random.Random(4)
+    titles = pa.array([_text(dice, "yb", 3) for _ in range(10_000)])
+    tracemalloc.start()
+    found = [op._judged(part, model)[0] for _, part in slices(iter([pa.record_batch([titles], names=["text"])]), size=op._BYTES, most=op._TEXTS)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, found)) == 10_000 and max(map(len, found)) <= op._TEXTS
+    assert peak < 60_000_000
+
+
 def test_nothing_to_learn_from(spark):
     _, docs = _docs(spark)
     model = op.train(docs, F.lit(False))
