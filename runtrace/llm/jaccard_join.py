@@ -8,14 +8,19 @@ All sets are ordered by one global order: rare shingles by hash, then frequent o
 links; this one keeps shared passages out of the prefixes. Of a set of n, the first n - ceil(0.8 n) + 1 shingles are its
 prefix, and sets that link share one in both prefixes.
 
-1. Frequent shingles: those in two or more of an eighth of the documents; the `FREQUENT` most frequent go to all tasks.
+1. Frequent shingles: those in two or more of an eighth of the documents; the most frequent, up to `FREQUENT`, go to all tasks. A
+   histogram of their counts gives the least count that is taken.
 2. Prefixes of all documents; equal sets become one class (grouped by set signature, so copies are never paired).
-3. Star rounds: each posting list has a centre (first the class that meets most others, then the one with most links), and each class is compared with the `CENTRES` centres of other components it shares most
-   prefix shingles with: so many comparisons for a class and round, however many near copies there are.
-4. Last round: only classes in posting lists that still hold different components meet, and only where the list's shingle comes so
-   early in both sets that it can be their first common one. Pairs whose shared prefix shingles can't reach the overlap any
+3. Postings are rows of a shingle, a class and a place. Shingles are counted by partial sums and joined back, so only what two or
+   more classes share goes on, and no list of a shingle is ever gathered.
+4. Star rounds: each shingle has a centre, the least of its classes by rank (first the class that meets most others, then the one with
+   most links), found by partial minima and joined back. Each class is compared with the `CENTRES` centres of other components
+   it shares most prefix shingles with: so many comparisons for a class and round, however many near copies there are.
+5. Last round: only classes meet whose shingle still has different components, and only where it comes so
+   early in both sets that it can be their first common one. A list longer than `BLOCK` is cut into blocks, and each two of them
+   are compared by themselves. Pairs whose shared prefix shingles can't reach the overlap any
    more are dropped, the rest compared. So no link between components is lost.
-5. Components of the links, by alternating large and small stars over stored tables.
+6. Components of the links, by alternating large and small stars over stored tables.
 
 A comparison builds a prefix tree of the ordered sets that are compared with one set (at most `GROUP`, larger groups are salted),
 and walks it once: sets that begin alike share the counting, and a subtree is left as soon as the overlap so far and the shingles that
@@ -43,9 +48,8 @@ SAMPLED = 8
 #: Members that one set is compared with at once, and rows of a task of comparisons.
 GROUP = 256
 COMPARED_AT_ONCE = 2000
-#: Bytes of shared places that are broadcast at most.
-FEW_BYTES = 16_000_000
-#: Prefix shingles of a posting task.
+#: Classes of one list that are compared pair by pair in one task, and rows of such a task.
+BLOCK = 4096
 POSTINGS_AT_ONCE = 500_000
 #: Star rounds end when one links less than a fifth of the classes that meet, or after so many.
 STAR_ROUNDS = 6
@@ -120,8 +124,15 @@ def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarra
             yield counted()
 
     some = docs.where(F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(SAMPLED)) == 0).select("text")
-    counts = some.mapInArrow(work, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = counts.where("n > 1").orderBy(F.desc("n"), "shingle").limit(limit).toArrow()
+    counts = some.mapInArrow(work, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = stage(counts.withColumn("level", F.floor(16 * F.log2("n")).cast("int")), "jaccard-counts")
+    least, taken = 0, 0
+    for level, n in sorted(counts.groupBy("level").count().collect(), reverse=True):  # at most 16 for each power of two
+        taken += n
+        if taken > limit:
+            least = level + 1
+            break
+    rows = counts.where(F.col("level") >= least).select("shingle", "n").toArrow().sort_by([("n", "descending"), ("shingle", "ascending")])
     hashes = np.asarray(rows.column(0).to_numpy()).astype(np.int64).view(np.uint64)
     ranks = np.arange(len(hashes), 0, -1, dtype=np.int64)  # the most frequent comes last
     order = np.argsort(hashes)
@@ -148,67 +159,21 @@ def _set_rows(docs: DataFrame, order, whole: bool, keys: list[str]) -> DataFrame
     return docs.select(*keys, "text").mapInArrow(work, ", ".join([*kinds, "n bigint, signature binary, tokens binary"]))
 
 
-_POSTINGS = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("shingles", "who", "classes", "sizes", "labels", "ranks", "places")]])
-
-
-_NAMES = ("classes", "sizes", "labels", "ranks")
-
-
-def _postings(classes: DataFrame, buckets: int) -> DataFrame:
-    """Prefix shingles of classes (cls, n, label, rank, tokens, places in the set), packed by the bucket of their hash."""
+def _postings(classes: DataFrame) -> DataFrame:
+    """(cls, n, place, shingle): a row for each shingle of the prefixes of classes (cls, n, tokens)."""
 
     def work(batches):
-        kept, size = [], 0
-
-        def rows():
-            columns = [np.concatenate([np.asarray(b.column(i)) for b in kept]) for i in range(4)]
-            texts = [t for b in kept for t in b.column(4).to_pylist()]
-            tokens = np.frombuffer(b"".join(texts), np.uint64)
-            lengths = np.array([len(t) // 8 for t in texts])
-            who = np.repeat(np.arange(len(texts)), lengths)
-            places = np.frombuffer(b"".join(t for b in kept for t in b.column(5).to_pylist()), np.uint32)
-            bucket = ((mix(tokens) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for k in range(buckets):
-                some = order[bounds[k]:bounds[k + 1]]
-                if len(some):
-                    there, index = np.unique(who[some], return_inverse=True)
-                    row = {"bucket": k, "shingles": tokens[some].tobytes(), "who": index.astype(np.uint32).tobytes(), "places": places[some].tobytes()}
-                    row |= {name: column[there].astype(np.int64).tobytes() for name, column in zip(_NAMES, columns)}
-                    yield pa.RecordBatch.from_pylist([row], schema=_POSTINGS)
-
         for batch in batches:
-            kept.append(batch)
-            size += batch.nbytes // 8
-            if size > POSTINGS_AT_ONCE:
-                yield from rows()
-                kept, size = [], 0
-        if size:
-            yield from rows()
-
-    ddl = "bucket int, " + ", ".join(f"{c} binary" for c in _POSTINGS.names[1:])
-    return classes.select("cls", "n", "label", "rank", "tokens", "places").mapInArrow(work, ddl)
+            tokens = batch.column("tokens").to_pylist()
+            lengths = np.array([len(t) // 8 for t in tokens], np.int64)
+            flat = np.frombuffer(b"".join(tokens), np.int64)
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            repeated = [np.repeat(np.asarray(batch.column(c)), lengths) for c in ("cls", "n")]
+            for at in range(0, len(flat), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[at:at + 100_000]) for x in (*repeated, place.astype(np.int32), flat)],
+                                                 names=["cls", "n", "place", "shingle"])
 
-
-def _lists(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """Entries of a bucket that share their shingle with another class, by list and class.
-
-    Number of the list, class, size, label, rank, and place of the shingle in the class's set.
-    """
-    shingle, places, columns = [], [], {name: [] for name in _NAMES}
-    for r in table.to_pylist():
-        who = np.frombuffer(r["who"], np.uint32)
-        shingle.append(np.frombuffer(r["shingles"], np.uint64))
-        places.append(np.frombuffer(r["places"], np.uint32).astype(np.int64))
-        for name, out in columns.items():
-            out.append(np.frombuffer(r[name], np.int64)[who])
-    shingle, cls, *others = map(np.concatenate, (shingle, *columns.values(), places))
-    order = np.lexsort((cls, shingle))
-    shingle = shingle[order]
-    number = np.cumsum(np.concatenate([[True], shingle[1:] != shingle[:-1]])) - 1
-    shared = np.bincount(number)[number] > 1
-    return number[shared], *[x[order][shared] for x in (cls, *others)]
+    return classes.select("cls", "n", "tokens").mapInArrow(work, "cls bigint, n bigint, place int, shingle bigint")
 
 
 def _counted(a: np.ndarray, b: np.ndarray) -> pa.Table:
@@ -221,41 +186,31 @@ def _counted(a: np.ndarray, b: np.ndarray) -> pa.Table:
     return pa.table([pa.array(a[firsts]), pa.array(b[firsts]), pa.array(np.diff(np.append(firsts, len(a))))], names=["a", "b", "shared"])
 
 
-def _degrees(table: pa.Table) -> pa.Table:
-    """How many others each class meets in its posting lists, and the places of the shingles it meets them with."""
-    number, cls, _, _, _, place = _lists(table)
-    order = np.lexsort((place, cls))
-    cls, place, meets = cls[order], place[order], (np.bincount(number)[number] - 1)[order] if len(number) else number
-    firsts = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]])) if len(cls) else np.zeros(0, np.int64)
-    degree = np.add.reduceat(meets, firsts) if len(firsts) else firsts
-    places = [x.astype(np.uint32).tobytes() for x in np.split(place, firsts[1:])] if len(firsts) else []
-    return pa.table([pa.array(cls[firsts], pa.int64()), pa.array(degree, pa.int64()), pa.array(places, pa.binary())],
-                    names=["cls", "degree", "places"])
+def _stars(rows: DataFrame) -> DataFrame:
+    """(a, b, shared): classes with the centres of their shingles, where they are of other components, and how often they meet."""
+    lists = rows.groupBy("shingle").agg(F.min(F.struct("rank", "cls", "label")).alias("centre"), F.min("label").alias("low"), F.max("label").alias("high"))
+    met = rows.join(lists.where("low <> high").select("shingle", "centre"), "shingle").where(F.col("label") != F.col("centre.label"))
+    return met.groupBy(F.col("centre.cls").alias("a"), F.col("cls").alias("b")).agg(F.count("*").alias("shared"))
 
 
-def _stars(table: pa.Table) -> pa.Table:
-    """Classes of a posting list with its centre, the class of the least rank, where they are of other components."""
-    number, cls, _, label, rank, _ = _lists(table)
-    if len(number) == 0:
-        return _counted(number, cls)
-    order = np.lexsort((cls, rank, number))
-    number, cls, label = number[order], cls[order], label[order]
-    new = np.concatenate([[True], number[1:] != number[:-1]])
-    centre = np.flatnonzero(new)[np.cumsum(new) - 1]
-    other = label[centre] != label
-    return _counted(cls[centre][other], cls[other])
+def _mixed(rows: DataFrame) -> DataFrame:
+    """(bucket, list, cls, n, place, label): lists with several components, those over BLOCK as pairs of blocks."""
+    lists = rows.groupBy("shingle").agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    own = rows.join(lists.select("shingle", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "shingle")
+    own = own.withColumn("block", F.pmod(F.xxhash64(F.lit(3), "cls"), F.col("blocks")).cast("int"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.withColumn("list", F.xxhash64("shingle", F.least("block", "other"), F.greatest("block", "other")))
+    own = stage(own.select("list", "cls", "n", "place", "label"), "jaccard-mixed")
+    tasks = max(1, -(-own.count() // POSTINGS_AT_ONCE))
+    return own.withColumn("bucket", F.pmod(F.xxhash64("list"), F.lit(tasks)).cast("int"))
 
 
 def _crossings(table: pa.Table) -> pa.Table:
     """Pairs of classes of different components that may link: their first common shingle has to come early in both sets."""
-    number, cls, size, label, _, place = _lists(table)
+    lists, cls, size, label, place = (table.column(c).to_numpy() for c in ("list", "cls", "n", "label", "place"))
+    number = np.unique(lists, return_inverse=True)[1]
     order = np.lexsort((size, number))
     number, cls, size, label, place = number[order], cls[order], size[order], label[order], place[order]
-    # Lists whose members are all of one component are settled.
-    mixed = np.zeros(number.max(initial=-1) + 1, bool)
-    mixed[number[1:][(number[1:] == number[:-1]) & (label[1:] != label[:-1])]] = True
-    keep = mixed[number]
-    number, cls, size, label, place = number[keep], cls[keep], size[keep], label[keep], place[keep]
     found: list[pa.Table] = []
     low = np.arange(len(number))
     step = 1
@@ -422,38 +377,30 @@ def join(docs: DataFrame) -> DataFrame:
     if classes.count() > sets.count():  # rows with equal ids and texts
         classes = stage(classes.dropDuplicates(["cls"]), "jaccard-classes")
 
-    def posted(labelled: DataFrame, size, find, ddl: str = "a bigint, b bigint, shared bigint") -> DataFrame:
-        total = labelled.agg(F.sum(size)).first()[0] or 0
-        buckets = max(1, -(-int(total) // POSTINGS_AT_ONCE))
-        return _postings(labelled, buckets).groupBy("bucket").applyInArrow(find, ddl)
-
-    plain = _with_places(classes).select("*", F.col("cls").alias("label"), F.lit(0).cast("bigint").alias("rank"))
-    met = posted(plain, F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1, _degrees, "cls bigint, degree bigint, places binary")
-    met = met.groupBy("cls").agg(F.sum("degree").alias("degree"), F.collect_list("places").alias("places"))
-    meeting = stage(met, "jaccard-meeting")
-    # From here on only shingles count that classes share; the first centres are the classes that meet most others.
-    weight = meeting.agg(F.sum(F.aggregate("places", F.lit(0).cast("bigint"), lambda sum_, x: sum_ + F.length(x)))).first()[0] or 0
-    met = _few(meeting) if weight <= FEW_BYTES else meeting
-    active = stage(_shared_only(classes.select("cls", "n", "tokens").join(met, "cls")), "jaccard-active")
-    count = F.length("places") / 4
-    now, links = active.select("*", F.col("cls").alias("label"), (-F.col("degree")).alias("rank")), None
+    postings = _postings(classes)
+    met = postings.groupBy("shingle").agg(F.count("*").alias("met")).where("met > 1")
+    shared = stage(postings.join(met, "shingle"), "jaccard-shared")
+    # The first centres are the classes that meet most others.
+    meeting = stage(shared.groupBy("cls").agg(F.sum(1 - F.col("met")).alias("rank")), "jaccard-meeting")
+    links = None
+    labels = meeting.select("cls", F.col("cls").alias("label"), "rank")
     for _ in range(STAR_ROUNDS):
-        stars = stage(posted(now, count, _stars).groupBy("a", "b").agg(F.sum("shared").alias("shared")), "jaccard-stars")
+        stars = stage(_stars(shared.join(_few(labels), "cls")), "jaccard-stars")
         # A class has at most as many centres as prefix shingles.
-        centres = _sized(stars, active).groupBy("b").agg(F.collect_list(F.struct("shared", "a")).alias("all"))
+        centres = _sized(stars, classes).groupBy("b").agg(F.collect_list(F.struct("shared", "a")).alias("all"))
         best = F.slice(F.sort_array("all", asc=False), 1, CENTRES)
         likely = _fitting(centres.select("b", F.explode(best).alias("best")).select("best.a", "b"), classes)
-        found = _links(likely, docs, classes, order)
-        found = stage(found, "jaccard-links")
+        found = stage(_links(likely, docs, classes, order), "jaccard-links")
         links = found if links is None else links.union(found)
         # The classes with most links are the next centres.
-        linked = links.select(F.col("a").alias("cls")).union(links.select("b")).groupBy("cls").agg(F.count("*").alias("links"))
-        labels = stage(components(links).join(linked, "cls").select("cls", "label", (-F.col("links")).alias("rank")), "jaccard-labels")
-        now = active.join(_few(labels), "cls", "left")
-        now = now.select(*active.columns, F.coalesce("label", "cls").alias("label"), F.coalesce("rank", F.lit(0)).alias("rank"))
+        linked = links.select(F.col("a").alias("cls")).union(links.select("b")).groupBy("cls").agg((-F.count("*")).alias("rank"))
+        known = stage(components(links).join(linked, "cls"), "jaccard-labels")
+        labels = meeting.select("cls").join(_few(known), "cls", "left")
+        labels = stage(labels.select("cls", F.coalesce("label", "cls").alias("label"), F.coalesce("rank", F.lit(0)).alias("rank")), "jaccard-ranks")
         if 5 * found.count() < meeting.count():
             break
-    crossings = stage(posted(now, count, _crossings).select("a", "b").distinct(), "jaccard-crossings")
+    crossings = _mixed(shared.join(_few(labels), "cls")).groupBy("bucket").applyInArrow(_crossings, "a bigint, b bigint, shared bigint")
+    crossings = stage(crossings.select("a", "b").distinct(), "jaccard-crossings")
     more = _links(_fitting(crossings, classes), docs, classes, order)
     labels = stage(components(stage(links.union(more), "jaccard-links")), "jaccard-labels")
 
@@ -483,35 +430,6 @@ def without_copies(docs: DataFrame) -> DataFrame:
     return without(kept, again).unionByName(single)
 
 
-def _with_places(classes: DataFrame) -> DataFrame:
-    """Classes with the place of each shingle of their prefix."""
-
-    def work(batches):
-        for batch in batches:
-            sizes = [len(t) // 8 for t in batch.column(2).to_pylist()]
-            places = [np.arange(n, dtype=np.uint32).tobytes() for n in sizes]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.binary())], names=["cls", "n", "tokens", "places"])
-
-    return classes.select("cls", "n", "tokens").mapInArrow(work, "cls bigint, n bigint, tokens binary, places binary")
-
-
-def _shared_only(classes: DataFrame) -> DataFrame:
-    """Classes (cls, n, tokens, degree, places of shared shingles in parts) with only these shingles."""
-
-    def work(batches):
-        for batch in batches:
-            tokens, places = [], []
-            for own, parts in zip(batch.column("tokens").to_pylist(), batch.column("places").to_pylist()):
-                at = np.sort(np.frombuffer(b"".join(parts), np.uint32))
-                tokens.append(np.frombuffer(own, np.uint64)[at].tobytes())
-                places.append(at.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), batch.column("n"), batch.column("degree"), pa.array(tokens, pa.binary()),
-                                              pa.array(places, pa.binary())], names=["cls", "n", "degree", "tokens", "places"])
-
-    rows = classes.select("cls", "n", "degree", "tokens", "places")
-    return rows.mapInArrow(work, "cls bigint, n bigint, degree bigint, tokens binary, places binary")
-
-
 def _few(keys: DataFrame) -> DataFrame:
     """A stored table of numbers by class, broadcast if its size allows."""
     return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
