@@ -195,17 +195,26 @@ def reconstruct(
     allowed_lateness: str | None = contract.ALLOWED_LATENESS,
     bits: int = SLICE_BITS,
 ) -> Reconstruction:
-    """Rebuild the runs of `deliveries` and judge them.
+    """Rebuild the runs of `deliveries` and judge them. Bodies feed several rules, so they are written once to the shared folder."""
+    return reconstruct_bodies(stage(distinct_bodies(deliveries), "bodies"), shared, allowed_lateness, bits)
+
+
+def reconstruct_bodies(
+    bodies: DataFrame,
+    shared: DataFrame | None = None,
+    allowed_lateness: str | None = contract.ALLOWED_LATENESS,
+    bits: int = SLICE_BITS,
+) -> Reconstruction:
+    """Rebuild runs from their distinct bodies, which are read several times: stored, or cheap to read.
 
     A run with any single-event issue is judged by those alone (and by shared event ids and lateness); its
     sequence rules are left out. `shared` gives event ids known to occur in several runs, for callers that pass
     only some of the runs. `allowed_lateness` None skips the lateness rule.
 
-    The bodies and the ordered events feed several rules, so they are written once to the shared folder.
+    The ordered events feed several rules, so they are written once to the shared folder.
     """
     if allowed_lateness is not None and not re.fullmatch(r"[1-9]\d* (second|minute|hour|day)s?", allowed_lateness):
         raise ValueError("allowed_lateness must be a positive number of seconds, minutes, hours or days")
-    bodies = stage(distinct_bodies(deliveries), "bodies")
     events = stage(unique_events(bodies), "events")
     members = sequence.typed_events(events.drop("event_sequence", "source_type"))
     ordered = stage(sequence.ordered_events(members).drop("event_json"), "ordered")

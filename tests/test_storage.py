@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from runtrace.functions.numeric import LARGEST, mean, total
 from runtrace.operators.export import daily_run_end_sums
 from runtrace.plans.run_date import rebuild_silver, run_date
-from runtrace.schemas import GOLD, REJECTS, SILVER
+from runtrace.schemas import GOLD, SILVER
 from runtrace.sources import lake, staging
 from runtrace.sources.bronze import open_envelopes
 from runtrace.sources.catalog import default_catalog
@@ -151,8 +151,8 @@ def test_two_streams_keep_their_own_staged_copies(spark):
     assert found["count"] == 5
 
 
-def _rebuild(spark, bronze, base, checkpoint):
-    ingest.start_rebuild(spark, bronze, base, checkpoint, available_now=True).awaitTermination(240)
+def _rebuild(spark, bronze, base):
+    ingest.start_rebuild(spark, bronze, base, available_now=True).awaitTermination(240)
 
 
 def _lake(spark, base):
@@ -181,7 +181,7 @@ def test_streamed_rebuild_equals_batch(spark, full_run, tmp_path):
     ]
     for events, times in arrivals:
         store(bronze_lines(spark, events, times=times), bronze)
-        _rebuild(spark, bronze, base, str(tmp_path / "cp"))
+        _rebuild(spark, bronze, base)
         assert _lake(spark, base) == _batch(spark, bronze, other, days)
     statuses = {(r["run_id"], r["run_status"], str(r["received_date"])) for t in ("silver", "quarantine")
                 for r in lake.read_table(spark, base, t).collect()}
@@ -195,7 +195,7 @@ def test_broken_lines_are_listed(spark, full_run, tmp_path):
     store(spark.createDataFrame([("{broken",), ('{"bronze_record_version": 2}',)], "value string"), bronze)
     write = rebuild_silver(spark, bronze, base, "2026-03-01")
     assert (write.silver_run_count, write.quarantine_run_count, write.reject_count) == (1, 0, 2)
-    rows = spark.read.schema(REJECTS).parquet(f"{base}/bronze_rejects").collect()
+    rows = lake.read_rejects(spark, base).collect()
     assert sorted(r["reason"] for r in rows) == ["record_not_an_object", "unsupported_version"]
     assert all(len(r["line_sha256"]) == 64 for r in rows)
 

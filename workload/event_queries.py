@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from runtrace import contract
 from runtrace.operators import export, gold_runs, reconstruct as R, rekey, sequence
 from runtrace.operators.reconstruct import utc_date
-from runtrace.schemas import EXPORT_HEADER, GOLD, REJECTS
+from runtrace.schemas import EXPORT_HEADER, GOLD
 from runtrace.sources import bronze, lake
+from runtrace.sources.kept import keep_batch, keep_deliveries, kept, put_rejects
 from runtrace.sources.staging import new_folder, stage
 from runtrace.plans.run_date import rebuild_silver
 from runtrace.streaming.ingest import rebuild_touched
@@ -149,8 +150,8 @@ def _bronze_rejects(spark, sf_dir):
     """Broken records as they are listed by reason and day, and the sound ones beside them."""
     base = new_folder(spark, "lake")
     opened = stage(bronze.open_envelopes(stage(_faulty_lines(spark, sf_dir), "lines")), "opened")
-    lake.write_rejects(opened, base)
-    listed = spark.read.schema(REJECTS).parquet(f"{base}/bronze_rejects").groupBy("reason", "received_date").agg(
+    put_rejects(opened, base, 0)
+    listed = lake.read_rejects(spark, base).groupBy("reason", "received_date").agg(
         F.count("*").alias("records"), F.count_if(F.length("line_sha256") == 64).alias("digests"))
     sound = bronze.sound_deliveries(opened).select(F.lit("accepted").alias("reason"), utc_date(F.col("received_at")).alias("received_date"))
     accepted = sound.groupBy("reason", "received_date").agg(F.count("*").alias("records"), F.lit(0).cast("bigint").alias("digests"))
@@ -162,15 +163,8 @@ _REJECTS_SQL = D.select(f"""reason, received_date, count(*) AS records, count(*)
     {D.day('received_us')} AS received_date FROM deliveries) GROUP BY ALL""")
 
 
-def _rebuild_incremental(spark, sf_dir):
-    """Bronze that arrives in two parts, each followed by the rebuild a stream would run; then the whole lake."""
-    base, bronze_path = new_folder(spark, "lake"), new_folder(spark, "bronze")
-    lines = bronze_lines(spark, sf_dir)
-    for part in ("received_date < DATE '2024-01-16'", "received_date >= DATE '2024-01-16'"):
-        some = lines.where(part)
-        some.write.mode("append").partitionBy("received_date").option("compression", "gzip").text(bronze_path)
-        arrived = stage(bronze.open_envelopes(stage(some.select("value"), "lines")), "arrived")
-        rebuild_touched(bronze.sound_deliveries(arrived), spark, bronze_path, base)
+def _lake_rows(spark, base):
+    """What is stored of Silver and quarantine, row by row."""
     parts = [
         lake.read_table(spark, base, table).select("run_id", "event_id", "run_status", "quality_issue_count",
                                                    "received_date", F.lit(table).alias("target"))
@@ -179,6 +173,14 @@ def _rebuild_incremental(spark, sf_dir):
     return comparable(parts[0].unionByName(parts[1]))
 
 
+def _rebuild_incremental(spark, sf_dir):
+    """Bronze that arrives in two parts, each followed by the batch of a stream; then the whole lake."""
+    base, lines = new_folder(spark, "lake"), bronze_lines(spark, sf_dir)
+    for number, part in enumerate(("received_date < DATE '2024-01-16'", "received_date >= DATE '2024-01-16'")):
+        rebuild_touched(stage(lines.where(part), "lines"), number, base)
+    return _lake_rows(spark, base)
+
+
 def _gold_from_bronze(spark, sf_dir):
     """Run quality and outcomes of rebuilt Silver: from lines to Gold."""
     trusted, _ = lake.split_by_trust(_rebuilt(spark, sf_dir))
@@ -341,16 +343,30 @@ def _split(spark, sf_dir):
 _BACKFILL_DAY = "2024-01-10"
 
 
+def _kept_lake(spark, sf_dir):
+    """A lake whose Bronze lines were opened once."""
+    def write(base):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        keep_deliveries(spark, bronze_folder(spark, sf_dir), base)
+
+    return stored(spark, sf_dir, "kept-lake", write)
+
+
 def _date_backfill(spark, sf_dir):
-    """One date rebuilt from the stored lines into its folders and read back."""
-    base = new_folder(spark, "lake")
+    """One date rebuilt from the kept deliveries into its folders and read back. Only new Bronze files would be opened."""
+    base = _kept_lake(spark, sf_dir)
     rebuild_silver(spark, bronze_folder(spark, sf_dir), base, _BACKFILL_DAY)
-    parts = [
-        lake.read_table(spark, base, table).select("run_id", "event_id", "run_status", "quality_issue_count",
-                                                   "received_date", F.lit(table).alias("target"))
-        for table in ("silver", "quarantine")
-    ]
-    return comparable(parts[0].unionByName(parts[1]))
+    return _lake_rows(spark, base)
+
+
+def _event_id_index(spark, sf_dir):
+    """Issues of shared event ids, for the runs of all dates, from the index that two batches of deliveries left."""
+    base, lines = new_folder(spark, "lake"), bronze_lines(spark, sf_dir)
+    for number, part in enumerate(("received_date < DATE '2024-01-16'", "received_date >= DATE '2024-01-16'")):
+        keep_batch(stage(lines.where(part), "lines"), number, base)
+    state = kept(spark, base)
+    bodies = state.bodies()
+    return _issue_view(R.cross_run_issues(bodies.select("run_id", "event_id").distinct(), state.shared_event_ids(bodies)))
 
 
 def _silver_sink(spark, sf_dir):
@@ -569,6 +585,7 @@ QUERIES = {
         lambda spark, sf_dir: _issue_view(R.cross_run_issues(
             _unique(spark, sf_dir), R.shared_event_ids(_unique(spark, sf_dir)))),
         D.select("* FROM cross_run_conflict")),
+    "event_id_index": Query(_event_id_index, D.select("* FROM cross_run_conflict")),
     "late_events": Query(
         lambda spark, sf_dir: _issue_view(R.late_issues(_unique(spark, sf_dir))), D.select("* FROM late_event")),
     "received_date_owner": Query(
