@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runtrace import contract
@@ -139,13 +139,9 @@ def export_documents(silver: DataFrame, revision: int = 1, data_class: str = "SY
     )
 
 
-def document_text(documents: DataFrame) -> DataFrame:
-    return documents.select(F.to_json(F.struct(*EXPORT_HEADER, "metrics")).alias("value"))
-
-
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Documents kept one per file, or one per line when `path` holds text written by `document_text`."""
-    return spark.read.text(path, wholetext=True)
+def document_text(documents: DataFrame, *columns: str) -> DataFrame:
+    """Documents as JSON text, one per row, beside some of their columns."""
+    return documents.select(F.to_json(F.struct(*EXPORT_HEADER, "metrics")).alias("value"), *columns)
 
 
 _HEADER_KINDS = {

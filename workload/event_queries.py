@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from runtrace import contract
 from runtrace.operators import export, gold_runs, reconstruct as R, rekey, sequence
 from runtrace.operators.reconstruct import utc_date
-from runtrace.schemas import EXPORT_HEADER, GOLD
-from runtrace.sources import bronze, lake
+from runtrace.schemas import EXPORT, EXPORT_HEADER, GOLD
+from runtrace.sources import bronze, imports, lake
 from runtrace.sources.kept import keep_batch, keep_deliveries, kept, put_rejects
 from runtrace.sources.staging import new_folder, stage
 from runtrace.plans.run_date import rebuild_silver
 from runtrace.streaming.ingest import rebuild_touched
+from runtrace.streaming.runs import closed_runs, start_closing, start_dedup
 from workload import gold_sql as S
 from workload import run_sql as D
 from workload.projection import (
@@ -176,11 +178,36 @@ def _lake_rows(spark, base):
 def _rebuild_incremental(spark, sf_dir):
     """Bronze that arrives in two parts, each followed by the batch of a stream; then the whole lake."""
     base, lines = new_folder(spark, "lake"), bronze_lines(spark, sf_dir)
-    for number, part in enumerate(("received_date < DATE '2024-01-16'", "received_date >= DATE '2024-01-16'")):
+    for number, part in enumerate(_PARTS):
         rebuild_touched(stage(lines.where(part), "lines"), number, base)
     return _lake_rows(spark, base)
 
 
+_PARTS = ("received_date < DATE '2024-01-16'", "received_date >= DATE '2024-01-16'")
+_HELD = 97  # every so many rows reach the stream after all others
+_LATE_SQL = f"""n % {_HELD} = 0 AND received_us // 1000 < (SELECT max(received_us) FROM deliveries WHERE n % {_HELD} <> 0) // 1000 - 86400000"""
+
+
+def _stream_dedup(spark, sf_dir):
+    """Bronze files that arrive out of order, in three rounds of one stream; deliveries of each run by their route."""
+    path, checkpoint, bronze_path = (new_folder(spark, name) for name in ("routed", "dedup", "bronze"))
+    lines = stage(lines_by_number(spark, sf_dir), "lines")
+    held = F.col("n") % _HELD == 0
+    for some in [lines.where(part).where(~held) for part in _PARTS] + [lines.where(held)]:
+        some.drop("n").write.mode("append").partitionBy("received_date").option("compression", "gzip").text(bronze_path)
+        start_dedup(spark, bronze_path, path, checkpoint, available_now=True).awaitTermination()
+    return spark.read.parquet(path).groupBy("run_id", "route").agg(F.count("*").alias("deliveries"))
+
+
+def _stream_run_close(spark, sf_dir):
+    """Statuses of the runs whose time is over, from a stream that stops and goes on between two batches of deliveries."""
+    base, checkpoint, lines = new_folder(spark, "lake"), new_folder(spark, "closing"), bronze_lines(spark, sf_dir)
+    for number, part in enumerate(_PARTS):
+        keep_batch(stage(lines.where(part), "lines"), number, base)
+        start_closing(spark, base, checkpoint, available_now=True).awaitTermination()
+    return comparable(closed_runs(spark, base))
+
+
 def _gold_from_bronze(spark, sf_dir):
     """Run quality and outcomes of rebuilt Silver: from lines to Gold."""
     trusted, _ = lake.split_by_trust(_rebuilt(spark, sf_dir))
@@ -362,7 +389,7 @@ def _date_backfill(spark, sf_dir):
 def _event_id_index(spark, sf_dir):
     """Issues of shared event ids, for the runs of all dates, from the index that two batches of deliveries left."""
     base, lines = new_folder(spark, "lake"), bronze_lines(spark, sf_dir)
-    for number, part in enumerate(("received_date < DATE '2024-01-16'", "received_date >= DATE '2024-01-16'")):
+    for number, part in enumerate(_PARTS):
         keep_batch(stage(lines.where(part), "lines"), number, base)
     state = kept(spark, base)
     bodies = state.bodies()
@@ -510,6 +537,81 @@ SELECT CASE dom WHEN 5 THEN 'privacy_mode' WHEN 6 THEN '' WHEN 7 THEN 'metrics/e
   count(*) AS documents FROM days WHERE dom IN (5, 6, 7, 8) GROUP BY ALL"""
 
 
+_ENTRIES = {
+    "exports": (["data_class", "destination_region", None], None, []),
+    "event_counts": (["event_name", None, None], "event_count", []),
+    "upgrade_option_counts": (["item_id", "rarity", "slot"], "shown_count", []),
+    "upgrade_selected_counts": (["item_id", "rarity", "slot"], "selected_count", []),
+    "run_checkpoint_counts": ([None, None, "checkpoint_number"], "checkpoint_count", [
+        "player_level_sum", "current_xp_sum", "xp_to_next_level_sum", "hp_percent_sum", "total_kills_sum", "current_gold_sum"]),
+    "run_end_counts": (["end_reason", None, None], "end_count", [
+        "run_duration_seconds_sum", "final_level_sum", "total_kills_sum", "current_gold_sum"]),
+}
+
+
+def _entries(tables):
+    """Rows of the six tables in one layout: three keys, a count and up to six sums."""
+    parts = []
+    for name, (keys, count, sums) in _ENTRIES.items():
+        def column(source, kind, alias):
+            return (F.lit(None) if source is None else F.col(source)).cast(kind).alias(alias)
+
+        padded = [*sums, *[None] * (6 - len(sums))]
+        parts.append(tables(name).select(
+            F.lit(name).alias("entry"), "schema_version", "bucket_date", "revision",
+            *[column(k, kind, f"key_{i}") for i, (k, kind) in enumerate(zip(keys, ("string", "string", "bigint")), 1)],
+            column(count, "bigint", "n"), *[column(c, "double", f"sum_{i}") for i, c in enumerate(padded, 1)]))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+_ENTRIES_SQL = f"""entries AS (
+  SELECT 'exports' AS entry, day, 'SYNTHETIC_TEST' AS key_1, 'ap-southeast-2' AS key_2, cast(NULL as bigint) AS key_3, cast(NULL as bigint) AS n,
+    cast(NULL as double) AS sum_1, cast(NULL as double) AS sum_2, cast(NULL as double) AS sum_3, cast(NULL as double) AS sum_4,
+    cast(NULL as double) AS sum_5, cast(NULL as double) AS sum_6 FROM telemetry GROUP BY day
+  UNION ALL SELECT 'event_counts', day, event_name, NULL, NULL, count(*), NULL, NULL, NULL, NULL, NULL, NULL FROM telemetry GROUP BY ALL
+  UNION ALL SELECT 'upgrade_option_counts', day, item_id, rarity, slot, count(*), NULL, NULL, NULL, NULL, NULL, NULL FROM ({_SLOTS}) GROUP BY ALL
+  UNION ALL SELECT 'upgrade_selected_counts', day, selected_item_id, selected_rarity, selected_slot, count(*), NULL, NULL, NULL, NULL, NULL, NULL
+    FROM telemetry WHERE event_name = 'upgrade_selected' GROUP BY ALL
+  UNION ALL SELECT 'run_checkpoint_counts', day, NULL, NULL, checkpoint_number, count(*), sum(player_level), {_total('current_xp')},
+    {_total('xp_to_next_level')}, {_total('hp_percent')}, sum(total_kills), {_total('current_gold')}
+    FROM telemetry WHERE event_name = 'run_checkpoint' GROUP BY ALL
+  UNION ALL SELECT 'run_end_counts', day, end_reason, NULL, NULL, count(*), {_total('run_elapsed_seconds')}, sum(final_level), sum(total_kills),
+    {_total('current_gold')}, NULL, NULL FROM telemetry WHERE event_name = 'run_ended' GROUP BY ALL)"""
+
+
+def _entries_sql(revisions: str) -> str:
+    return f"""WITH {telemetry_sql(DUCKDB)}, {_ENTRIES_SQL}
+SELECT entry, 'aggregate-export-v1' AS schema_version, strftime(day, '%Y-%m-%d') AS bucket_date, revision, key_1, key_2,
+  cast(key_3 as bigint) AS key_3, cast(n as bigint) AS n, cast(sum_1 as double) AS sum_1, cast(sum_2 as double) AS sum_2,
+  cast(sum_3 as double) AS sum_3, cast(sum_4 as double) AS sum_4, cast(sum_5 as double) AS sum_5, cast(sum_6 as double) AS sum_6
+FROM entries JOIN (SELECT day, unnest({revisions}) AS revision FROM (SELECT DISTINCT day FROM telemetry)) USING (day)"""
+
+
+def _import_stored(spark, sf_dir):
+    """Documents imported twice, and their six tables as they are stored then."""
+    base = new_folder(spark, "lake")
+    for _ in range(2):
+        imports.import_documents(spark, _batch(spark, sf_dir), base)
+    return _entries(lambda name: imports.read_import(spark, base, name))
+
+
+def _import_latest(spark, sf_dir):
+    """Two imports, first revisions before second ones; the rows of each day's highest revision."""
+    base = new_folder(spark, "lake")
+    first = F.get_json_object("value", "$.revision") == "1"
+    for part in (first, ~first):
+        imports.import_documents(spark, _batch(spark, sf_dir).where(part), base)
+    return _entries(lambda name: imports.latest_rows(spark, base, name))
+
+
+def _export_entries(spark, sf_dir):
+    """Export documents stored one by one and read back: every entry of every day."""
+    folder = new_folder(spark, "documents")
+    imports.save_documents(export.export_documents(silver(spark, sf_dir), revision=3), folder)
+    documents = imports.read_documents(spark, folder).select(F.from_json("value", EXPORT).alias("d")).select("d.*")
+    return _entries(lambda name: documents if name == "exports" else export.exploded(documents, name))
+
+
 # --- storage -------------------------------------------------------------------------------------
 
 
@@ -591,6 +693,14 @@ QUERIES = {
     "received_date_owner": Query(
         lambda spark, sf_dir: R.runs_owned_by(_deliveries(spark, sf_dir), _BACKFILL_DAY),
         D.select(f"run_id FROM runs WHERE {D.day('opened_us')} = '{_BACKFILL_DAY}'")),
+    "stream_dedup": Query(_stream_dedup, D.select(f"""run_id, route, cast(sum(c) as bigint) AS deliveries FROM (
+        SELECT run_id, 'late' AS route, count(*) AS c FROM deliveries WHERE {_LATE_SQL} GROUP BY 1
+        UNION ALL SELECT run_id, unnest(['kept', 'repeat']), unnest([1, c - 1]) FROM (
+          SELECT run_id, event_id, body, count(*) AS c FROM deliveries WHERE NOT ({_LATE_SQL}) GROUP BY ALL))
+        GROUP BY 1, 2 HAVING sum(c) > 0""")),
+    "stream_run_close": Query(_stream_run_close, D.select(f"""run_id, run_status, source_type, {D.day('opened_us')} AS received_date,
+        unique_event_count, quality_issue_count FROM runs
+        WHERE opened_us // 1000 + 86400000 < (SELECT max(received_us) FROM deliveries) // 1000 - 7200000""")),
     "seq_conflict": _rule("seq_conflict", lambda spark, sf_dir: sequence.sequence_conflicts(
         _members(spark, sf_dir), _ordered(spark, sf_dir))),
     "seq_gap": _order_rule("seq_gap"),
@@ -639,6 +749,9 @@ QUERIES = {
     "export_explode": Query(_export_explode, _EXPLODE_SQL),
     "export_latest_revision": Query(_latest, _LATEST_SQL),
     "export_validation": Query(_export_validation, _EXPORT_VALIDATION_SQL),
+    "export_entries": Query(_export_entries, _entries_sql("[3]")),
+    "export_import_stored": Query(_import_stored, _entries_sql("CASE WHEN day(day) % 3 = 0 THEN [1, 2] ELSE [1] END")),
+    "export_import_latest": Query(_import_latest, _entries_sql("CASE WHEN day(day) % 3 = 0 THEN [2] ELSE [1] END")),
     "rekey_runs": Query(_rekey, _REKEY_SQL),
     "bronze_rejects": Query(_bronze_rejects, _REJECTS_SQL),
     "rebuild_incremental": Query(_rebuild_incremental, D.select(f"""u.run_id, u.event_id, q.run_status, q.quality_issue_count,
