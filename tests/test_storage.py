@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from runtrace.functions.numeric import LARGEST, mean, total
 from runtrace.operators.export import daily_run_end_sums
-from runtrace.plans.run_date import rebuild_silver, run_date
+from runtrace.plans.run_date import rebuild_dates, rebuild_silver, run_date
 from runtrace.schemas import GOLD, SILVER
 from runtrace.sources import lake, staging
 from runtrace.sources.bronze import open_envelopes
 from runtrace.sources.catalog import default_catalog
+from runtrace.sources.kept import keep_deliveries
 from runtrace.sources.staging import shared_folder
 from runtrace.streaming import ingest
 
@@ -162,8 +163,7 @@ def _lake(spark, base):
 
 
 def _batch(spark, bronze, base, days):
-    for day in days:
-        rebuild_silver(spark, bronze, base, day)
+    rebuild_dates(keep_deliveries(spark, bronze, base), days)
     return _lake(spark, base)
 
 
