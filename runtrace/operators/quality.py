@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from runtrace import contract
-from runtrace.operators.gold_items import uncatalogued_items
+from runtrace.operators.gold_items import ITEM_KEY, uncatalogued_items
+from runtrace.sources.staging import stage
 
 _COUNTERS = ["input_event_count", "unique_event_count", "exact_retry_count", "conflicting_duplicate_count"]
 
@@ -185,3 +187,50 @@ def require_quality(checks: DataFrame) -> None:
     failed = [tuple(row) for row in checks.where("check_status <> 'PASS'").collect()]
     if failed:
         raise QualityGateError(f"quality checks failed: {failed}")
+
+
+class ObservedGate:
+    """The twelve checks, counted while the Gold tables are written: no table is read a second time.
+
+    `put` stores a table and notes what its rules find on the way; `results` is known once all tables are stored.
+    """
+
+    def __init__(self, write: Callable[[DataFrame, str], DataFrame] = stage):
+        self._write = write
+        self._found: dict[str, Observation] = {}
+        self._rules: dict[str, dict[str, Column]] = {}
+        for check, (table, conditions) in row_rules().items():
+            broken = F.coalesce(reduce(lambda a, b: a | b, conditions), F.lit(False))
+            self._rules.setdefault(table, {})[check] = F.count_if(broken)
+        self._rules["run_outcome"] = {"run_outcome_percentage": F.sum("ended_run_percentage")}
+        self._rules["picked_items"] = {"item_catalog_coverage": F.count_if(F.col("known").isNull())}
+
+    def put(self, table: str, rows: DataFrame) -> DataFrame:
+        if table not in self._rules:
+            return self._write(rows, table)
+        self._found[table] = Observation()
+        return self._write(rows.observe(self._found[table], *[count.alias(check) for check, count in self._rules[table].items()]), table)
+
+    def put_picks(self, picks: DataFrame, catalog: DataFrame) -> DataFrame:
+        """The different picked items, each with whether the catalog knows it."""
+        known = catalog.select(*ITEM_KEY).withColumn("known", F.lit(True))
+        return self.put("picked_items", picks.select(*ITEM_KEY).distinct().join(known, ITEM_KEY, "left"))
+
+    def results(self) -> dict[str, int]:
+        """Failed rows by check."""
+        missing = sorted(set(self._rules) - set(self._found))
+        if missing:
+            raise QualityGateError(f"not written yet: {missing}")
+        found = {check: value for observation in self._found.values() for check, value in observation.get.items()}
+        share = found["run_outcome_percentage"]
+        return {**found, "run_outcome_percentage": int(share is not None and abs(share - 100) > 0.1)}
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        rows = [(check, failed, "FAIL" if failed else "PASS") for check, failed in self.results().items()]
+        return spark.createDataFrame(rows, "check_name string, failed_row_count bigint, check_status string")
+
+    def require(self) -> None:
+        """Stop the job when any check failed."""
+        failed = {check: count for check, count in self.results().items() if count}
+        if failed:
+            raise QualityGateError(f"quality checks failed: {failed}")

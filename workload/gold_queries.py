@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from runtrace.labels import COLUMN_LABELS, VALUE_LABELS
 from runtrace.operators import gold_items, gold_progression, gold_runs, gold_weapons, semantic, serve
-from runtrace.operators.quality import quality_checks
+from runtrace.operators.quality import ObservedGate, quality_checks
 from runtrace.operators.reconcile import METRICS, duplicate_keys, metric_differences, metric_summaries
 from runtrace.operators.report import checked_report, leading_items, section_rows, steepest_dropoffs
 from runtrace.schemas import GOLD, gold_columns
+from runtrace.sources.lake import new_gold, put_gold, read_gold, save_gold
+from runtrace.sources.staging import new_folder
 from workload import gold_sql as S
 from workload.projection import catalog, silver, stored
 from workload.registry import Query, comparable
@@ -239,6 +241,128 @@ def _quality_tables(spark, sf_dir):
     return quality_checks(tables, picks(spark, sf_dir), items)
 
 
+#: Columns of Gold tables that are made wrong, in words that both engines understand: condition and value.
+_NUMBER = "cast(substring(run_id, 33, 4) as int)"
+_WRONG = {
+    "run_quality": {"exact_retry_count": [("run_status = 'valid'", "-1")], "run_count": [("run_status = 'incomplete'", "-run_count")]},
+    "run_summary": {
+        "input_event_count": [(f"{_NUMBER} % 7 = 1", "input_event_count + 1")],
+        "total_kills": [(f"{_NUMBER} % 11 = 2", "NULL")],
+        "upgrade_selected_count": [(f"{_NUMBER} % 13 = 3", "upgrade_shown_count + 1")],
+        "run_status": [(f"{_NUMBER} % 17 = 4", "'invalid'")],
+        "death_cause": [(f"{_NUMBER} % 19 = 5 AND end_reason <> 'player_death'", "'fall'")],
+    },
+    "run_outcome": {"ended_run_percentage": [("end_reason = 'player_death'", "ended_run_percentage + 1")]},
+    "checkpoint_metrics": {
+        "average_hp_percent": [("checkpoint_number = 1", "100.5")], "average_xp_to_next_level": [("checkpoint_number = 2", "0")],
+        "average_current_gold": [("checkpoint_number = 3", "-1")], "checkpoint_event_count": [("checkpoint_number = 4", "0")],
+    },
+    "run_progression": {
+        "reached_run_count": [("checkpoint_number % 4 = 0", "previous_reached_run_count + 1")],
+        "elapsed_minutes": [("checkpoint_number % 4 = 1", "elapsed_minutes + 1")], "reach_percentage": [("checkpoint_number % 4 = 2", "-1")],
+    },
+    "upgrade_post_selection": {
+        "selected_run_count": [("selection_minute % 5 = 0", "selection_count + 1")],
+        "analysis_status": [("selection_minute % 5 = 1", "'DESCRIPTIVE_ONLY'"), ("selection_minute % 5 = 3", "'OTHER'")],
+        "death_within_60_seconds_percentage": [("selection_minute % 5 = 2", "-1")],
+    },
+    "item_performance_summary": {
+        "intended_effect": [("choice_source = 'statue'", "NULL")],
+        "outcome_observed_run_count": [("game_version = '1.1.0'", "selected_run_count + 1")],
+    },
+    "weapon_popularity": {
+        "display_name": [("weapon_id = 'bone'", "NULL")], "selection_percentage": [("weapon_id = 'sword'", "100.01")],
+        "exposed_run_count": [("game_version = '1.2.0'", "exposure_count + 1")],
+    },
+    "weapon_performance": {"death_percentage": [("game_version = '1.0.0'", "-0.5")], "run_count": [("game_version = '1.1.0'", "0")]},
+    "option_outcome_comparison": {
+        "offered_run_count": [("choice_source = 'level_up_weapon'", "offered_run_count + 1")],
+        "analysis_status": [("choice_source = 'statue'", "'OTHER'")],
+    },
+    "upgrade_funnel": {"selection_count": [("rarity = 'common'", "exposure_count + 1")], "exposure_count": [("rarity = 'rare'", "0")]},
+}
+_SQL_NAMES = {"run_summary": f"(SELECT {S.RUN_COLUMNS} FROM runs)", "item_performance_summary": "item_performance", "option_outcome_comparison": "option_outcomes",
+              "upgrade_funnel": "funnel"}
+
+
+def _made_wrong(table: str) -> dict[str, str]:
+    return {column: "CASE " + " ".join(f"WHEN {when} THEN {value}" for when, value in cases) + f" ELSE {column} END"
+            for column, cases in _WRONG[table].items()}
+
+
+def _quality_observed(spark, sf_dir):
+    """The gate over Gold tables with wrong rows, counted while these are written."""
+    gate = ObservedGate()
+    for table in GOLD:
+        rows = kept(spark, sf_dir, "all_runs" if table == "run_summary" else table)
+        kinds = dict(rows.dtypes)
+        gate.put(table, rows.withColumns({c: F.expr(text).cast(kinds[c]) for c, text in _made_wrong(table).items()}))
+    gate.put_picks(picks(spark, sf_dir), catalog(spark, sf_dir).where("item_id <> 'steak'"))
+    return gate.table(spark)
+
+
+def _observed_sql() -> str:
+    """Every condition of the twelve checks, over the same wrong rows."""
+    wrong = ",\n".join(
+        f"wrong_{table} AS (SELECT * REPLACE ({', '.join(f'{text} AS {c}' for c, text in _made_wrong(table).items())}) "
+        f"FROM {_SQL_NAMES.get(table, table)})" for table in _WRONG)
+    sample = "analysis_status NOT IN ('INSUFFICIENT_SAMPLE', 'DESCRIPTIVE_ONLY')"
+    thin = f"{sample} OR (outcome_observed_run_count < 30) <> (analysis_status = 'INSUFFICIENT_SAMPLE')"
+    after = f"""selection_count < 1 OR selected_run_count < 1 OR selected_run_count > selection_count OR outcome_observed_run_count < 0
+      OR outcome_observed_run_count > selected_run_count OR death_within_60_seconds_count < 0
+      OR death_within_60_seconds_count > outcome_observed_run_count OR death_within_60_seconds_percentage NOT BETWEEN 0 AND 100
+      OR average_seconds_after_selection < 0 OR average_final_level < 0 OR average_total_kills < 0 OR {thin}"""
+    rules = {
+        "run_quality_non_negative": ("run_quality", "least(run_count, input_event_count, unique_event_count, exact_retry_count, "
+                                     "conflicting_duplicate_count) < 0"),
+        "run_summary_consistency": ("run_summary", """is_ended AND run_status <> 'valid' OR NOT is_ended AND run_status <> 'incomplete'
+          OR is_ended AND (end_reason IS NULL OR run_duration_seconds IS NULL OR final_level IS NULL OR total_kills IS NULL OR current_gold IS NULL)
+          OR death_cause IS NOT NULL AND end_reason <> 'player_death' OR upgrade_selected_count > upgrade_shown_count
+          OR input_event_count <> unique_event_count + exact_retry_count + conflicting_duplicate_count"""),
+        "checkpoint_value_ranges": ("checkpoint_metrics", """checkpoint_number < 1 OR checkpoint_event_count < 1 OR average_player_level < 0
+          OR average_current_xp < 0 OR average_xp_to_next_level <= 0 OR average_hp_percent NOT BETWEEN 0 AND 100 OR average_total_kills < 0
+          OR average_current_gold < 0"""),
+        "run_progression_ranges": ("run_progression", """checkpoint_number < 1 OR elapsed_minutes <> checkpoint_number OR started_run_count < 1
+          OR reached_run_count < 0 OR reached_run_count > previous_reached_run_count OR previous_reached_run_count > started_run_count
+          OR reach_percentage NOT BETWEEN 0 AND 100 OR step_dropoff_percentage NOT BETWEEN 0 AND 100"""),
+        "upgrade_post_selection_ranges": ("upgrade_post_selection", after),
+        "item_performance_summary_ranges": ("item_performance_summary", f"""display_name IS NULL OR item_category IS NULL
+          OR intended_effect IS NULL OR primary_metric IS NULL OR metric_readiness IS NULL OR {after}"""),
+        "weapon_popularity_ranges": ("weapon_popularity", """display_name IS NULL OR least(starting_run_count, exposure_count,
+          exposed_run_count, selection_count, selected_run_count, first_selected_run_count) < 0 OR exposed_run_count > exposure_count
+          OR selected_run_count > selection_count OR first_selected_run_count > selected_run_count OR selection_count > exposure_count
+          OR selection_percentage NOT BETWEEN 0 AND 100"""),
+        "weapon_performance_ranges": ("weapon_performance", f"""display_name IS NULL OR run_count < 1 OR outcome_observed_run_count < 0
+          OR outcome_observed_run_count > run_count OR average_run_seconds < 0 OR average_total_kills < 0 OR kills_per_minute < 0
+          OR average_final_level < 0 OR average_total_xp < 0 OR average_total_gold < 0 OR death_percentage NOT BETWEEN 0 AND 100 OR {thin}"""),
+        "option_outcome_comparison_ranges": ("option_outcome_comparison", f"""display_name IS NULL OR item_category IS NULL
+          OR offered_run_count < 1 OR selected_run_count < 0 OR not_selected_run_count < 0
+          OR selected_run_count + not_selected_run_count <> offered_run_count OR selected_outcome_run_count < 0
+          OR selected_outcome_run_count > selected_run_count OR not_selected_outcome_run_count < 0
+          OR not_selected_outcome_run_count > not_selected_run_count OR selected_average_kills < 0 OR not_selected_average_kills < 0
+          OR selected_average_run_seconds < 0 OR not_selected_average_run_seconds < 0 OR {sample}
+          OR (least(selected_outcome_run_count, not_selected_outcome_run_count) < 30) <> (analysis_status = 'INSUFFICIENT_SAMPLE')"""),
+        "upgrade_funnel_ranges": ("upgrade_funnel", """exposure_count < 1 OR selection_count < 0 OR selection_count > exposure_count
+          OR selection_percentage NOT BETWEEN 0 AND 100"""),
+    }
+    parts = [f"SELECT '{check}' AS check_name, count(*) AS n FROM wrong_{table} WHERE {broken}" for check, (table, broken) in rules.items()]
+    parts.append("SELECT 'run_outcome_percentage', CASE WHEN abs(sum(ended_run_percentage) - 100) > 0.1 THEN 1 ELSE 0 END FROM wrong_run_outcome")
+    parts.append("SELECT 'item_catalog_coverage', count(*) FROM (SELECT DISTINCT game_version, choice_source, item_id FROM picks WHERE item_id = 'steak')")
+    return (f"{S.base()},\n{wrong}\nSELECT check_name, cast(n as bigint) AS failed_row_count, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END "
+            f"AS check_status FROM ({' UNION ALL '.join(parts)})")
+
+
+def _gold_published(spark, sf_dir):
+    """Gold stored and put in force as one version, twice; metric summaries of the tables that readers find then."""
+    base = new_folder(spark, "lake")
+    for number in (1, 2):
+        folder = new_gold(base, number)
+        for name, rows in all_kept(spark, sf_dir).items():
+            save_gold(rows, folder, name)
+        put_gold(spark, base, folder, number)
+    return comparable(metric_summaries(read_gold(spark, base)))
+
+
 def _relabel_sql() -> str:
     values = ", ".join(f"('{a}', '{b}')" for a, b in VALUE_LABELS.items())
 
@@ -448,6 +572,8 @@ QUERIES = {
         "item_performance_summary",
     ),
     "quality_checks": Query(_quality_tables, _quality_sql()),
+    "quality_observed": Query(_quality_observed, _observed_sql()),
+    "gold_published": Query(_gold_published, f"{_summary_sql()}\nSELECT * FROM summaries"),
     "reconcile_metrics": Query(
         lambda spark, sf_dir: comparable(metric_summaries(all_kept(spark, sf_dir))),
         f"{_summary_sql()}\nSELECT * FROM summaries",
