@@ -26,14 +26,18 @@ def exact(value: Column) -> Column:
     return bounded(value, "decimal(26,6)", LARGEST_EXACT)
 
 
-def _too_large(value: Column) -> Column:
-    """Whether any number of a group does not fit into fixed point."""
-    return F.count_if(value.isNotNull() & value.try_cast("decimal(26,6)").isNull()) > 0
+def _fixed(value: Column) -> Column:
+    """The same, but NULL if a number is too large."""
+    return value.try_cast("decimal(26,6)")
+
+
+def _all_fit(value: Column) -> Column:
+    return F.count(value) == F.count(_fixed(value))
 
 
 def total(value: Column) -> Column:
     """The sum of a measure as a double: exact unless a number is too large for fixed point."""
-    return F.when(_too_large(value), F.sum(value.cast("double"))).otherwise(F.sum(exact(value)).cast("double"))
+    return F.when(_all_fit(value), F.sum(_fixed(value)).cast("double")).otherwise(F.sum(value.cast("double")))
 
 
 def _wide(value: Column | int) -> Column:
@@ -52,9 +56,13 @@ def cents(numerator: Column, denominator: Column) -> Column:
 
 
 def mean(value: Column) -> Column:
-    """Average of the non-null values in cents; exact unless a number is too large for fixed point."""
-    large = bounded(F.round(F.avg(value.cast("double")), 2), "decimal(38,2)", LARGEST)
-    return F.when(_too_large(value), large).otherwise(cents(F.sum(exact(value)), F.count(value)))
+    """Average of the non-null values in cents; exact unless a number is too large for fixed point.
+
+    The value is cast once: the parts of the aggregate share the expression.
+    """
+    rough = F.sum(value.cast("double")) / F.count(value)
+    large = bounded(F.round(rough, 2), "decimal(38,2)", LARGEST)
+    return F.when(_all_fit(value), cents(F.sum(_fixed(value)), F.count(value))).otherwise(large)
 
 
 def percentage(part: Column, whole: Column) -> Column:

@@ -624,6 +624,32 @@ def _window(spark, sf_dir):
     return comparable(rows.groupBy("received_date").agg(F.count("*").alias("events")))
 
 
+def _external_window(spark, sf_dir):
+    """Silver in date folders as an external table, joined with the stored days of a control table."""
+    base = new_folder(spark, "lake")
+    silver(spark, sf_dir).withColumn("quality_issue_count", F.lit(0).cast("bigint")).write.partitionBy("received_date").parquet(f"{base}/silver")
+    days = stage(silver(spark, sf_dir).select(F.col("received_date").alias("day")).distinct(), "days")
+    wanted = days.where("day BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' AND dayofmonth(day) % 2 = 0")
+    table = lake.external_table(spark, base)
+    rows = table.join(wanted, table["received_date"] == wanted["day"])
+    return comparable(rows.groupBy("received_date").agg(F.count("*").alias("events"), F.count_distinct("run_id").alias("runs")))
+
+
+def _bronze_sized(spark, sf_dir):
+    """Bronze lines that came in very many small pieces, written in files of a bounded size; per day lines, bytes and a digest of the lines."""
+    folder = new_folder(spark, "bronze")
+    pieces = bronze_lines(spark, sf_dir).repartition(64)
+    lake.sized(pieces, "received_date").write.partitionBy("received_date").option("compression", "gzip").text(folder)
+    lines = bronze.scan_bronze(spark, folder).select("value", "received_date", F.input_file_name().alias("file"))
+    files = lines.groupBy("received_date", "file").agg(F.count("*").alias("lines"), F.count_distinct(_delivered_id()).alias("ids"))
+    # The test tables give a day a few hundred KB, under the advisory size: one file.
+    return comparable(files.groupBy("received_date").agg(F.sum("lines").alias("lines"), F.sum("ids").alias("event_ids"), F.count("*").alias("files")))
+
+
+def _delivered_id():
+    return F.get_json_object("value", "$.event.event_id")
+
+
 def _evolution(spark, sf_dir):
     from workload.gold_queries import kept
 
@@ -726,6 +752,11 @@ QUERIES = {
         event_name, count(*) AS events, count(DISTINCT run_id) AS runs FROM telemetry GROUP BY ALL"""),
     "rolling_window_scan": Query(_window, f"""WITH {telemetry_sql(DUCKDB)} SELECT strftime(day, '%Y-%m-%d') AS received_date,
         count(*) AS events FROM telemetry WHERE day BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY ALL"""),
+    "external_window": Query(_external_window, f"""WITH {telemetry_sql(DUCKDB)} SELECT strftime(day, '%Y-%m-%d') AS received_date,
+        count(*) AS events, count(DISTINCT run_id) AS runs FROM telemetry
+        WHERE day BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' AND day(day) % 2 = 0 GROUP BY ALL"""),
+    "bronze_sized": Query(_bronze_sized, D.select(f"""{D.day('received_us')} AS received_date, count(*) AS lines,
+        count(DISTINCT event_id) AS event_ids, cast(1 as bigint) AS files FROM deliveries GROUP BY 1""")),
     "retention_filter": Query(_retention, f"""WITH {telemetry_sql(DUCKDB)} SELECT strftime(day, '%Y-%m-%d') AS received_date,
         count(*) AS row_count FROM telemetry WHERE day < DATE '2024-01-11' GROUP BY ALL"""),
     "schema_evolution": Query(_evolution, S.select("""run_id, game_version, end_reason,
