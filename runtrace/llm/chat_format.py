@@ -1,14 +1,17 @@
 """Chat formatting by schema fingerprints.
 
-A record is a JSON object in one of several layouts. The sorted set of its nested field paths that any mapping knows is
+A record is a JSON object in one of several layouts. The sorted set of its nested field paths that any mapping knows, with a
+mark where the value is neither null nor of the kind that a path has by itself (text at the end of a path, else a list or an object), is
 hashed; the hash picks a declarative mapping, and the mapping yields canonical turns. Other fields, whatever their names,
-are ignored. A record whose fingerprint no mapping has, or that is no JSON object, has `layout` null and no turns.
+are ignored. A record whose fingerprint no mapping has, so also one with a number for a text or a text for a list, or that is
+no JSON object, or is nested too deeply to be read, has `layout` null and no turns. The content of a message may be a list of parts; the
+texts of its parts are put together, parts without a text give nothing.
 
 A turn is written as `<|im_start|>role`, line feed, text, `<|im_end|>`, line feed. Control strings inside roles and texts
 get one more backslash after their first character, which `unescape` takes away again, so every text survives and no text
 can open or close a turn. The loss mask holds the spans (code points, end exclusive) of the assistant texts as written.
 
-Null texts and roles are empty. Turns with equal numbers are ordered by role, then text; repeated rows are repeated turns.
+Null texts and roles are empty; halves of surrogate pairs become U+FFFD. Turns with equal numbers are ordered by role, then text; repeated rows are repeated turns.
 An empty table gives no rows.
 """
 
@@ -41,11 +44,19 @@ class Layout:
     aliases: tuple[tuple[str, str], ...] = ()
     fields: tuple[tuple[str, str], ...] = ()
     optional: tuple[str, ...] = ()
+    part: str = ""
 
     def shapes(self) -> Iterator[frozenset[str]]:
         """The sets of field paths a record of this layout may have."""
         if self.each:
             item = f"{self.each}[]"
+            if self.part:
+                said = f"{item}.{self.text}"
+                whole = [self.each, item, f"{item}.{self.role}", said, f"{said}!list"]
+                part = [f"{said}[]", f"{said}[].{self.part}", f"{said}[].type"]
+                for some in ([], part[:1], part[:2], [part[0], part[2]], part):
+                    yield frozenset([*whole, *some])
+                return
             yield frozenset([self.each])
             yield frozenset([self.each, item, f"{item}.{self.role}", f"{item}.{self.text}"])
             yield frozenset([self.each, item, f"{item}.{self.role}"])
@@ -60,7 +71,7 @@ class Layout:
             aliases = dict(self.aliases)
             items = [m if isinstance(m, dict) else {} for m in record[self.each] or []]
             roles = [m.get(self.role) or "" for m in items]
-            return [(aliases.get(r, r), m.get(self.text) or "") for r, m in zip(roles, items)]
+            return [(aliases.get(r, r), self._said(m.get(self.text))) for r, m in zip(roles, items)]
         found: list[tuple[str, str]] = []
         for path, role in self.fields:
             if path not in record:
@@ -71,9 +82,15 @@ class Layout:
             found.append((role, value))
         return found
 
+    def _said(self, value) -> str:
+        if isinstance(value, list):
+            return "".join(p.get(self.part) or "" for p in value if isinstance(p, dict))
+        return value or ""
+
 
 LAYOUTS = (
     Layout("messages", each="messages", role="role", text="content"),
+    Layout("parts", each="messages", role="role", text="content", part="text"),
     Layout("conversations", each="conversations", role="from", text="value",
            aliases=(("human", "user"), ("gpt", "assistant"), ("bot", "assistant"))),
     Layout("instruction", fields=(("system", "system"), ("instruction", "user"), ("input", "user"), ("output", "assistant")),
@@ -84,18 +101,26 @@ LAYOUTS = (
 )
 
 
-def field_paths(value, prefix: str = "") -> set[str]:
-    """Nested field paths of a JSON value; all members of a list share one path."""
+def _kind(value) -> str:
+    return "text" if isinstance(value, str) else "list" if isinstance(value, list) else "object" if isinstance(value, dict) else "other"
+
+
+def field_paths(value, known: frozenset[str], prefix: str = "") -> set[str]:
+    """Known nested field paths of a JSON value, with a mark on values of another kind; all members of a list share one path.
+
+    Only known paths are followed, so the depth of a record does not matter.
+    """
     found: set[str] = set()
-    if isinstance(value, dict):
-        for key, member in value.items():
-            path = f"{prefix}.{key}" if prefix else key
-            found.add(path)
-            found |= field_paths(member, path)
-    elif isinstance(value, list):
-        for member in value:
-            found.add(f"{prefix}[]")
-            found |= field_paths(member, f"{prefix}[]")
+    members = [(f"{prefix}[]", m) for m in value] if isinstance(value, list) else [
+        (f"{prefix}.{key}" if prefix else key, m) for key, m in value.items()] if isinstance(value, dict) else []
+    for path, member in members:
+        if path not in known:
+            continue
+        found.add(path)
+        usual = "list" if f"{path}[]" in known and f"{path}!list" not in known else "object" if path.endswith("[]") else "text"
+        if member is not None and _kind(member) != usual:
+            found.add(f"{path}!{_kind(member)}")
+        found |= field_paths(member, known, path)
     return found
 
 
@@ -116,7 +141,7 @@ def mapping_table(layouts=LAYOUTS) -> tuple[dict[str, Layout], frozenset[str]]:
 
 
 def fingerprint(record, known: frozenset[str]) -> str:
-    return path_hash(field_paths(record) & known)
+    return path_hash(field_paths(record, known))
 
 
 def _control_patterns(strings) -> tuple[re.Pattern, re.Pattern]:
@@ -165,6 +190,23 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return [(_role_of(m[1]), unescape(m[2])) for m in _TURN.finditer(formatted)]
 
 
+_SURROGATE = re.compile(r"\\u[dD][89a-fA-F]")
+
+
+def read_record(text: str | None):
+    """A JSON text as a value; None if it is none."""
+    try:
+        value = json.loads(text or "")
+    except (ValueError, RecursionError):
+        return None
+    if not _SURROGATE.search(text):
+        return value
+    try:
+        return json.loads(json.dumps(value, ensure_ascii=False).encode("utf-16", "surrogatepass").decode("utf-16", "replace"))
+    except (ValueError, RecursionError):
+        return None
+
+
 def format_records(records: DataFrame, key: str, record: str, layouts=LAYOUTS) -> DataFrame:
     """Per record: key, fingerprint, layout, formatted text and the loss mask."""
     table, known = mapping_table(layouts)
@@ -174,10 +216,7 @@ def format_records(records: DataFrame, key: str, record: str, layouts=LAYOUTS) -
         for batch in batches:
             out: list[tuple] = []
             for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                try:
-                    value = json.loads(text or "")
-                except ValueError:
-                    value = None
+                value = read_record(text)
                 mark = fingerprint(value, known) if isinstance(value, dict) else None
                 layout = table.get(mark)
                 formatted, mask = render(layout.turns(value)) if layout else ("", [])

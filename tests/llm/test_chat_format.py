@@ -43,6 +43,29 @@ def test_layouts(spark):
     assert op.format_records(frame.limit(0), "k", "record").count() == 0
 
 
+def test_any_json_is_read(spark):
+    """Whatever kind a value has, the record is mapped or has no layout; no other record of its batch is touched."""
+    part = lambda *texts: [{"type": "text", "text": t} if t is not None else {"type": "image", "url": "u"} for t in texts]
+    said = lambda content: {"messages": [{"role": "user", "content": content}]}
+    mapped = [
+        (said(part("hi")), "parts", "hi"), (said(part("a", None, "b")), "parts", "ab"), (said([]), "parts", ""), (said([{"text": "t"}]), "parts", "t"),
+        (said(part(None)), "parts", ""), ({"messages": [{"role": "user", "content": "plain"}, {"role": "user", "content": part("x")}]}, "parts", "plain"),
+        (said(None), "messages", ""), ({"messages": None}, "messages", None), (said("\ud800x"), "messages", "\ufffdx"),
+    ]
+    odd = [5, "abc", [5], ["x"], {"a": 1}, True, 1.5, [[]], [{"role": "u", "content": {"x": 1}}], [{"role": "u", "content": 7}],
+           [{"role": ["u"], "content": "c"}], [{"role": "u", "content": ["x"]}], [{"role": "u", "content": [{"text": 1}]}]]
+    rows = [json.dumps(r) for r, _, _ in mapped]
+    rows += [json.dumps({"messages": v}) for v in odd] + [json.dumps({"prompt": v, "completion": "y"}) for v in (5, [], [{"role": "user"}], {}, False)]
+    rows += ["[" * 100_000, '{"messages":' * 5000, "1" * 9000, "null", '"x"', '{"prompt": "p", "completion": "c", "deep": ' + "[" * 500 + "]" * 500 + "}"]
+    frame = spark.createDataFrame(list(enumerate(rows)), "k int, record string")
+    found = {r.k: r for r in op.format_records(frame, "k", "record").collect()}
+    assert len(found) == len(rows)
+    for k, (_, layout, text) in enumerate(mapped):
+        assert found[k].layout == layout and [t for _, t in op.read_back(found[k].formatted)][:1] == ([] if text is None else [text])
+    assert all(found[k].layout is None and found[k].formatted == "" for k in range(len(mapped), len(rows) - 1))
+    assert found[len(rows) - 1].layout == "completion"
+
+
 def test_rows_to_records(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (2, 1, None, "b"), (2, 0, "user", "a"), (2, 0, "user", "a"), (None, 0, "system", "s"),
             (None, 1, "user", "u"), (None, 2, "assistant", "x" * 100_000), (3, None, "tool", "t")]
