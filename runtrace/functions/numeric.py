@@ -65,6 +65,23 @@ def mean(value: Column) -> Column:
     return F.when(_all_fit(value), cents(F.sum(_fixed(value)), F.count(value))).otherwise(large)
 
 
+def mean_parts(value: Column, name: str) -> list[Column]:
+    """What `mean` is made of, as columns that may be added up over disjoint sets of rows."""
+    return [
+        F.sum(_fixed(value)).alias(f"{name}__sum"),
+        F.count(value).alias(f"{name}__n"),
+        F.count(_fixed(value)).alias(f"{name}__fit"),
+        F.sum(value.cast("double")).alias(f"{name}__rough"),
+    ]
+
+
+def mean_of(name: str) -> Column:
+    """The mean from added-up parts."""
+    n = F.col(f"{name}__n")
+    large = bounded(F.round(F.col(f"{name}__rough") / n, 2), "decimal(38,2)", LARGEST)
+    return F.when(n == F.col(f"{name}__fit"), cents(F.col(f"{name}__sum"), n)).otherwise(large)
+
+
 def percentage(part: Column, whole: Column) -> Column:
     return cents(_wide(part) * F.lit(100), whole)
 

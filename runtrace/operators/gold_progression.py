@@ -10,19 +10,25 @@ from runtrace.functions.numeric import percentage
 _STEP = 10_000
 
 
+def progression_histogram(product_runs: DataFrame, *keys: str) -> DataFrame:
+    """Started runs by version and highest checkpoint (and more keys): counts that may be added up."""
+    highest = F.greatest(F.coalesce("highest_checkpoint_number", F.lit(0)), F.lit(0))
+    started = product_runs.where("is_started AND game_version IS NOT NULL")
+    return started.groupBy(*keys, "game_version", highest.alias("highest")).agg(F.count("*").alias("runs"))
+
+
 def run_progression(product_runs: DataFrame) -> DataFrame:
-    """Reach and drop-off for every checkpoint 1..max of each version.
+    """Reach and drop-off for every checkpoint 1..max of each version."""
+    return progression_of(progression_histogram(product_runs))
+
 
-    Runs are first counted by (version, highest checkpoint). That histogram is all the windows see: a running
+def progression_of(histogram: DataFrame) -> DataFrame:
+    """The same from the histogram of runs by (version, highest checkpoint).
+
+    That is all the windows see: a running
     total from the top gives the runs that reach each of its steps, and the numbers between two steps share the
     upper step's count, so no run is ever joined to a list of checkpoints.
     """
-    highest = F.greatest(F.coalesce("highest_checkpoint_number", F.lit(0)), F.lit(0))
-    histogram = (
-        product_runs.where("is_started AND game_version IS NOT NULL")
-        .groupBy("game_version", highest.alias("highest"))
-        .agg(F.count("*").alias("runs"))
-    )
     version = Window.partitionBy("game_version")
     from_top = version.orderBy(F.desc("highest")).rowsBetween(Window.unboundedPreceding, 0)
     steps = histogram.select(
