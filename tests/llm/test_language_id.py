@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import tracemalloc
 
@@ -41,6 +42,40 @@ def test_predictions(spark):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def _plainly(text, model):
+    """Language, cosine and rejection by a loop over the trigrams of one text."""
+    said = [(c + 32 if 65 <= c <= 90 else c) for c in text.encode()]
+    letters = [32, *[c if c >= 128 or 97 <= c <= 122 else 32 for c in said], 32]
+    counts: dict[int, int] = {}
+    for before, letter, after in zip(letters, letters[1:], letters[2:]):
+        if letter != 32:
+            key = ((before << 16 | letter << 8 | after) * 0x9E3779B1 % 2**32) >> 18
+            counts[key] = counts.get(key, 0) + 1
+    weights = {key: math.log1p(n) * float(model.idf[key]) for key, n in counts.items()}
+    norm = math.sqrt(sum(w * w for w in weights.values())) or 1.0
+    cosines = [sum(w * float(centre[key]) for key, w in weights.items()) / norm for centre in model.centroids]
+    best = max(range(len(cosines)), key=cosines.__getitem__)
+    floor = float(model.floors[min(int(math.log2(max(sum(counts.values()), 1))), len(model.floors) - 1)])
+    return model.languages[model.owner[best]], max(cosines[best], 0.0), floor
+
+
+def test_predictions_by_a_plain_loop(spark):
+    rows, docs = _docs(spark)
+    model = op.train(docs, F.lit(True))
+    texts = {i: t for i, t, _ in rows if t and i is not None and i < 906}
+    found = {r.doc_id: r for r in op.predict(docs, model).collect()}
+    checked = 0
+    for i, text in texts.items():
+        lang, score, floor = _plainly(text, model)
+        if not any(map(str.isalpha, text)):
+            continue
+        assert found[i].lang_pred == lang and abs(found[i].score - score) < 1e-4
+        if abs(score - floor) > 1e-4:
+            assert found[i].rejected == (score < floor)
+        checked += 1
+    assert checked > 180
+
+
 def test_only_rejected_rows_go(spark):
     rows, docs = _docs(spark)
     kept = op.without_rejected(docs, op.train(docs, F.lit(True)))
