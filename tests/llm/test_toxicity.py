@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from runtrace.llm import toxicity as op
+from runtrace.llm.textbytes import Slice
 
 
 def _docs(spark, n=600):
@@ -24,6 +27,27 @@ def _docs(spark, n=600):
     return rows, spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"toxic": F.lit("mine"), "score": F.lit(1)}), labels
 
 
+def _plainly(text, model):
+    """One minus the chance that no sentence is toxic, sentence by sentence and word by word."""
+    clean = 1.0
+    for sentence in re.split(r"[\n!.?]", text):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", sentence)
+        if words:
+            numbers = [n for word in words for n in op.features(Slice([word.encode()]))[2][0] if n >= 0]
+            clean *= 1 - 1 / (1 + math.exp(-(model.bias + sum(float(model.weights[n]) for n in numbers))))
+    return 1 - clean
+
+
+def test_scores_by_a_plain_loop(spark):
+    rows, docs, labels = _docs(spark, 240)
+    model = op.train(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"), F.lit(True))
+    assert model.constant is None
+    found = {r.doc_id: r.score for r in op.score(docs, model).collect()}
+    assert len(found) == len(rows)
+    for i, text in rows:
+        assert abs(found[i] - _plainly(text, model)) < 1e-6
+
+
 def test_held_out_documents(spark):
     rows, docs, labels = _docs(spark)
     learned = spark.createDataFrame([*labels, labels[0], (7, None), (None, 1), (5000, 1)], "doc_id bigint, toxic int")
