@@ -166,6 +166,7 @@ def train(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE,
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["at", "counts"])  # the order of a shuffle is not always the same
         counts = _dense(rows)
         centres = _centroids(weigh(counts, idf), k)
         return pd.DataFrame([{"lang": rows["lang"].iloc[0], "n": len(rows), "centres": centres.tobytes(),

@@ -6,6 +6,7 @@ import math
 import random
 import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -59,6 +60,12 @@ def _plainly(text, model):
     return model.languages[model.owner[best]], max(cosines[best], 0.0), floor
 
 
+def test_the_order_of_rows_changes_nothing(spark):
+    _, docs = _docs(spark)
+    one, two = (op.train(rows, F.lit(True)) for rows in (docs, docs.repartition(7, F.rand(3))))
+    assert one.languages == two.languages and np.array_equal(one.centroids, two.centroids) and np.array_equal(one.floors, two.floors)
+
+
 def test_predictions_by_a_plain_loop(spark):
     rows, docs = _docs(spark)
     model = op.train(docs, F.lit(True))
