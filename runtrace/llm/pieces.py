@@ -13,7 +13,8 @@ text differs from the best only in the N - 1 occurrences with the smallest gaps:
 each of N - 1 single changes. The backward A* search runs over the lattice in which all other units are single edges,
 with the forward Viterbi scores as exact heuristic: it never expands a path that is not among the N best.
 
-Among equal scores the best segmentation has the longest last piece of a unit; gaps that are equal are taken from the left.
+The ids of a text are those of the first path that the search finds, the alternatives those of the next ones. Paths of equal scores come
+in the order in which the search meets them, the same in every run; gaps that are equal are taken from the left.
 A null text has no pieces (null ids and scores); an empty text has the pieces of a single space. Repeated rows are encoded alike.
 """
 
@@ -321,8 +322,8 @@ class Encoded:
     scores: np.ndarray
     n_best: list[list[tuple[int, list]]]
 
-    def path_ids(self, path: list) -> list[int]:
-        return [i for x in path for i in (self.ids[x].tolist() if isinstance(x, slice) else (x,))]
+    def path_ids(self, path: list) -> np.ndarray:
+        return np.concatenate([self.ids[x] if isinstance(x, slice) else np.array([x], np.int32) for x in path])
 
 
 def encode_slice(texts: list[bytes], words: Vocabulary, n: int, units: Units | None = None) -> Encoded:
@@ -353,9 +354,9 @@ def encode_slice(texts: list[bytes], words: Vocabulary, n: int, units: Units | N
     sums = np.concatenate([[0], np.cumsum(units.best[unit])])
     result = Encoded(flat, bounds[first_unit], sums[first_unit[1:]] - sums[first_unit[:-1]], [])
     gaps = units.gaps[unit]
-    for a, b in zip(first_unit[:-1].tolist(), first_unit[1:].tolist()) if n > 1 else ():
+    for a, b in zip(first_unit[:-1].tolist(), first_unit[1:].tolist()):
         gap = gaps[a:b]
-        limit = np.partition(gap, n - 2)[n - 2] if len(gap) > n - 1 else -_NEVER
+        limit = np.partition(gap, n - 2)[n - 2] if len(gap) > n - 1 > 0 else -_NEVER
         near = np.concatenate([np.flatnonzero(gap < limit), np.flatnonzero(gap == limit)])[: n - 1]
         near = np.sort(near[gap[near] < -_NEVER]) + a
         spans, at = [], a
@@ -387,21 +388,32 @@ def _text_n_best(spans, n: int, sums: np.ndarray, bounds: np.ndarray) -> list[tu
 
 def decode(ids, words: Vocabulary) -> bytes:
     """The text of pieces; the space in front goes."""
-    pieces = words.tables().setdefault("spelt", _spelt(words))
-    return b"".join([pieces[i] for i in ids])[1:]
+    flat, begins = words.tables().get("spelt") or _spelt(words)
+    ids = np.asarray(ids, np.int64)
+    sizes = begins[ids + 1] - begins[ids]
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(begins[ids] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes()[1:]
 
 
-def _spelt(words: Vocabulary) -> list[bytes]:
+def _spelt(words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all pieces one after another, and where each begins."""
     spelt = list(words.pieces)
     for value, i in enumerate(words.byte_ids.tolist()):
         spelt[i] = bytes([value])
-    return spelt
+    made = np.frombuffer(b"".join(spelt), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in spelt])])
+    words.tables()["spelt"] = made
+    return made
 
 
 def encode(docs: DataFrame, words: Vocabulary, key: str = "doc_id", text: str = "text", n: int = 3, with_ids: bool = True) -> DataFrame:
-    """Per row: key, n_pieces, ids, ids_sha256 (little-endian int32), score, n_best scores, whether decoding gives the text."""
+    """Per row: key, n_pieces, ids, ids_sha256 (little-endian int32), score, n_best, round_trip.
+
+    `n_best` holds the n best segmentations with their scores, ids and digests, best first; the first is the one in `ids`.
+    `round_trip` says whether decoding each of them gives the text. Without `with_ids` ids are null, digests are not.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(words)
-    kinds = [pa.int64(), pa.list_(pa.int32()), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.bool_()]
+    best = pa.struct([("score", pa.int64()), ("n_pieces", pa.int64()), ("ids", pa.list_(pa.int32())), ("ids_sha256", pa.string())])
+    kinds = [pa.int64(), pa.list_(pa.int32()), pa.string(), pa.int64(), pa.list_(best), pa.bool_()]
     names = ["n_pieces", "ids", "ids_sha256", "score", "n_best", "round_trip"]
 
     def work(batches):
@@ -416,14 +428,18 @@ def encode(docs: DataFrame, words: Vocabulary, key: str = "doc_id", text: str =
                 if null[i]:
                     rows.append((0, None, None, None, None, None))
                     continue
-                ids = done.ids[done.places[i]:done.places[i + 1]]
-                scores = [s for s, _ in done.n_best[i]] if n > 1 else [int(done.scores[i])]
-                rows.append((len(ids), ids if with_ids else None, hashlib.sha256(ids.tobytes()).hexdigest(), int(done.scores[i]),
-                             scores, decode(ids.tolist(), words) == t))
+                found, same = [], True
+                for score, path in done.n_best[i]:
+                    ids = done.path_ids(path)
+                    same = same and decode(ids, words) == t
+                    found.append({"score": score, "n_pieces": len(ids), "ids": ids if with_ids else None,
+                                  "ids_sha256": hashlib.sha256(ids.tobytes()).hexdigest()})
+                rows.append((found[0]["n_pieces"], found[0]["ids"], found[0]["ids_sha256"], found[0]["score"], found, same))
             columns = list(zip(*rows)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=["key", *names])
 
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"key {kind}, n_pieces bigint, ids array<int>, ids_sha256 string, score bigint, n_best array<bigint>, round_trip boolean"
+    schema = (f"key {kind}, n_pieces bigint, ids array<int>, ids_sha256 string, score bigint, "
+              "n_best array<struct<score: bigint, n_pieces: bigint, ids: array<int>, ids_sha256: string>>, round_trip boolean")
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     return rows.mapInArrow(work, schema).withColumnRenamed("key", key)

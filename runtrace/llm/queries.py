@@ -89,8 +89,8 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pieces.encode(docs, pieces.load(), with_ids=False)
-    return found.select("doc_id", "n_pieces", "ids_sha256", "score",
-                        F.array_join(F.col("n_best").cast("array<string>"), ",").alias("n_best_scores"), "round_trip")
+    return found.select("doc_id", "n_pieces", "ids_sha256", "score", F.array_join(F.col("n_best.score").cast("array<string>"), ",").alias("n_best_scores"),
+                        F.array_join("n_best.ids_sha256", ",").alias("n_best_sha256"), "round_trip")
 
 
 def with_period(doc_id, words: list) -> list:

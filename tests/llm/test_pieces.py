@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
@@ -62,5 +63,14 @@ def test_rows(spark, words):
     assert pieces.encode(docs, words).count() == 6
     assert pieces.encode(docs.limit(0), words).count() == 0
     text = rows[(None, next(n for i, n in rows if i is None))]
-    assert pieces.decode(text.ids, words) == b"of it" and text.n_best[0] == text.score >= text.n_best[1]
-    assert np.all(np.diff(text.n_best) <= 0)
+    assert pieces.decode(text.ids, words) == b"of it" and np.all(np.diff([b.score for b in text.n_best]) <= 0)
+    for row in rows.values():
+        for best in row.n_best or []:
+            assert best.n_pieces == len(best.ids) and best.ids_sha256 == hashlib.sha256(np.array(best.ids, "<i4").tobytes()).hexdigest()
+            assert pieces.decode(best.ids, words).decode() == {1: None, 2: "", 4: "of it", 5: "y" * 50_000, None: "of it"}[row.doc_id]
+        if row.n_best:
+            assert len({b.ids_sha256 for b in row.n_best}) == len(row.n_best)
+            assert (row.score, row.ids, row.ids_sha256, row.n_pieces) == tuple(row.n_best[0][k] for k in ("score", "ids", "ids_sha256", "n_pieces"))
+    assert len(text.n_best) == 3
+    one = pieces.encode(docs.where("doc_id = 4"), words, n=1, with_ids=False).first()
+    assert one.ids is None and one.n_best[0].ids is None and one.ids_sha256 == text.ids_sha256 and len(one.n_best) == 1
