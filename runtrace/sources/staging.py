@@ -6,7 +6,7 @@ import re
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +56,17 @@ def stage(df: DataFrame, name: str, *partition_columns: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle(spark: SparkSession, work: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The stored result of some work; what the work staged for itself is removed."""
+    path = new_folder(spark, name)
+    if _blocks():
+        _blocks()[-1].append(path)
+    with released(spark):
+        found = work()
+        found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
