@@ -21,10 +21,14 @@ prefix, and sets that link share one in both prefixes.
    are compared by themselves. Pairs whose shared prefix shingles can't reach the overlap any
    more are dropped, the rest compared. So no link between components is lost.
 6. Components of the links, by alternating large and small stars over stored tables.
+7. Links of each document. All links of a class lie in its component, so the sets of a component are compared with each other, and
+   also pairs that steps 4 and 5 skip since they carry one label already are verified and counted. The classes of a component
+   are dealt into blocks of about `BLOCK_SHINGLES` shingles, and each two blocks are compared by themselves; only sums by class leave a task, never
+   the pairs. A component of two classes has one link. Links with copies count each copy.
 
 A comparison builds a prefix tree of the ordered sets that are compared with one set (at most `GROUP`, larger groups are salted),
 and walks it once: sets that begin alike share the counting, and a subtree is left as soon as the overlap so far and the shingles that
-remain, in the tree or in the set, can't reach what the smallest set below would need.
+remain, in the tree or in the set, can't reach what the smallest set below would need. In step 7 all sets of the other block walk one tree together.
 
 Ids may be null or repeated: equal sets are one class, a component's id is its smallest id that is not null.
 """
@@ -40,7 +44,7 @@ from pyspark.sql import functions as F
 
 from runtrace.llm.rows import FEW_KEYS, same_text, without
 from runtrace.llm.textbytes import UNSPACED, Slice, chain, mix, slices, windows
-from runtrace.sources.staging import stage
+from runtrace.sources.staging import settle, stage
 
 SHINGLE = 5
 FREQUENT = 1 << 20
@@ -51,6 +55,9 @@ COMPARED_AT_ONCE = 2000
 #: Classes of one list that are compared pair by pair in one task, and rows of such a task.
 BLOCK = 4096
 POSTINGS_AT_ONCE = 500_000
+#: Shingles of a block of sets that are compared with each other, and shingles of such a task.
+BLOCK_SHINGLES = 500_000
+DENSE_AT_ONCE = 2_000_000
 #: Star rounds end when one links less than a fifth of the classes that meet, or after so many.
 STAR_ROUNDS = 6
 CENTRES = 2
@@ -286,6 +293,66 @@ class PrefixTree:
         return found
 
 
+    def linked_with(self, sets: list[np.ndarray], at_once: int = 128) -> Iterator[tuple[int, np.ndarray]]:
+        """Members with the places of the sets they link with; all sets walk the tree together."""
+        sizes = np.array([len(s) for s in sets], np.int64)
+        tokens, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(tokens, kind="stable")
+        owners = owners[order]
+        known, firsts = np.unique(tokens[order], return_index=True)
+        ends = np.append(firsts[1:], len(tokens))
+        # Overlaps of a subtree are computed when its turn comes, so only those of its ancestors are held.
+        stack = [([(np.zeros(0, np.uint64), self, 1, 1 << 60)], np.zeros(len(sets), np.int64), 0, np.ones(len(sets), bool))]
+        while stack:
+            edges, overlap, depth, alive = stack[-1]
+            if not edges:
+                stack.pop()
+                continue
+            part, below, smallest, largest = edges.pop()
+            least, here, at = needed(sizes, smallest), overlap, 0
+            while at < len(part) and alive.any():
+                some = part[at:at + at_once]
+                place = np.minimum(np.searchsorted(known, some), len(known) - 1)
+                place = place[known[place] == some]
+                counts = ends[place] - firsts[place]
+                holders = np.repeat(firsts[place] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+                here = here + np.bincount(owners[holders], minlength=len(sets))
+                at += len(some)
+                alive = alive & (here + np.minimum(sizes - here, largest - depth - at) >= least)
+            if not alive.any():
+                continue
+            for member, n in below.ends:
+                linked = np.flatnonzero(alive & (here >= needed(sizes, n)))
+                if len(linked):
+                    yield member, linked
+            stack.append(([tuple(e) for e in below.edges.values()], here, depth + len(part), alive))
+
+
+def _link_sums(table: pa.Table) -> pa.Table:
+    """(cls, links): for the sets of pairs of blocks (label, low, high), the rows of the classes that each links with there."""
+    label, low, high, block, cls, rows = (table.column(c).to_numpy() for c in ("label", "low", "high", "block", "cls", "rows"))
+    tokens = table.column("tokens").to_pylist()
+    order = np.lexsort((high, low, label))
+    new = (label[order][1:] != label[order][:-1]) | (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])
+    links = np.zeros(len(order), np.int64)
+    for group in np.split(order, np.flatnonzero(new) + 1) if len(order) else ():
+        first = low[group[0]]
+        inside = first == high[group[0]]
+        left = group[block[group] == first]
+        tree = PrefixTree()
+        for r in (left if inside else group[block[group] != first]).tolist():
+            tree.add(np.frombuffer(tokens[r], np.uint64), r)
+        if not (len(left) and (tree.edges or tree.ends)):
+            continue
+        for member, linked in tree.linked_with([np.frombuffer(tokens[r], np.uint64) for r in left.tolist()]):
+            links[left[linked]] += rows[member]
+            if not inside:
+                links[member] += rows[left[linked]].sum()
+        if inside:
+            links[left] -= rows[left]  # each set meets itself once
+    return pa.table([pa.array(cls), pa.array(links)], names=["cls", "links"])
+
+
 def _compare(table: pa.Table) -> pa.Table:
     """Links between centres and their members, one tree for each centre."""
     groups: dict[tuple, list] = {}
@@ -305,14 +372,8 @@ def _compare(table: pa.Table) -> pa.Table:
     return pa.table([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], names=["a", "b"])
 
 
-def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order) -> DataFrame:
-    """Those of the pairs (a, b) of classes that link. Texts of the classes are read again."""
-    spark = docs.sparkSession
-    pairs = stage(pairs.select("a", "b"), "jaccard-pairs")
-    n = pairs.count()
-    if not n:
-        return spark.createDataFrame([], "a bigint, b bigint")
-    ids = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+def _whole_sets(ids: DataFrame, docs: DataFrame, classes: DataFrame, order) -> DataFrame:
+    """(cls, tokens): the whole sets of different classes (cls). Texts are read again."""
     wanted = stage(classes.join(ids, "cls").select("cls", "member.*"), "jaccard-wanted")
     wanted = wanted.select("cls", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"))
     few = _few(wanted)
@@ -321,6 +382,40 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order) -> Data
     sets = stage(_set_rows(texts, order, True, ["cls"]).select("cls", "tokens"), "jaccard-sets")
     if sets.count() > wanted.count():  # rows with equal ids and texts
         sets = stage(sets.dropDuplicates(["cls"]), "jaccard-sets")
+    return sets
+
+
+def _link_counts(docs: DataFrame, classes: DataFrame, labels: DataFrame, order) -> DataFrame:
+    """(cls, links): how many rows of other classes those of a class link with, for the classes in labels."""
+    members = stage(classes.select("cls", "n", "rows").join(labels, "cls"), "jaccard-members")
+    sizes = members.groupBy("label").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"), F.sum("rows").alias("all_rows"))
+    members = members.join(sizes, "label")
+    two = members.where("classes = 2").select("cls", (F.col("all_rows") - F.col("rows")).alias("links"))
+    dense = members.where("classes > 2").withColumn("blocks", F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int"))
+    dense = dense.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "cls"), F.col("blocks")).cast("int"))
+    dense = stage(dense.select("cls", "n", "rows", "label", "block", "blocks"), "jaccard-dense")
+    work = dense.agg(F.sum(F.col("n").cast("double") * F.col("blocks"))).first()[0]
+    if not work:
+        return two
+    sets = _whole_sets(dense.select("cls"), docs, classes, order)
+    pairs = dense.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = pairs.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    tasks = F.lit(max(1, int(-(-work // DENSE_AT_ONCE))))
+    pairs = pairs.withColumn("bucket", F.pmod(F.xxhash64("label", "low", "high"), tasks).cast("int"))
+    met = sets.join(pairs.select("bucket", "label", "low", "high", "block", "cls", "rows"), "cls")
+    sums = met.groupBy("bucket").applyInArrow(_link_sums, "cls bigint, links bigint")
+    return two.union(sums.groupBy("cls").agg(F.sum("links").alias("links")))
+
+
+def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order) -> DataFrame:
+    """Those of the pairs (a, b) of classes that link. Texts of the classes are read again."""
+    spark = docs.sparkSession
+    pairs = stage(pairs.select("a", "b"), "jaccard-pairs")
+    n = pairs.count()
+    if not n:
+        return spark.createDataFrame([], "a bigint, b bigint")
+    ids = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    sets = _whole_sets(ids, docs, classes, order)
 
     # A centre with more than GROUP members is compared in several groups.
     sizes = pairs.groupBy("a").agg(F.count("*").alias("members"))
@@ -361,19 +456,22 @@ def components(links: DataFrame) -> DataFrame:
     return labels.union(edges.select(F.col("v").alias("cls"), F.col("v").alias("label")).distinct())
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """Per row of docs (doc_id, text): doc_id, text_hash, n_shingles, component (a number), component_id (its smallest id)."""
+def join(docs: DataFrame, count_links: bool = True) -> DataFrame:
+    """Per row of docs (doc_id, text): doc_id, text_hash, n_shingles, component (a number), component_id (its smallest id), n_links.
+
+    `n_links` counts the other rows that a row links with, its copies included. Without `count_links` it is left out.
+    """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     order = spark.sparkContext.broadcast(frequent_shingles(docs))
     rows = docs.withColumn("text_hash", F.xxhash64("text"))
     prefixes = stage(_set_rows(rows, order, False, ["doc_id", "text_hash"]), "jaccard-prefixes")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("least")
-    sets = prefixes.where("n > 0").groupBy("signature").agg(least).withColumn("cls", F.monotonically_increasing_id())
-    sets = stage(sets.select("cls", F.col("signature").alias("s"), F.struct("least.doc_id", "least.text_hash").alias("member")), "jaccard-classes")
+    sets = prefixes.where("n > 0").groupBy("signature").agg(least, F.count("*").alias("rows")).withColumn("cls", F.monotonically_increasing_id())
+    sets = stage(sets.select("cls", "rows", F.col("signature").alias("s"), F.struct("least.doc_id", "least.text_hash").alias("member")), "jaccard-classes")
     few = _few(sets)
     one = (prefixes["signature"] == few["s"]) & prefixes["doc_id"].eqNullSafe(few["member.doc_id"]) & (prefixes["text_hash"] == few["member.text_hash"])
-    classes = stage(prefixes.join(few, one).select("cls", "signature", "member", "n", "tokens"), "jaccard-classes")
+    classes = stage(prefixes.join(few, one).select("cls", "signature", "member", "n", "rows", "tokens"), "jaccard-classes")
     if classes.count() > sets.count():  # rows with equal ids and texts
         classes = stage(classes.dropDuplicates(["cls"]), "jaccard-classes")
 
@@ -385,12 +483,7 @@ def join(docs: DataFrame) -> DataFrame:
     links = None
     labels = meeting.select("cls", F.col("cls").alias("label"), "rank")
     for _ in range(STAR_ROUNDS):
-        stars = stage(_stars(shared.join(_few(labels), "cls")), "jaccard-stars")
-        # A class has at most as many centres as prefix shingles.
-        centres = _sized(stars, classes).groupBy("b").agg(F.collect_list(F.struct("shared", "a")).alias("all"))
-        best = F.slice(F.sort_array("all", asc=False), 1, CENTRES)
-        likely = _fitting(centres.select("b", F.explode(best).alias("best")).select("best.a", "b"), classes)
-        found = stage(_links(likely, docs, classes, order), "jaccard-links")
+        found = settle(spark, lambda known=labels: _star_links(shared.join(_few(known), "cls"), docs, classes, order), "jaccard-links")
         links = found if links is None else links.union(found)
         # The classes with most links are the next centres.
         linked = links.select(F.col("a").alias("cls")).union(links.select("b")).groupBy("cls").agg((-F.count("*")).alias("rank"))
@@ -399,22 +492,46 @@ def join(docs: DataFrame) -> DataFrame:
         labels = stage(labels.select("cls", F.coalesce("label", "cls").alias("label"), F.coalesce("rank", F.lit(0)).alias("rank")), "jaccard-ranks")
         if 5 * found.count() < meeting.count():
             break
-    crossings = _mixed(shared.join(_few(labels), "cls")).groupBy("bucket").applyInArrow(_crossings, "a bigint, b bigint, shared bigint")
-    crossings = stage(crossings.select("a", "b").distinct(), "jaccard-crossings")
-    more = _links(_fitting(crossings, classes), docs, classes, order)
-    labels = stage(components(stage(links.union(more), "jaccard-links")), "jaccard-labels")
-
-    named = classes.select("cls", "signature", "member.doc_id").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    more = settle(spark, lambda: _last_links(shared.join(_few(labels), "cls"), docs, classes, order), "jaccard-links")
+    every = links.union(more)
+    joined = settle(spark, lambda: components(every), "jaccard-labels")
+
+    named = classes.select("cls", "signature", "member.doc_id", "rows").join(joined, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    if count_links:
+        counts = settle(spark, lambda: _link_counts(docs, classes, joined, order), "jaccard-link-counts")
+        named = named.join(counts, "cls", "left")
+    else:
+        named = named.withColumn("links", F.lit(0))
     ids = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    by_set = named.join(ids, "label").select("signature", F.col("label").alias("component"), "component_id")
+    by_set = named.join(ids, "label").select("signature", F.col("label").alias("component"), "component_id", "links", "rows")
     out = prefixes.select("doc_id", "text_hash", "n", "signature").join(by_set, "signature", "left")
+    n_links = F.coalesce(F.coalesce("links", F.lit(0)) + F.col("rows") - 1, F.lit(0)).cast("bigint").alias("n_links")
     return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component",
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                      *[n_links] * count_links)
+
+
+def _star_links(rows: DataFrame, docs: DataFrame, classes: DataFrame, order) -> DataFrame:
+    """Links of classes with the centres they meet most."""
+    stars = stage(_stars(rows), "jaccard-stars")
+    # A class has at most as many centres as prefix shingles.
+    centres = _sized(stars, classes).groupBy("b").agg(F.collect_list(F.struct("shared", "a")).alias("all"))
+    best = F.slice(F.sort_array("all", asc=False), 1, CENTRES)
+    likely = _fitting(centres.select("b", F.explode(best).alias("best")).select("best.a", "b"), classes)
+    return _links(likely, docs, classes, order)
+
+
+def _last_links(rows: DataFrame, docs: DataFrame, classes: DataFrame, order) -> DataFrame:
+    """Links between components that are left."""
+    crossings = _mixed(rows).groupBy("bucket").applyInArrow(_crossings, "a bigint, b bigint, shared bigint")
+    crossings = stage(crossings.select("a", "b").distinct(), "jaccard-crossings")
+    return _links(_fitting(crossings, classes), docs, classes, order)
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """One document of each component, that of the smallest id; documents with empty sets stay."""
-    found = stage(join(docs).where("component IS NOT NULL").select("component", "doc_id", "text_hash"), "jaccard-components")
+    found = join(docs, count_links=False).where("component IS NOT NULL").select("component", "doc_id", "text_hash")
+    found = stage(found, "jaccard-components")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
     first = found.groupBy("component").agg(first, F.count("*").alias("n")).where("n > 1").select("component", "first", "n")
     one = (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))) & (F.col("text_hash") == F.col("first.text_hash"))

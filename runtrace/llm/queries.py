@@ -76,7 +76,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.join(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id")
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

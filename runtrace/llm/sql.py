@@ -80,8 +80,9 @@ links AS MATERIALIZED (
 ), reach AS (
   SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
 )
-SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id, coalesce(n_links, 0)::BIGINT AS n_links
 FROM (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY 1) LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY 1) USING (doc_id)
 """
 
 _CRC_TABLE = "(SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, b: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t)"

@@ -19,7 +19,7 @@ def _set(text):
 
 def _expected(docs):
     sets = [_set(t) for _, t in docs]
-    label = list(range(len(docs)))
+    label, links = list(range(len(docs))), [0] * len(docs)
 
     def root(i):
         while label[i] != i:
@@ -31,11 +31,13 @@ def _expected(docs):
             both = len(x & sets[j])
             if x and 100 * both >= 80 * (len(x) + len(sets[j]) - both):
                 label[root(i)] = root(j)
+                links[i] += 1
+                links[j] += 1
     least = {}
     for i, (doc, _) in enumerate(docs):
         if doc is not None:
             least[root(i)] = min(doc, least.get(root(i), doc))
-    return [(doc, len(s), least.get(root(i)) if s else doc) for i, ((doc, _), s) in enumerate(zip(docs, sets))]
+    return [(doc, len(s), least.get(root(i)) if s else doc, links[i]) for i, ((doc, _), s) in enumerate(zip(docs, sets))]
 
 
 def _corpus(seed):
@@ -63,12 +65,14 @@ def _corpus(seed):
 def test_components(spark, monkeypatch, seed, frequent, rounds):
     monkeypatch.setattr(op, "STAR_ROUNDS", max(rounds, 1))
     monkeypatch.setattr(op, "GROUP", 2)
+    monkeypatch.setattr(op, "BLOCK_SHINGLES", [500_000, 100, 300, 1][seed - 1])
+    monkeypatch.setattr(op, "DENSE_AT_ONCE", 2_000)
     find = op.frequent_shingles
     monkeypatch.setattr(op, "frequent_shingles", lambda docs: find(docs, frequent))
     docs = _corpus(seed)
     frame = spark.createDataFrame(docs, "doc_id bigint, text string").withColumns({"n": F.lit(0), "cls": F.lit(1), "tokens": F.lit("t")})
-    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] is None, r[2] or 0)
-    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in op.join(frame).collect()), key=key)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] is None, r[2] or 0, r[3])
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in op.join(frame).collect()), key=key)
     assert got == sorted(_expected(docs), key=key)
 
 
@@ -81,7 +85,7 @@ def test_one_of_each_group_stays(spark):
     sets = [_set(t) for _, t in rows]
     links = [(i, j) for i, x in enumerate(sets) for j in range(i) if x and 100 * len(x & sets[j]) >= 80 * len(x | sets[j])]
     assert not links
-    assert {i for i, n, c in _expected(docs) if n and i is not None and i == c} == {i for i, t in rows if _set(t) and i is not None}
+    assert {i for i, n, c, _ in _expected(docs) if n and i is not None and i == c} == {i for i, t in rows if _set(t) and i is not None}
     assert sum(not s for s in sets) == sum(not _set(t) for _, t in docs)
 
 
@@ -103,3 +107,6 @@ def test_prefix_tree():
             if len(x):
                 want = [i for i, s in enumerate(sets) if len(s) and 100 * len(np.intersect1d(x, s)) >= 80 * len(np.union1d(x, s))]
                 assert sorted(tree.linked(x, 4)) == want
+        some = [s for s in sets if len(s)]
+        together = sorted((member, int(q)) for member, linked in tree.linked_with(some, 4) for q in linked)
+        assert together == sorted((member, q) for q, x in enumerate(some) for member in tree.linked(x, 4))
