@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -24,9 +25,18 @@ DAY_MS = 24 * 3600 * 1000
 # --- repeated deliveries ----------------------------------------------------------------------------------------
 
 KEPT, REPEAT, LATE = "kept", "repeat", "late"
-_INPUT = "run_id string, event_id string, body string, event_json string, received_ms bigint, ingestion_channel string"
+_INPUT = ("run_id string, event_id string, body binary, event_json string, received_ms bigint, ingestion_channel string, "
+          "bucket bigint")
 _ROUTED = "run_id string, event_id string, body string, event_json string, received_at timestamp, ingestion_channel string, route string"
 
+#: Groups that keys are dealt to. One group of a stream's state holds many keys, so a batch calls Python a thousand times
+#: at most, not once for each key. A checkpoint belongs to the number it was made with.
+BUCKETS = 1024
+
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.when(key.isNotNull(), F.pmod(F.xxhash64(key), F.lit(buckets)))
+
 
 def _ticked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows, and for each batch of them one row that only has a time."""
@@ -39,35 +49,41 @@ def _ticked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _router(lateness_ms: int):
-    """The function that keeps a body's state: when it may be forgotten."""
+    """The function that keeps the state of a bucket: of each body, when it may be forgotten."""
 
     def route(key: tuple[Any, ...], parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        if key[0] is None:
+        if pd.isna(key[0]):
             return
         watermark = max(state.getCurrentWatermarkMs(), 0)
-        known, last = state.exists, state.get[0] if state.exists else 0
-        for rows in parts:
-            moments = rows["received_ms"]
+        until: dict[bytes, int] = {}
+        if state.exists:
+            bodies, times = state.get
+            until = {bytes(bodies[32 * i:32 * i + 32]): t for i, t in enumerate(np.frombuffer(times, "int64").tolist())}
+        if not state.hasTimedOut:
+            rows = pd.concat(parts, ignore_index=True)
+            moments, bodies = rows["received_ms"], rows["body"].map(bytes)
             late = moments < watermark
+            new = ~late & ~bodies.isin(until.keys())
             routes = pd.Series(REPEAT, rows.index).mask(late, LATE)
-            if not late.all():
-                if not known:
-                    routes.loc[moments[~late].idxmin()] = KEPT
-                known, last = True, max(last, int(moments[~late].max()))
-            moved = rows.drop(columns=["received_ms", "clock"], errors="ignore")
-            moved.insert(4, "received_at", pd.to_datetime(moments, unit="ms", utc=True))
-            yield moved.assign(route=routes)
-        if known:
-            state.update((last,))
-            state.setTimeoutTimestamp(max(last + lateness_ms, watermark + 1))
+            routes.loc[moments[new].groupby(bodies[new]).idxmin()] = KEPT
+            for body in set(bodies[late]) & until.keys():
+                until[body] = max(until[body], watermark + 1)
+            for body, last in moments[~late].groupby(bodies[~late]).max().items():
+                until[body] = max(until.get(body, 0), int(last) + lateness_ms, watermark + 1)
+            moved = rows[["run_id", "event_id"]].assign(body=bodies.map(bytes.hex), event_json=rows["event_json"])
+            moved["received_at"] = pd.to_datetime(moments, unit="ms", utc=True)
+            yield moved.assign(ingestion_channel=rows["ingestion_channel"], route=routes)
+        until = {body: time for body, time in until.items() if time >= watermark}
+        if until:
+            state.update((b"".join(until), np.array(list(until.values()), "int64").tobytes()))
+            state.setTimeoutTimestamp(min(until.values()))
+        elif state.exists:
+            state.remove()
 
     return route
 
 
-def deduplicated(deliveries: DataFrame, lateness_ms: int = DAY_MS) -> DataFrame:
+def deduplicated(deliveries: DataFrame, lateness_ms: int = DAY_MS, buckets: int = BUCKETS) -> DataFrame:
     """Streamed deliveries with `route`: the first of equal ones is kept, the others repeat it. Times are cut to milliseconds.
 
     The state of a body is forgotten once the watermark is `lateness_ms` past its last delivery; so the state is bounded by what
@@ -76,12 +92,17 @@ def deduplicated(deliveries: DataFrame, lateness_ms: int = DAY_MS) -> DataFrame:
 
     Spark drops rows behind the watermark before a state with an event-time timer. Here the watermark is that of rows
     of their own, one for each Arrow batch, and deliveries have no time in its column; so all of them are handed on.
+
+    Bodies are told apart by a SHA-256 and dealt to `buckets` groups by it. A task holds one bucket's share of a batch at a time,
+    and 40 bytes for each body of the bucket that is not forgotten.
     """
-    body = F.sha2(F.concat_ws("\n", "event_json", "body_mark"), 256)
-    rows = deliveries.select("run_id", "event_id", body.alias("body"), "event_json", F.unix_millis("received_at").alias("received_ms"), "ingestion_channel")
+    known = F.concat_ws("\n", F.length("run_id"), F.length("event_id"), "run_id", "event_id", "event_json", "body_mark")
+    rows = deliveries.select("run_id", "event_id", F.unhex(F.sha2(known, 256)).alias("body"), "event_json",
+                             F.unix_millis("received_at").alias("received_ms"), "ingestion_channel")
+    rows = rows.withColumn("bucket", _bucket(F.col("body"), buckets))
     ticked = rows.mapInArrow(_ticked, f"{_INPUT}, clock_ms bigint").withColumn("clock", F.timestamp_millis("clock_ms")).drop("clock_ms")
-    return ticked.withWatermark("clock", f"{lateness_ms} milliseconds").groupBy("run_id", "event_id", "body").applyInPandasWithState(
-        _router(lateness_ms), _ROUTED, "last bigint", "append", GroupStateTimeout.EventTimeTimeout)
+    return ticked.withWatermark("clock", f"{lateness_ms} milliseconds").groupBy("bucket").applyInPandasWithState(
+        _router(lateness_ms), _ROUTED, "bodies binary, until binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def start_dedup(spark: SparkSession, bronze_path: str, path: str, checkpoint: str, lateness_ms: int = DAY_MS,
