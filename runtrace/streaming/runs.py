@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from typing import Any
 
@@ -132,41 +133,47 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _closer(open_ms: int, keep_ms: int):
-    """The function that keeps a run's state: first receipt, and whether it was closed."""
+    """The function that keeps the state of a bucket: of each run the first receipt, whether it was closed, and its timer."""
 
     def close(key: tuple[Any, ...], parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            opened, closed = state.get
-            if closed:
-                state.remove()
-                return
-            state.update((opened, True))
-            state.setTimeoutTimestamp(opened + keep_ms)
-            yield pd.DataFrame({"run_id": [key[0]], "cause": ["time"]})
-            return
-        opened, closed = state.get if state.exists else (None, False)
-        for rows in parts:
-            first = int(rows["received_ms"].min())
-            opened = first if opened is None else min(opened, first)
         watermark = max(state.getCurrentWatermarkMs(), 0)
-        over = opened + open_ms <= watermark
-        state.update((opened, closed or over))
-        state.setTimeoutTimestamp(max(opened + (keep_ms if closed or over else open_ms), watermark + 1))
-        if closed or over:
-            yield pd.DataFrame({"run_id": [key[0]], "cause": ["late"]})
+        known = {run: (opened, closed, timer) for run, opened, closed, timer in json.loads(state.get[0])} if state.exists else {}
+        found: list[tuple[str, str]] = []
+        if not state.hasTimedOut:
+            for run, first in pd.concat(parts).groupby("run_id")["received_ms"].min().items():
+                opened, closed, _ = known.get(run, (int(first), False, 0))
+                opened = min(opened, int(first))
+                closed = closed or opened + open_ms <= watermark
+                known[run] = opened, closed, max(opened + (keep_ms if closed else open_ms), watermark + 1)
+                if closed:
+                    found.append((run, "late"))
+        for run, (opened, closed, timer) in list(known.items()):
+            if timer < watermark and closed:
+                del known[run]
+            elif timer < watermark:
+                known[run] = opened, True, max(opened + keep_ms, watermark)
+                found.append((run, "time"))
+        if known:
+            state.update((json.dumps([(run, *values) for run, values in known.items()]),))
+            state.setTimeoutTimestamp(min(timer for _, _, timer in known.values()))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(found, columns=["run_id", "cause"])
 
     return close
 
 
-def closing_runs(bodies: DataFrame, delay: str, open_ms: int = DAY_MS, keep_days: int = contract.RETENTION_DAYS) -> DataFrame:
+def closing_runs(bodies: DataFrame, delay: str, open_ms: int = DAY_MS, keep_days: int = contract.RETENTION_DAYS,
+                 buckets: int = BUCKETS) -> DataFrame:
     """(run_id, cause) of streamed bodies: runs whose time is over, and closed runs that something more arrived for.
 
     Each run has one event-time timer: first at its first receipt plus `open_ms`, then at the end of retention, when it is forgotten.
+    Runs are dealt to `buckets` groups; the timer of a group is the earliest of its runs'.
     """
     ends = bodies.select("run_id", F.unix_millis("received_at").alias("received_ms")).mapInArrow(_ends, "run_id string, received_ms bigint")
-    timed = ends.withColumn("clock", F.timestamp_millis("received_ms")).withWatermark("clock", delay)
-    return timed.groupBy("run_id").applyInPandasWithState(
-        _closer(open_ms, keep_days * DAY_MS), _CLOSED, "opened bigint, closed boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    timed = ends.withColumn("clock", F.timestamp_millis("received_ms")).withColumn("bucket", _bucket(F.col("run_id"), buckets))
+    return timed.withWatermark("clock", delay).groupBy("bucket").applyInPandasWithState(
+        _closer(open_ms, keep_days * DAY_MS), _CLOSED, "runs string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def store_closed(runs: DataFrame, number: int, base: str) -> None:

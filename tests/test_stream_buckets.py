@@ -41,3 +41,27 @@ def test_many_bodies_are_few_groups(spark, full_run, tmp_path):
     first = rows.where("route = 'kept'").groupBy(F.hour("received_at").alias("h")).count().collect()
     assert {r["h"]: r["count"] for r in first} == {9: 50, 10: 150}
     assert rows.where("route = 'kept'").select("run_id", "event_id").distinct().count() == 200
+
+
+def test_many_runs_are_few_groups(spark, full_run, tmp_path):
+    """Runs of one bucket open on different days: each is closed by its own time, and once more by what is late."""
+    source, checkpoint = str(tmp_path / "bodies"), str(tmp_path / "cp")
+    causes = []
+
+    def note(batch, number):
+        causes.extend((r["run_id"], r["cause"]) for r in batch.collect())
+
+    rounds = [[(f"a{i}", "2026-03-01 10:00:00") for i in range(30)] + [(f"b{i}", "2026-03-02 09:00:00") for i in range(30)],
+              [("c", "2026-03-02 13:00:00")], [("a1", "2026-03-02 12:30:00"), ("c", "2026-03-03 12:00:00")]]
+    groups = 0
+    for rows in rounds:
+        frame = spark.createDataFrame(rows, "run_id string, t string").select("run_id", F.col("t").cast("timestamp").alias("received_at"))
+        frame.coalesce(1).write.mode("append").parquet(source)
+        bodies = spark.readStream.schema("run_id string, received_at timestamp").parquet(source)
+        query = runs.closing_runs(bodies, "2 hours", buckets=2).writeStream.foreachBatch(note).option(
+            "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination(120)
+        groups = max(groups, _groups(query))
+    assert 0 < groups <= 2
+    assert sorted(causes) == sorted([(f"a{i}", "time") for i in range(30)] + [("a1", "late")]
+                                    + [(f"b{i}", "time") for i in range(30)])
