@@ -20,6 +20,12 @@ def sample_status(*observed: Column) -> Column:
     return F.when(short, "INSUFFICIENT_SAMPLE").otherwise("DESCRIPTIVE_ONLY")
 
 
+def side_by_run(rows: DataFrame) -> DataFrame:
+    """One side of a join whose rows grow with the runs. It is never broadcast: the packed bytes by which Spark would decide are
+    a small part of the rows that would have to pass through the driver."""
+    return rows.hint("merge")
+
+
 def selections(silver: DataFrame) -> DataFrame:
     """Picks of product runs, one typed row each. Several Gold tables read them, so store them first."""
     columns = ["run_id", "game_version", "event_sequence", "run_elapsed_seconds"]
@@ -82,7 +88,7 @@ def upgrade_post_selection(picks: DataFrame, product_runs: DataFrame) -> DataFra
         ended & F.col("run_duration_seconds").isNotNull(),
         F.greatest(exact(F.col("run_duration_seconds")) - exact(F.col("first_selected_at_seconds")), exact(F.lit(0))),
     )
-    judged = first_picks(picks).join(outcomes, "run_id").withColumn("remaining", remaining)
+    judged = first_picks(picks).join(side_by_run(outcomes), "run_id").withColumn("remaining", remaining)
     died_soon = ended & (F.col("end_reason") == "player_death") & (F.col("remaining") <= 60)
     observed = F.count_if(ended)
     return judged.groupBy(
@@ -142,8 +148,8 @@ def option_outcome_comparison(
     picked = picks.select(*key).distinct().withColumn("picked", F.lit(True))
     outcomes = product_runs.select("run_id", "is_ended", "run_duration_seconds", "total_kills")
     observations = (
-        offered.join(outcomes, "run_id")
-        .join(picked, key, "left")
+        offered.join(side_by_run(outcomes), "run_id")
+        .join(side_by_run(picked), key, "left")
         .withColumn("picked", F.coalesce("picked", F.lit(False)))
     )
     arms = {"selected": F.col("picked"), "not_selected": ~F.col("picked")}
@@ -198,7 +204,7 @@ def upgrade_funnel(offers: DataFrame, picks: DataFrame) -> DataFrame:
     key = ["run_id", "choice_id", "item_id"]
     offered = offers.groupBy(*key, "choice_source", "rarity").agg(F.count("*").alias("offers"))
     picked = picks.groupBy(*key).agg(F.count("*").alias("picks"))
-    matched = offered.join(picked, key, "left")
+    matched = offered.join(side_by_run(picked), key, "left")
     exposure_count = F.sum(F.col("offers") * F.coalesce("picks", F.lit(1)))
     selection_count = F.sum(F.col("offers") * F.coalesce("picks", F.lit(0)))
     return matched.groupBy("choice_source", "item_id", "rarity").agg(
