@@ -27,30 +27,32 @@ def rekeyed(events: DataFrame, copies: int = 1, salt: str = "scenario") -> DataF
     """`copies` new runs of every run in `events` (a VARIANT column `event`).
 
     Within a copy, equal event ids stay equal (so retries stay retries), choice ids keep linking shown and
-    selected, and every event is marked as a controlled scenario. No shuffle is needed.
+    selected, and every event is marked as a controlled scenario. No shuffle is needed. What all copies of an event share is written
+    before they are made.
     """
     old = F.col("event")
-    many = events.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
-    run, choice = field(old, "run_id"), field(old, "choice_id")
-    copy = F.concat_ws("|", F.lit(salt), F.col("copy").cast("string"))
-    replaced = {
-        "run_id": derived_uuid("run", copy, run),
-        "event_id": derived_uuid("event", copy, run, field(old, "event_id")),
-        "source_type": F.lit("CONTROLLED_SCENARIO"),
-        "choice_id": derived_uuid("choice", copy, run, choice),
-    }
+    replaced = ("run_id", "event_id", "source_type", "choice_id")
     entries = F.from_json(F.to_json(old), "map<string,variant>")
-    kept = F.to_json(F.map_filter(entries, lambda key, _: ~key.isin(*replaced)))
-    linked = F.schema_of_variant(field(old, "choice_id", "variant")) == "STRING"
+    shared = events.select(
+        field(old, "run_id").alias("run"),
+        field(old, "event_id").alias("own"),
+        field(old, "choice_id").alias("choice"),
+        (F.schema_of_variant(field(old, "choice_id", "variant")) == "STRING").alias("linked"),
+        F.to_json(F.map_filter(entries, lambda key, _: ~key.isin(*replaced))).alias("kept"),
+    )
+    many = shared.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    copy = F.concat_ws("|", F.lit(salt), F.col("copy").cast("string"))
     identity = F.to_json(
         F.struct(
-            *[new.alias(name) for name, new in replaced.items() if name != "choice_id"],
-            F.when(linked, replaced["choice_id"]).alias("choice_id"),
+            derived_uuid("run", copy, F.col("run")).alias("run_id"),
+            derived_uuid("event", copy, F.col("run"), F.col("own")).alias("event_id"),
+            F.lit("CONTROLLED_SCENARIO").alias("source_type"),
+            F.when(F.col("linked"), derived_uuid("choice", copy, F.col("run"), F.col("choice"))).alias("choice_id"),
         )
     )
     # Two JSON objects without common names, written as one.
-    joined = F.concat(F.rtrim(identity, F.lit("}")), F.lit(","), F.ltrim(kept, F.lit("{")))
-    return many.select(F.parse_json(F.when(kept == "{}", identity).otherwise(joined)).alias("event"), "copy")
+    joined = F.concat(F.rtrim(identity, F.lit("}")), F.lit(","), F.ltrim("kept", F.lit("{")))
+    return many.select(F.parse_json(F.when(F.col("kept") == "{}", identity).otherwise(joined)).alias("event"), "copy")
 
 
 def controlled_scenarios(events: DataFrame, copies: int = 1, salt: str = "scenario") -> DataFrame:
