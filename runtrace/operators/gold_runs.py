@@ -24,6 +24,7 @@ _END_FIELDS = {
     "miniboss_waves_reached": "bigint",
     "miniboss_waves_cleared": "bigint",
 }
+_MEMBERS = {**_START_FIELDS, **_END_FIELDS, "checkpoint_number": "bigint", "final_upgrades": "variant"}
 
 
 def _named(name: str) -> Column:
@@ -43,8 +44,11 @@ def run_summary(silver: DataFrame) -> DataFrame:
     checkpoint = _named("run_checkpoint")
     shown, selected = _named("upgrade_options_shown"), _named("upgrade_selected")
     parsed = F.when(start | end | checkpoint, F.try_parse_json("event_payload_json"))
+    layout = ",".join(f"{name}:{kind}" for name, kind in _MEMBERS.items())
     events = silver.select("*", parsed.alias("p"), _issue_count(silver).alias("issue_count"))
-    upgrades = field(F.col("p"), "final_upgrades", "array<variant>")
+    events = events.select("*", F.try_variant_get("p", F.lit("$"), f"struct<{layout}>").alias("m"))
+    listed = F.col("m")["final_upgrades"]
+    upgrades = F.try_variant_get(listed, F.lit("$"), "array<variant>")
 
     def at(condition: Column, value: Column) -> Column:
         return F.max(F.when(condition, value))
@@ -62,12 +66,12 @@ def run_summary(silver: DataFrame) -> DataFrame:
         F.max("run_elapsed_seconds").alias("observed_run_seconds"),
         at(end, F.col("run_elapsed_seconds")).alias("run_duration_seconds"),
         F.max("event_sequence").alias("max_event_sequence"),
-        *[at(start, field(F.col("p"), name, kind)).alias(name) for name, kind in _START_FIELDS.items()],
-        *[at(end, field(F.col("p"), name, kind)).alias(name) for name, kind in _END_FIELDS.items()],
+        *[at(start, F.col("m")[name]).alias(name) for name in _START_FIELDS],
+        *[at(end, F.col("m")[name]).alias(name) for name in _END_FIELDS],
         at(end, F.size(upgrades).cast("bigint")).alias("final_upgrade_count"),
-        at(end, F.to_json(field(F.col("p"), "final_upgrades", "variant"))).alias("final_upgrades_json"),
+        at(end, F.to_json(listed)).alias("final_upgrades_json"),
         F.count_if(checkpoint).alias("checkpoint_count"),
-        at(checkpoint, field(F.col("p"), "checkpoint_number", "bigint")).alias("highest_checkpoint_number"),
+        at(checkpoint, F.col("m")["checkpoint_number"]).alias("highest_checkpoint_number"),
         shown_count.alias("upgrade_shown_count"),
         selected_count.alias("upgrade_selected_count"),
         F.greatest(shown_count - selected_count, F.lit(0)).cast("bigint").alias("unselected_upgrade_count"),

@@ -26,7 +26,7 @@ def gold(spark, sf_dir, name):
         return getattr(gold_runs, name)(events)
     if name == "upgrade_funnel":
         return gold_items.upgrade_funnel(offers(spark, sf_dir), picks(spark, sf_dir))
-    runs = gold_runs.product_run_summary(events)
+    runs = product_runs(spark, sf_dir)
     if name == "run_progression":
         return gold_progression.run_progression(runs)
     if name == "upgrade_post_selection":
@@ -43,6 +43,12 @@ def gold(spark, sf_dir, name):
     return function(offers(spark, sf_dir), picks(spark, sf_dir), runs, items)
 
 
+def product_runs(spark, sf_dir):
+    """The stored summary of product runs, which most Gold tables read: the events of a run are grouped once for all of them."""
+    return spark.read.parquet(stored(
+        spark, sf_dir, "product-runs", lambda to: gold_runs.product_run_summary(silver(spark, sf_dir)).write.parquet(to)))
+
+
 def picks(spark, sf_dir):
     """The stored, typed picks that several Gold tables read."""
     return spark.read.parquet(stored(
