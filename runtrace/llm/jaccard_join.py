@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from runtrace.llm.rows import FEW_KEYS, same_text, without
 from runtrace.llm.textbytes import UNSPACED, Slice, chain, mix, slices, windows
-from runtrace.sources.staging import settle, stage
+from runtrace.sources.staging import settle, small_batches, stage
 
 SHINGLE = 5
 FREQUENT = 1 << 20
@@ -54,13 +54,16 @@ GROUP = 256
 COMPARED_AT_ONCE = 2000
 #: Classes of one list that are compared pair by pair in one task, and rows of such a task.
 BLOCK = 4096
-POSTINGS_AT_ONCE = 500_000
+POSTINGS_AT_ONCE = 200_000
 #: Shingles of a block of sets that are compared with each other, and shingles of such a task.
 BLOCK_SHINGLES = 500_000
 DENSE_AT_ONCE = 2_000_000
 #: Star rounds end when one links less than a fifth of the classes that meet, or after so many.
 STAR_ROUNDS = 6
 CENTRES = 2
+#: Bytes of text whose shingles a task holds at once, and shingles of a batch that leaves it to be counted.
+_BYTES = 250_000
+_COUNTED = 250_000
 _RARE = np.uint64(2**63 - 1)
 _FREQUENT = np.uint64(2**63)
 
@@ -118,13 +121,13 @@ def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarra
             hashes, counts = np.unique(np.concatenate(kept), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["shingle", "n"])
 
-        for _, part in slices(batches, "text"):
+        for _, part in slices(batches, "text", size=_BYTES):
             hashes, owners = shingles(part)
             order = np.lexsort((hashes, owners))
             hashes, owners = hashes[order], owners[order]
             kept.append(hashes[np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])])] if len(hashes) else hashes)
             size += len(kept[-1])
-            if size > 1_000_000:
+            if size > _COUNTED:
                 yield counted()
                 kept, size = [], 0
         if kept:
@@ -151,7 +154,7 @@ def _set_rows(docs: DataFrame, order, whole: bool, keys: list[str]) -> DataFrame
 
     def work(batches):
         frequent, ranks = order.value
-        for batch, part in slices(batches, "text"):
+        for batch, part in slices(batches, "text", size=_BYTES):
             tokens, bounds = _ordered(part, frequent, ranks)
             size = np.diff(bounds)
             signatures = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens + np.uint64(salt)))]) for salt in (0x1234567, 0xABCDEF9)]
@@ -461,8 +464,12 @@ def join(docs: DataFrame, count_links: bool = True) -> DataFrame:
 
     `n_links` counts the other rows that a row links with, its copies included. Without `count_links` it is left out.
     """
+    with small_batches(docs.sparkSession):  # all Python work is stored before the block ends
+        return _joined(docs.select("doc_id", "text"), count_links)
+
+
+def _joined(docs: DataFrame, count_links: bool) -> DataFrame:
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
     order = spark.sparkContext.broadcast(frequent_shingles(docs))
     rows = docs.withColumn("text_hash", F.xxhash64("text"))
     prefixes = stage(_set_rows(rows, order, False, ["doc_id", "text_hash"]), "jaccard-prefixes")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runtrace.llm.textbytes import Slice, byte_set, slices
-from runtrace.sources.staging import stage
+from runtrace.sources.staging import small_batches, stage
 
 FEATURES = 1 << 14
 PER_LANGUAGE = 1000
@@ -84,6 +84,11 @@ class LanguageModel:
         return self.owner[best], score, score < self.floors[np.minimum(size, len(self.floors) - 1)]
 
 
+def _mean(vectors: np.ndarray, chosen: np.ndarray, at_once: int = 1024) -> np.ndarray:
+    """Mean of the chosen rows; a few columns are copied at once."""
+    return np.concatenate([vectors[chosen, at:at + at_once].mean(axis=0) for at in range(0, vectors.shape[1], at_once)])
+
+
 def _centroids(vectors: np.ndarray, k: int) -> np.ndarray:
     """Spherical k-means: start from the mean and the farthest vectors, ten rounds."""
     chosen = [vectors.mean(axis=0)]
@@ -97,21 +102,23 @@ def _centroids(vectors: np.ndarray, k: int) -> np.ndarray:
         near = (vectors @ centres.T).argmax(axis=1)
         for j in range(len(centres)):
             if (near == j).any():
-                centres[j] = vectors[near == j].mean(axis=0)
+                centres[j] = _mean(vectors, near == j)
     return centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
 
 
-def _floors(counts: np.ndarray, idf: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """By power of two of trigrams, the cosine below which a text is too far."""
+def _floors(some: np.ndarray, idf: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """By power of two of trigrams, the cosine below which a text is too far; some: counts of some texts."""
     dice, floors = np.random.default_rng(7), np.zeros(32)
-    some = counts[:: max(1, len(counts) // 100)]
     for power in range(4, 32):
         size = 1 << power
         long = some[some.sum(axis=1) >= size]
         if len(long) == 0:
             floors[power] = floors[power - 1]
             continue
-        drawn = np.array([dice.multinomial(size, row / row.sum()) for row in long.astype(np.float64)], np.float32)
+        drawn = np.zeros((len(long), FEATURES), np.float32)
+        for i, row in enumerate(long):
+            row = row.astype(np.float64)
+            drawn[i] = dice.multinomial(size, row / row.sum())
         cosines = (weigh(drawn, idf) @ centres.T).max(axis=1)
         floors[power] = 0.25 * np.quantile(cosines, 0.01)
     return floors
@@ -129,6 +136,16 @@ def _dense(rows: pd.DataFrame) -> np.ndarray:
     return out
 
 
+def _fitted(rows: pd.DataFrame, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids and floors of a language; only its vectors are held whole and dense."""
+    vectors = np.zeros((len(rows), FEATURES), np.float32)
+    for at in range(0, len(rows), _TEXTS):
+        vectors[at:at + _TEXTS] = weigh(_dense(rows.iloc[at:at + _TEXTS]), idf)
+    centres = _centroids(vectors, k)
+    del vectors
+    return centres, _floors(_dense(rows.iloc[:: max(1, len(rows) // 100)]), idf, centres)
+
+
 def train(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE, k: int = CENTROIDS) -> LanguageModel | None:
     """Fit on the learnable rows with a language: columns doc_id, text, lang."""
     spark = docs.sparkSession
@@ -148,7 +165,8 @@ def train(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE,
                 [batch.column(0), pa.array([b[0] for b in both], pa.binary()), pa.array([b[1] for b in both], pa.binary())],
                 names=["lang", "at", "counts"]).filter(pa.array([len(b[0]) > 0 for b in both], pa.bool_()))
 
-    sample = stage(chosen.mapInArrow(vectors, "lang string, at binary, counts binary"), "language-sample")
+    with small_batches(spark):
+        sample = stage(chosen.mapInArrow(vectors, "lang string, at binary, counts binary"), "language-sample")
 
     def document_counts(batches):
         df, n = np.zeros(FEATURES, np.int64), 0
@@ -167,10 +185,8 @@ def train(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE,
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["at", "counts"])  # the order of a shuffle is not always the same
-        counts = _dense(rows)
-        centres = _centroids(weigh(counts, idf), k)
-        return pd.DataFrame([{"lang": rows["lang"].iloc[0], "n": len(rows), "centres": centres.tobytes(),
-                              "floors": _floors(counts, idf, centres).tobytes()}])
+        centres, floors = _fitted(rows, idf, k)
+        return pd.DataFrame([{"lang": rows["lang"].iloc[0], "n": len(rows), "centres": centres.tobytes(), "floors": floors.tobytes()}])
 
     fitted = sample.groupBy("lang").applyInPandas(fit, "lang string, n bigint, centres binary, floors binary").collect()
     fitted.sort(key=lambda r: (-r.n, r.lang))

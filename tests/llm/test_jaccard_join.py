@@ -6,10 +6,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from runtrace.llm import jaccard_join as op
+from runtrace.sources.staging import BATCH_BYTES, small_batches, stage
 
 
 def _set(text):
@@ -110,3 +112,29 @@ def test_prefix_tree():
         some = [s for s in sets if len(s)]
         together = sorted((member, int(q)) for member, linked in tree.linked_with(some, 4) for q in linked)
         assert together == sorted((member, q) for q, x in enumerate(some) for member in tree.linked(x, 4))
+
+
+def test_texts_go_to_workers_in_small_batches(spark, monkeypatch):
+    docs = spark.range(0, 600, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 2500) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["rows", "bytes"])
+
+    with small_batches(spark):
+        found = docs.mapInArrow(sizes, "rows bigint, bytes bigint").collect()
+    assert sum(r.rows for r in found) == 600 and max(r.bytes for r in found) < 2 * BATCH_BYTES < sum(r.bytes for r in found)
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    usual, seen = spark.conf.get(name), []
+    monkeypatch.setattr(op, "stage", lambda df, *rest: seen.append(spark.conf.get(name)) or stage(df, *rest))
+    some = docs.limit(3)
+    assert op.join(some).count() == 3
+    assert set(seen) == {str(BATCH_BYTES)} and spark.conf.get(name) == usual
+    spark.conf.set(name, "1048576")  # a size the session chose stays
+    try:
+        seen.clear()
+        assert op.join(some).count() == 3
+        assert set(seen) == {"1048576"} and spark.conf.get(name) == "1048576"
+    finally:
+        spark.conf.unset(name)

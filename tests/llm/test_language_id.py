@@ -7,6 +7,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -119,3 +120,23 @@ def test_nothing_to_learn_from(spark):
     assert model is None and {r.lang_pred for r in op.predict(docs, model).collect()} == {"und"}
     assert op.without_rejected(docs, None).where("doc_id = 903").count() == 1
     assert op.predict(docs.limit(0), op.train(docs.limit(0), F.lit(True))).count() == 0
+
+
+def test_fitting_holds_the_vectors_of_a_language_once():
+    dice = np.random.default_rng(4)
+    counts = np.zeros((600, op.FEATURES), np.float32)
+    for row in counts:
+        row[dice.integers(0, op.FEATURES, 900)] = dice.integers(1, 9, 900)
+    idf = (1 + dice.random(op.FEATURES)).astype(np.float32)
+    rows = pd.DataFrame([op._sparse(row) for row in counts], columns=["at", "counts"])
+    whole = op.weigh(counts, idf)
+    expected = op._centroids(whole, 3)
+    floors = op._floors(counts[::6], idf, expected)
+    chosen = dice.random(600) < 0.4
+    assert np.array_equal(op._mean(whole, chosen), whole[chosen].mean(axis=0))
+    tracemalloc.start()
+    centres, far = op._fitted(rows, idf, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(centres, expected) and np.array_equal(far, floors)
+    assert peak < 2 * whole.nbytes
