@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from runtrace.llm.rows import same_text, without
 from runtrace.sources.staging import stage
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Digits, letters and all beyond ASCII, named one by one: Java's regex takes three times as long for what several negated ranges leave.
+WORD = "[0123456789abcdefghijklmnopqrstuvwxyz" r"\x{80}-\x{10FFFF}]+"
 #: The same words before A-Z are lower-cased.
-CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+CASED_WORD = "[ABCDEFGHIJKLMNOPQRSTUVWXYZ" + WORD[1:]
 WINDOW_WORDS = 13
 WINDOWS_AT_ONCE = 200_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -75,7 +76,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, at_once: int = WINDOWS_
         .agg(F.sum("fresh").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
              F.sort_array(F.collect_list(F.when(F.col("fresh") > 0, F.struct("first", "fresh")))).alias("spans"))
     )
-    counted = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words_of("text")).cast("bigint").alias("n_words"))
+    n_words = F.coalesce(F.regexp_count("text", F.lit(CASED_WORD)), F.lit(0)).cast("bigint")
+    counted = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), n_words.alias("n_words"))
     same = counted["doc_id"].eqNullSafe(found["doc_id"]) & (counted["text_hash"] == found["text_hash"])
     joined = counted.join(found, same, "left")
     return joined.select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -73,3 +74,25 @@ def test_no_python_in_the_plan(spark):
     _, _, frame, benchmark = _tables(spark)
     plan = op.contamination(frame, benchmark)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_words_are_the_contracts_and_found_fast(spark):
+    every = "".join(chr(c) for c in [*range(0x2FFF), 0xFFFD, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF])
+    cased = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    one = spark.createDataFrame([(every,), (None,)], "text string")
+    got = one.select(op.words_of("text").alias("low"), F.regexp_extract_all("text", F.lit(op.CASED_WORD), F.lit(0)).alias("cased")).collect()
+    assert got[0].low == _words(every) and got[0].cased == cased.findall(every) and got[1].low == []
+
+    text = "Anblewh sttible ñathawh thonre, was is anly 42 hend oftionnten. " * 30_000
+    texts = spark.createDataFrame([(text,)] * 4, "text string").repartition(1).cache()
+
+    def seconds(word):
+        began = time.perf_counter()
+        assert texts.select(F.sum(F.size(F.regexp_extract_all("text", F.lit(word), F.lit(0))))).first()[0] > 0
+        return time.perf_counter() - began
+
+    texts.count()
+    try:
+        assert min(seconds(op.CASED_WORD) for _ in range(3)) < 0.6 * min(seconds(cased.pattern) for _ in range(3))
+    finally:
+        texts.unpersist()
