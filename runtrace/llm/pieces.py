@@ -36,7 +36,8 @@ MICRO = 1_000_000
 #: Units up to so many bytes are segmented together, longer ones each by itself.
 SHORT = 64
 _NEVER = -(1 << 60)
-_SLICE = 1_500_000
+#: A slice of more than 2^20 bytes takes twice the powers for its hashes, which stay in the worker.
+_SLICE = 1_000_000
 #: Units whose segmentation a worker keeps.
 UNITS_KEPT = 250_000
 #: Lattices that a worker keeps.

@@ -34,6 +34,9 @@ BITS_A_CHARACTER = 1.5
 #: Samples that a symbol's own share counts for, after each symbol.
 SMOOTHING = 100.0
 
+#: Bytes of text at once: a slice is held many times over, as symbols, pairs and their sums.
+_BYTES = 250_000
+
 _TOKEN = byte_set((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
 _TOKEN[[ord(c) for c in "+/_.=-"]] = True
 _SYMBOLS = int(_TOKEN.sum()) + 1
@@ -75,7 +78,7 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray | None:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * cells, np.int64)
-        for _, part in slices(batches, text, lower=False):
+        for _, part in slices(batches, text, lower=False, size=_BYTES):
             symbols, before = _pairs(part)
             secret = np.zeros(len(symbols), bool)
             for _, _, _, end, value in _matches(part):
@@ -141,7 +144,7 @@ def find_secrets(docs: DataFrame, bits: np.ndarray | None, key: str = "doc_id",
     """Per row: key and its spans by start, then kind."""
 
     def work(batches):
-        for batch, part in slices(batches, "text", lower=False):
+        for batch, part in slices(batches, "text", lower=False, size=_BYTES):
             found = [_code_points(part, i, s) if s else [] for i, s in enumerate(_spans(part, bits))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _SPANS)], names=["key", "spans"])
 
@@ -158,7 +161,7 @@ def redact(docs: DataFrame, bits: np.ndarray | None, text: str = "text", length:
     columns = docs.columns
 
     def work(batches):
-        for batch, part in slices(batches, text, lower=False):
+        for batch, part in slices(batches, text, lower=False, size=_BYTES):
             changed = {}
             raw = part.bytes.tobytes()
             for i, spans in enumerate(_spans(part, bits)):

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from runtrace.llm import pieces
+from runtrace.llm import pieces, secrets
+from runtrace.sources.staging import BATCH_BYTES
 
 
 def _corpus(spark, folder):
@@ -46,3 +51,40 @@ def test_empty_documents(spark, tmp_path):
     spark.read.parquet(f"{tmp_path}/full/documents.parquet").limit(0).write.parquet(f"{tmp_path}/in/documents.parquet")
     spark.read.parquet(f"{tmp_path}/full/benchmark.parquet").write.parquet(f"{tmp_path}/in/benchmark.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/in").count() == 0
+
+
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture
+def unset(spark):
+    """A session without a batch size of its own, also afterwards."""
+    spark.conf.unset(_BATCH)
+    yield spark
+    spark.conf.unset(_BATCH)
+
+
+def _batch_bytes(docs):
+    """Bytes of the texts in each Arrow batch that goes to Python."""
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in batches)
+    return docs.select("text").mapInArrow(sizes, "n bigint")
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.redacted, corpus_pipeline.encoded])
+def test_rows_of_a_stage_go_to_python_in_small_batches(unset, stage):
+    docs = unset.range(6000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ka lu tor mim "), 300).alias("text")).coalesce(1)
+    stage(unset, docs.limit(3), "")
+    got = [r.n for r in _batch_bytes(docs).collect()]
+    assert sum(got) > 5 * BATCH_BYTES and max(got) < 2 * BATCH_BYTES
+
+
+def test_the_whole_pipeline_leaves_the_session_as_it_was(unset, tmp_path, monkeypatch):
+    _corpus(unset, f"{tmp_path}/in")
+    before, seen = unset.conf.get(_BATCH), []
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("look", lambda spark, docs, _: seen.append(spark.conf.get(_BATCH)) or docs)])
+    corpus_pipeline.run(unset, f"{tmp_path}/in")
+    assert seen == [str(BATCH_BYTES)] and unset.conf.get(_BATCH) == before != str(BATCH_BYTES)
+
+
+def test_slices_of_secrets_and_pieces_are_bounded():
+    assert pieces._SLICE <= 1 << 20 and secrets._BYTES <= 1 << 18
