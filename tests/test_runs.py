@@ -206,6 +206,24 @@ def test_issue_lists_are_counted_by_code(spark, full_run):
     assert result.runs.first()["quality_issue_count"] == 9 and result.issues.count() == 9
 
 
+def test_silver_rows_hold_every_issue_of_their_run(spark, full_run):
+    """One entry for each issue, those of repeated deliveries too, with all its members, in the order of the rules."""
+    first, second = full_run[:4], rename(full_run[:1] + full_run[2:], "bb", "20000000")
+    other = {**first[3], "total_kills": 16}
+    result = reconstruct(deliveries(spark, [*first, other, other, *second], times=[f"2026-03-01T10:00:{i:02d}Z" for i in range(10)]))
+    rows = silver_rows(result).collect()
+    lists = {r["run_id"][-2:]: json.loads(r["quality_issues_json"]) for r in rows}
+    assert {r["run_id"][-2:]: r["quality_issue_count"] for r in rows} == {"aa": 3, "bb": 1}
+    conflict = {"code": "duplicate_conflict", "event_id": first[3]["event_id"], "path": ["event_id"],
+                "message": "the same event_id was delivered with different content"}
+    no_end = {"code": "missing_run_end", "event_id": None, "path": [], "message": "the sequence contains no run_ended event"}
+    gap = {"code": "event_sequence_gap", "event_id": second[1]["event_id"], "path": ["event_sequence"],
+           "message": "missing event_sequence values between 1 and 3"}
+    assert lists == {"aa": [conflict, conflict, no_end], "bb": [gap]}
+    assert list(lists["aa"][0]) == ["code", "event_id", "message", "path"]
+    assert len({(r["run_id"], r["quality_issues_json"]) for r in rows}) == 2 and len(rows) == 8
+
+
 def test_sliced_scan_equals_plain_window(spark):
     """One run holds half of all events; with 3-bit slices no window sees more than 8 rows."""
     rng = random.Random(11)
