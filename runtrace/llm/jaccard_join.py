@@ -8,8 +8,8 @@ All sets are ordered by one global order: rare shingles by hash, then frequent o
 links; this one keeps shared passages out of the prefixes. Of a set of n, the first n - ceil(0.8 n) + 1 shingles are its
 prefix, and sets that link share one in both prefixes.
 
-1. Frequent shingles: those in two or more of an eighth of the documents; the most frequent, up to `FREQUENT`, go to all tasks. A
-   histogram of their counts gives the least count that is taken.
+1. Frequent shingles: those in two or more documents, counted over all documents; the most frequent, up to `FREQUENT`, go to all tasks.
+   A histogram of their counts gives the least count that is taken. The others have their place in the order by hash.
 2. Prefixes of all documents; equal sets become one class (grouped by set signature, so copies are never paired).
 3. Postings are rows of a shingle, a class and a place. Shingles are counted by partial sums and joined back, so only what two or
    more classes share goes on, and no list of a shingle is ever gathered.
@@ -44,11 +44,10 @@ from pyspark.sql import functions as F
 
 from runtrace.llm.rows import FEW_KEYS, same_text, without
 from runtrace.llm.textbytes import UNSPACED, Slice, chain, mix, slices, windows
-from runtrace.sources.staging import settle, small_batches, stage
+from runtrace.sources.staging import settle, short_shuffles, small_batches, stage
 
 SHINGLE = 5
 FREQUENT = 1 << 20
-SAMPLED = 8
 #: Members that one set is compared with at once, and rows of a task of comparisons.
 GROUP = 256
 COMPARED_AT_ONCE = 2000
@@ -64,6 +63,8 @@ CENTRES = 2
 #: Bytes of text whose shingles a task holds at once, and shingles of a batch that leaves it to be counted.
 _BYTES = 250_000
 _COUNTED = 250_000
+#: Bytes of text for each range of hashes that is counted at once.
+_RANGE = 8_000_000
 _RARE = np.uint64(2**63 - 1)
 _FREQUENT = np.uint64(2**63)
 
@@ -108,19 +109,43 @@ def _ordered(part: Slice, frequent: np.ndarray, ranks: np.ndarray) -> tuple[np.n
     return keys, np.searchsorted(owners, np.arange(part.n + 1))
 
 
+def _ranges(hashes: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+    """(range, hashes, counts): different hashes with how often each was there, cut where ranges of hashes start."""
+    values, counts = np.unique(hashes, return_counts=True)
+    counts = counts.astype(np.uint32)
+    bounds = np.append(np.searchsorted(values, starts), len(values))
+    filled = np.flatnonzero(np.diff(bounds))
+    pieces = list(zip(bounds[filled].tolist(), bounds[filled + 1].tolist()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(filled.astype(np.int32)), *[pa.array([x[a:b].tobytes() for a, b in pieces], pa.binary()) for x in (values, counts)]],
+        names=["range", "hashes", "counts"])
+
+
+def _repeated(table: pa.Table) -> pa.Table:
+    """(shingle, n): the hashes of a range that came more than once, with their sums."""
+    hashes, counts = (np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (("hashes", np.uint64), ("counts", np.uint32)))
+    order = np.argsort(hashes, kind="stable")
+    hashes, counts = hashes[order], counts[order].astype(np.int64)
+    firsts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    n = np.add.reduceat(counts, firsts)
+    return pa.table([pa.array(hashes[firsts][n > 1].view(np.int64)), pa.array(n[n > 1])], names=["shingle", "n"])
+
+
 def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of shingles that many documents share, rising, and the rank of each by count.
 
-    They are counted in one of `SAMPLED` documents. The order only decides how many pairs meet, not which of them link.
+    All shingles of all documents are counted, range by range of their hashes: tasks send sorted pieces of each range with
+    partial counts, so a shingle that every text has stays small. `limit` bounds what goes to all tasks: it only decides how many pairs meet, not which of
+    them link.
     """
 
+    spark, text = docs.sparkSession, docs.select("text")
+    size = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(1, (size // _RANGE).bit_length())
+    starts = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
-
-        def counted():
-            hashes, counts = np.unique(np.concatenate(kept), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["shingle", "n"])
-
         for _, part in slices(batches, "text", size=_BYTES):
             hashes, owners = shingles(part)
             order = np.lexsort((hashes, owners))
@@ -128,14 +153,15 @@ def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarra
             kept.append(hashes[np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])])] if len(hashes) else hashes)
             size += len(kept[-1])
             if size > _COUNTED:
-                yield counted()
+                yield _ranges(np.concatenate(kept), starts)
                 kept, size = [], 0
-        if kept:
-            yield counted()
+        if size:
+            yield _ranges(np.concatenate(kept), starts)
 
-    some = docs.where(F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(SAMPLED)) == 0).select("text")
-    counts = some.mapInArrow(work, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
-    counts = stage(counts.withColumn("level", F.floor(16 * F.log2("n")).cast("int")), "jaccard-counts")
+    with short_shuffles(spark):
+        ranges = text.mapInArrow(work, "range int, hashes binary, counts binary")
+        counts = ranges.groupBy("range").applyInArrow(_repeated, "shingle bigint, n bigint")
+        counts = stage(counts.withColumn("level", F.floor(16 * F.log2("n")).cast("int")), "jaccard-counts")
     least, taken = 0, 0
     for level, n in sorted(counts.groupBy("level").count().collect(), reverse=True):  # at most 16 for each power of two
         taken += n
@@ -144,7 +170,7 @@ def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarra
             break
     rows = counts.where(F.col("level") >= least).select("shingle", "n").toArrow().sort_by([("n", "descending"), ("shingle", "ascending")])
     hashes = np.asarray(rows.column(0).to_numpy()).astype(np.int64).view(np.uint64)
-    ranks = np.arange(len(hashes), 0, -1, dtype=np.int64)  # the most frequent comes last
+    ranks = np.arange(len(hashes), 0, -1).astype(np.uint32)  # the most frequent comes last
     order = np.argsort(hashes)
     return hashes[order], ranks[order]
 

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runtrace.llm import jaccard_join as op
+from runtrace.llm.textbytes import slices
 from runtrace.sources.staging import BATCH_BYTES, small_batches, stage
 
 
@@ -91,6 +92,17 @@ def test_one_of_each_group_stays(spark):
     assert sum(not s for s in sets) == sum(not _set(t) for _, t in docs)
 
 
+def test_shingles_of_all_documents_are_counted(spark):
+    """A shingle that only two documents share is in the order, whichever two they are; more documents give a later place."""
+    twice = [f"pair {i} has these five words" for i in range(40)]
+    texts = 2 * twice + [f"some words that many share {i}" for i in range(9)] + ["alone here with words of its own"]
+    hashes, ranks = op.frequent_shingles(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string"))
+    shared = {tuple(t.split()[i:i + 5]) for t in twice for i in range(2)}
+    assert len(hashes) == len(shared) + 1 and (np.diff(hashes.astype(object)) > 0).all()
+    often = op.shingles(next(slices([pa.RecordBatch.from_pydict({"text": ["some words that many share"]})], "text"))[1])[0]
+    assert hashes[np.argmax(ranks)] == often[0] and sorted(ranks) == list(range(1, len(hashes) + 1))
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id bigint, text string")
     assert op.join(frame).count() == 0 and op.without_copies(frame).count() == 0
